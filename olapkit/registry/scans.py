@@ -360,12 +360,14 @@ def distinct_values(t):
     return t.lineitem.select("l_partkey").distinct()
 
 
-@query("count_distinct", "SELECT count(DISTINCT l_linenumber) AS n, count(DISTINCT l_partkey) AS parts FROM lineitem")
+@query(
+    "count_distinct",
+    "SELECT count(DISTINCT l_linenumber) AS n, count(DISTINCT l_partkey) AS parts FROM lineitem",
+)
 def count_distinct(t):
-    # One distinct per column keeps the partial step small; both results are one row.
-    lines = t.lineitem.agg(F.count_distinct("l_linenumber").alias("n"))
-    parts = t.lineitem.agg(F.count_distinct("l_partkey").alias("parts"))
-    return lines.join(parts, F.col("n").isNotNull() & F.col("parts").isNotNull())
+    return t.lineitem.agg(
+        F.count_distinct("l_linenumber").alias("n"), F.count_distinct("l_partkey").alias("parts")
+    )
 
 
 @query(
@@ -405,8 +407,8 @@ def top_k(t):
     """,
 )
 def scan_in_key_order(t):
-    ordered = scan_ordered(t.part.select("p_partkey", "p_name"), ["p_partkey"])
-    return number_rows(ordered, ["p_partkey"], "position")
+    numbered = number_rows(t.part.select("p_partkey", "p_name"), ["p_partkey"], "position")
+    return scan_ordered(numbered, ["p_partkey"])
 
 
 # Set operations
