@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from olapkit.operators import rowops
 from olapkit.operators.rowops import PUT, REMOVE
 from olapkit.sources.keyed_table import KeyedTable
-from olapkit.workspace import materialize
+from olapkit.workspace import materialize, materialize_counted
 
 ACTION = "row_action"
 MANIFEST = "table_name STRING, table_id STRING, backup_id STRING, from_ts BIGINT, to_ts BIGINT"
@@ -70,7 +70,7 @@ def reached(manifests: DataFrame) -> DataFrame:
         step = level.join(
             increments, (F.col("table_id") == F.col("_table")) & (F.col("to_ts") == F.col("_from"))
         )
-        level = materialize(
+        level, rows = materialize_counted(
             step.groupBy("table_id", "root_id", "root_to", F.col("_to").alias("to_ts"))
             .agg(
                 (F.min("weight") + 1).alias("weight"),
@@ -79,7 +79,7 @@ def reached(manifests: DataFrame) -> DataFrame:
             .select("table_id", "root_id", "root_to", "to_ts", "weight", "path"),
             "chains",
         )
-        if level.isEmpty():
+        if not rows:
             break
         levels.append(level)
     return reduce(DataFrame.unionByName, levels)
@@ -159,14 +159,14 @@ def backup_expired(manifests: DataFrame, now: int, age: int) -> DataFrame:
     )
     old = [level]
     while True:
-        level = materialize(
+        level, rows = materialize_counted(
             increments.join(level, ["table_id", "to_ts"], "left_semi")
             .select("table_id", F.col("from_ts").alias("to_ts"))
             .distinct()
             .join(points, ["table_id", "to_ts"], "left_semi"),
             "expired",
         )
-        if level.isEmpty():
+        if not rows:
             break
         old.append(level)
     leading = reduce(DataFrame.unionByName, old).distinct()

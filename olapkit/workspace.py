@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 CHECKPOINT_SETTING = "spark.checkpoint.dir"
 
@@ -50,3 +50,10 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     path = new_path(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def materialize_counted(df: DataFrame, label: str) -> tuple[DataFrame, int]:
+    """As ``materialize``, with the number of rows counted while they are written."""
+    seen = Observation()
+    stored = materialize(df.observe(seen, F.count(F.lit(1)).alias("rows")), label)
+    return stored, seen.get["rows"]
