@@ -3,11 +3,16 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StructType
 
 # The seven shipping modes.
 SHIP_MODES = ["REG AIR", "AIR", "RAIL", "SHIP", "TRUCK", "MAIL", "FOB"]
 
 
+# Schemas by path, so that footers are read once per process.
+_SCHEMAS: dict[str, StructType] = {}
+
+
 class Tables:
     """Reads ``<folder>/<table>.parquet`` on attribute access."""
 
@@ -21,7 +26,11 @@ class Tables:
     def __getattr__(self, name: str) -> DataFrame:
         if name.startswith("_"):
             raise AttributeError(name)
-        return self.spark.read.parquet(self.path(name))
+        path = self.path(name)
+        known = _SCHEMAS.get(path)
+        if known is None:
+            known = _SCHEMAS[path] = self.spark.read.parquet(path).schema
+        return self.spark.read.schema(known).parquet(path)
 
     @property
     def lineitem_dates(self) -> DataFrame:

@@ -64,14 +64,14 @@ def record_key(*parts: str) -> Column:
 def to_hash_records(df: DataFrame, key: Sequence[str]) -> DataFrame:
     """(key, fields): the key columns joined by ``_``, all others as a map of strings.
 
-    A null column has no field.
+    A plain map, so that Spark reads only the columns whose fields are used when
+    records are decoded in the same plan.
     """
     pairs = []
     for c in df.columns:
         if c not in key:
             pairs += [F.lit(c), F.col(c).cast("string")]
-    fields = F.map_filter(F.create_map(*pairs), lambda _, value: value.isNotNull())
-    return df.select(record_key(*key).alias("key"), fields.alias("fields"))
+    return df.select(record_key(*key).alias("key"), F.create_map(*pairs).alias("fields"))
 
 
 def from_hash_records(
@@ -79,7 +79,7 @@ def from_hash_records(
 ) -> DataFrame:
     """Typed columns out of the field map; rows without a required field are skipped."""
     typed = records.select(
-        "key", *[F.try_element_at("fields", F.lit(n)).try_cast(t).alias(n) for n, t in types.items()]
+        "key", *[F.col("fields")[n].try_cast(t).alias(n) for n, t in types.items()]
     )
     for name in required:
         typed = typed.filter(F.col(name).isNotNull())
