@@ -71,16 +71,16 @@ def hash_records(t):
     "hash_decode",
     """
     SELECT CAST(o_orderkey AS VARCHAR) AS key, o_totalprice, CAST(o_orderdate AS DATE) AS o_orderdate,
-           CASE WHEN o_orderkey % 5 = 0 THEN NULL ELSE o_custkey END AS o_custkey
-    FROM orders WHERE o_orderkey % 7 <> 0
+           CASE WHEN o_orderpriority <> '5-LOW' THEN o_custkey END AS o_custkey
+    FROM orders WHERE o_orderstatus <> 'P'
     """,
 )
 def hash_decode(t):
-    key = F.col("o_orderkey")
+    known = F.col("o_orderpriority") != "5-LOW"
     dirty = order_rows(t).withColumns(
         {
-            "o_totalprice": F.when(key % 7 != 0, F.col("o_totalprice")),
-            "o_custkey": F.when(key % 5 != 0, F.col("o_custkey").cast("string")).otherwise("none"),
+            "o_totalprice": F.when(F.col("o_orderstatus") != "P", F.col("o_totalprice")),
+            "o_custkey": F.when(known, F.col("o_custkey").cast("string")).otherwise("none"),
         }
     )
     stored = encode.to_hash_records(dirty, ["o_orderkey"])

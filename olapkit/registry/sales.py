@@ -11,7 +11,7 @@ from olapkit.registry.base import query, rounded
     SELECT l_returnflag, l_linestatus,
            sum(l_quantity) AS sum_qty,
            round(sum(l_extendedprice), 2) AS sum_base_price,
-           round(sum(l_extendedprice * (1 - l_discount)), 2) AS sum_disc_price,
+           round(sum(l_extendedprice * (1 - l_discount)), 4) AS sum_disc_price,
            round(sum(l_extendedprice * (1 - l_discount) * (1 + l_tax)), 2) AS sum_charge,
            round(avg(l_quantity), 4) AS avg_qty,
            round(avg(l_extendedprice), 4) AS avg_price,
@@ -24,8 +24,9 @@ from olapkit.registry.base import query, rounded
 )
 def q1(t):
     df = sales.pricing_summary(t.lineitem)
-    df = rounded(df, 2, "sum_base_price", "sum_disc_price", "sum_charge")
-    df = rounded(df, 4, "avg_qty", "avg_price")
+    # Net prices have four decimals: rounded there, no sum lies between two results.
+    df = rounded(df, 2, "sum_base_price", "sum_charge")
+    df = rounded(df, 4, "sum_disc_price", "avg_qty", "avg_price")
     return rounded(df, 6, "avg_disc")
 
 

@@ -74,14 +74,14 @@ def pred_in(t):
     """
     WITH l AS (
       SELECT l_orderkey, l_linenumber, l_partkey,
-             CASE WHEN l_partkey % 3 = 0 THEN NULL ELSE l_returnflag END AS flag FROM lineitem)
+             CASE WHEN l_linestatus = 'F' THEN l_returnflag END AS flag FROM lineitem)
     SELECT 'null' AS kind, count(*) AS n, sum(l_partkey)::BIGINT AS parts FROM l WHERE flag IS NULL
     UNION ALL
     SELECT 'not null', count(*), sum(l_partkey)::BIGINT FROM l WHERE flag IS NOT NULL
     """,
 )
 def pred_null(t):
-    flag = F.when(F.col("l_partkey") % 3 != 0, F.col("l_returnflag"))
+    flag = F.when(F.col("l_linestatus") == "F", F.col("l_returnflag"))
     lines = t.lineitem.withColumn("flag", flag)
     sums = [F.count(F.lit(1)).alias("n"), F.sum("l_partkey").alias("parts")]
     missing = lines.filter(F.col("flag").isNull()).agg(*sums)
@@ -157,11 +157,11 @@ def pred_json(t):
     """
     SELECT l_orderkey, l_linenumber, l_partkey FROM lineitem
     WHERE (l_orderkey > 100 OR (l_orderkey = 100 AND l_linenumber >= 3))
-      AND (l_orderkey < 700 OR (l_orderkey = 700 AND l_linenumber < 5))
+      AND (l_orderkey < 14000 OR (l_orderkey = 14000 AND l_linenumber < 5))
     """,
 )
 def key_range_query(t):
-    return key_range(t.lineitem, ["l_orderkey", "l_linenumber"], (100, 3), (700, 5)).select(
+    return key_range(t.lineitem, ["l_orderkey", "l_linenumber"], (100, 3), (14000, 5)).select(
         "l_orderkey", "l_linenumber", "l_partkey"
     )
 

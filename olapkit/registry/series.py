@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from olapkit.operators import metrics, verify
 from olapkit.registry.base import query, rounded
+from olapkit.registry.rows import base, recent
 from olapkit.sources.keyed_table import KeyedTable
 from olapkit.streaming import upsert as streams
 from olapkit.workspace import new_path
@@ -27,7 +28,7 @@ def points(t):
 
 
 def metric_lines(t):
-    """One line per event; every eleventh is broken in one of three ways."""
+    """One line per event; those of errors are broken in one of three ways."""
     good = F.format_string(
         "host%d.example.com/.%s.avg1 %s %d",
         "user_id",
@@ -36,12 +37,12 @@ def metric_lines(t):
         F.unix_timestamp(F.col("ts").cast("timestamp")),
     )
     broken = (
-        F.when(F.col("event_id") % 33 == 0, F.concat(good, F.lit(" more")))
-        .when(F.col("event_id") % 33 == 11, F.replace(good, F.lit("/."), F.lit("-")))
+        F.when(F.col("value") < 5, F.concat(good, F.lit(" more")))
+        .when(F.col("value") < 10, F.replace(good, F.lit("/."), F.lit("-")))
         .otherwise(F.replace(good, F.lit("1 "), F.lit("1 x")))
     )
     return t.events.select(
-        "event_id", F.when(F.col("event_id") % 11 == 0, broken).otherwise(good).alias("line")
+        "event_type", F.when(F.col("event_type") == "error", broken).otherwise(good).alias("line")
     )
 
 
@@ -49,15 +50,15 @@ def metric_lines(t):
     "metric_parse",
     """
     WITH l AS (
-      SELECT event_id, 'host' || user_id || '.example.com' AS host, event_type || '.avg1' AS metric,
+      SELECT event_type, 'host' || user_id || '.example.com' AS host, event_type || '.avg1' AS metric,
              epoch(date_trunc('second', ts))::INT AS timestamp, value FROM events)
-    SELECT host, metric, timestamp, value, NULL AS line FROM l WHERE event_id % 11 <> 0
+    SELECT host, metric, timestamp, value, NULL AS line FROM l WHERE event_type <> 'error'
     UNION ALL
     SELECT NULL, NULL, NULL, NULL,
-           CASE WHEN event_id % 33 = 0 THEN host || '/.' || metric || ' ' || value || ' ' || timestamp || ' more'
-                WHEN event_id % 33 = 11 THEN host || '-' || metric || ' ' || value || ' ' || timestamp
+           CASE WHEN value < 5 THEN host || '/.' || metric || ' ' || value || ' ' || timestamp || ' more'
+                WHEN value < 10 THEN host || '-' || metric || ' ' || value || ' ' || timestamp
                 ELSE replace(host || '/.' || metric || ' ' || value || ' ' || timestamp, '1 ', '1 x') END
-    FROM l WHERE event_id % 11 = 0
+    FROM l WHERE event_type = 'error'
     """,
 )
 def metric_parse(t):
@@ -144,14 +145,16 @@ def metric_tree(t):
     """
     SELECT l_orderkey * 10 + l_linenumber AS ts, l_quantity::FLOAT::DOUBLE AS usr,
            l_extendedprice::FLOAT::DOUBLE AS sys, l_tax::FLOAT::DOUBLE + 0.0 AS idl
-    FROM lineitem WHERE l_partkey % 17 <> 0 AND l_partkey % 19 <> 0
+    FROM lineitem WHERE NOT (l_returnflag = 'N' AND l_linestatus = 'F') AND l_discount <> 0.1::DOUBLE
     """,
 )
 def stat_parse(t):
     numbers = F.concat_ws(", ", "l_quantity", "l_extendedprice", "l_tax")
     line = (
-        F.when(F.col("l_partkey") % 17 == 0, '"usr","sys","idl"')
-        .when(F.col("l_partkey") % 19 == 0, F.concat(numbers, F.lit(",1")))
+        F.when(
+            (F.col("l_returnflag") == "N") & (F.col("l_linestatus") == "F"), '"usr","sys","idl"'
+        )
+        .when(F.col("l_discount") == 0.1, F.concat(numbers, F.lit(",1")))
         .otherwise(numbers)
     )
     lines = t.lineitem.select(line.alias("line"), "l_orderkey", "l_linenumber")
@@ -166,7 +169,7 @@ def stat_parse(t):
 @query(
     "verify_links",
     """
-    WITH n AS (SELECT o_orderkey AS k, CASE WHEN o_orderkey % 10 = 3 THEN o_custkey - 500 ELSE o_orderkey - 1 END AS prev FROM orders),
+    WITH n AS (SELECT o_orderkey AS k, CASE WHEN o_orderpriority = '1-URGENT' THEN o_custkey - 50 ELSE o_orderkey - 1 END AS prev FROM orders),
     refs AS (SELECT prev, count(*) AS c FROM n GROUP BY prev)
     SELECT count(*) FILTER (k IS NOT NULL AND c = 1) AS referenced, count(*) FILTER (k IS NOT NULL AND c > 1) AS extra,
            count(*) FILTER (k IS NOT NULL AND c IS NULL) AS unreferenced, count(*) FILTER (k IS NULL) AS undefined
@@ -175,7 +178,8 @@ def stat_parse(t):
 )
 def verify_links(t):
     key = F.col("o_orderkey")
-    previous = F.when(key % 10 == 3, F.col("o_custkey") - 500).otherwise(key - 1)
+    urgent = F.col("o_orderpriority") == "1-URGENT"
+    previous = F.when(urgent, F.col("o_custkey") - 50).otherwise(key - 1)
     nodes = t.orders.select(key.alias("k"), previous.alias("prev"))
     return verify.verify_links(nodes, ["k"], ["prev"])
 
@@ -260,17 +264,13 @@ def staged(t, df, files=3):
 @query(
     "stream_upsert",
     """
-    SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice FROM orders WHERE o_orderkey % 3 <> 0 AND o_orderkey % 2 <> 0
-    UNION ALL SELECT o_orderkey, o_custkey, 'S', o_totalprice + 1 FROM orders WHERE o_orderkey % 2 = 0
+    SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice FROM orders WHERE o_orderdate < DATE '1998-01-01'
+    UNION ALL SELECT o_orderkey, o_custkey, 'S', o_totalprice + 1 FROM orders WHERE o_orderdate >= DATE '1998-01-01'
     """,
 )
 def stream_upsert(t):
-    columns = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice"]
-    stored = t.orders.select(*columns)
-    table = KeyedTable.create_as(
-        stored.filter(F.col("o_orderkey") % 3 != 0), new_path(t.spark, "table"), ["o_orderkey"]
-    )
-    arrivals = stored.filter(F.col("o_orderkey") % 2 == 0).withColumns(
+    table = KeyedTable.create_as(base(t), new_path(t.spark, "table"), ["o_orderkey"])
+    arrivals = recent(t).withColumns(
         {"o_orderstatus": F.lit("S"), "o_totalprice": F.col("o_totalprice") + 1}
     )
     stream = streams.file_stream(t.spark, staged(t, arrivals), arrivals.schema, per_trigger=1)
@@ -287,7 +287,7 @@ def stream_metrics(t):
             "%s/.%s %s %d", "host", "metric", F.col("value").cast("string"), "timestamp"
         ).alias("value")
     )
-    broken = metric_lines(t).filter(F.col("event_id") % 11 == 0).select(F.col("line").alias("value"))
+    broken = metric_lines(t).filter(F.col("event_type") == "error").select(F.col("line").alias("value"))
     path = new_path(t.spark, "lines")
     lines.unionAll(broken).write.text(path)
     lines.write.mode("append").text(path)
@@ -303,7 +303,7 @@ def stream_metrics(t):
     "stream_q1",
     """
     SELECT l_returnflag, l_linestatus, sum(l_quantity) AS sum_qty, round(sum(l_extendedprice), 2) AS sum_base_price,
-           round(sum(l_extendedprice * (1 - l_discount)), 2) AS sum_disc_price, count(*) AS count_order
+           round(sum(l_extendedprice * (1 - l_discount)), 4) AS sum_disc_price, count(*) AS count_order
     FROM lineitem WHERE l_shipdate <= DATE '1998-12-01' - INTERVAL 90 DAY GROUP BY l_returnflag, l_linestatus
     """,
 )
@@ -314,7 +314,7 @@ def stream_q1(t):
     summary = streams.newest_batch(t.spark, out).select(
         "l_returnflag", "l_linestatus", "sum_qty", "sum_base_price", "sum_disc_price", "count_order"
     )
-    return rounded(summary, 2, "sum_base_price", "sum_disc_price")
+    return rounded(rounded(summary, 2, "sum_base_price"), 4, "sum_disc_price")
 
 
 @query(

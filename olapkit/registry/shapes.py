@@ -212,12 +212,12 @@ def add_row_id(t):
     "fn_parse_time",
     """
     SELECT event_id, date_trunc('second', ts) AS parsed, CAST(ts AS DATE) AS day,
-           event_id % 10 <> 3 AS well_formed FROM events
+           event_type <> 'error' AS well_formed FROM events
     """,
 )
 def fn_parse_time(t):
     text = F.date_format("ts", "MM/dd/yyyy HH:mm:ss")
-    dirty = F.when(F.col("event_id") % 10 == 3, F.concat(F.lit("?"), text)).otherwise(text)
+    dirty = F.when(F.col("event_type") == "error", F.concat(F.lit("?"), text)).otherwise(text)
     parsed = t.events.select(
         "event_id",
         scalars.us_timestamp(text).cast("timestamp_ntz").alias("parsed"),
@@ -354,9 +354,9 @@ def store_q1(t):
     return shown(store.pricing(store.store_line_item(t.lineitem)))
 
 
-@query("store_q1_range", STORE_SQL.format(extra="AND l_orderkey BETWEEN 100 AND 5000"))
+@query("store_q1_range", STORE_SQL.format(extra="AND l_orderkey BETWEEN 100 AND 14000"))
 def store_q1_range(t):
-    return shown(store.pricing_of_orders(store.store_line_item(t.lineitem), 100, 5000))
+    return shown(store.pricing_of_orders(store.store_line_item(t.lineitem), 100, 14000))
 
 
 @query("count_quantity", "SELECT count(*) AS n FROM lineitem WHERE l_quantity = 48")

@@ -6,12 +6,12 @@ from pyspark.sql.types import StringType
 from olapkit.operators.numbering import number_rows, split_batches
 from olapkit.plans.tables import LINEITEM_DATES_SQL
 from olapkit.registry.base import query
-from olapkit.registry.rows import BATCH_SQL, COLUMNS, base, batch
+from olapkit.registry.rows import BATCH_SQL, COLUMNS, base, batch, recent
 from olapkit.schemas import LINEITEM
 from olapkit.sources import backups, files
 from olapkit.sources import keyed_table as kt
 from olapkit.sources.keyed_table import KeyedTable
-from olapkit.workspace import new_path
+from olapkit.workspace import materialize, new_path
 
 # Files
 
@@ -143,11 +143,14 @@ def save_modes(t):
     return out[0].unionAll(out[1]).unionAll(out[2]).unionAll(out[3])
 
 
-@query("import_upsert", BATCH_SQL + """
+@query(
+    "import_upsert",
+    BATCH_SQL
+    + """
     SELECT * FROM base WHERE o_orderkey NOT IN (SELECT o_orderkey FROM last)
-    UNION ALL SELECT * EXCLUDE seq FROM first WHERE o_orderkey NOT IN (SELECT o_orderkey FROM last WHERE seq = 2)
-    UNION ALL SELECT * EXCLUDE seq FROM last WHERE seq = 2
-""")
+    UNION ALL SELECT * EXCLUDE seq FROM last
+    """,
+)
 def import_upsert(t):
     table = orders_table(t)
     once, twice = (batch(t).filter(F.col("seq") == n).drop("seq") for n in (1, 2))
@@ -161,9 +164,9 @@ def import_upsert(t):
 
 @query(
     "export_roundtrip",
-    """
-    SELECT 'csv' AS fmt, o_orderkey, o_totalprice FROM orders WHERE o_orderkey % 3 <> 0
-    UNION ALL SELECT 'parquet', o_orderkey, o_totalprice FROM orders WHERE o_orderkey % 3 <> 0
+    BATCH_SQL
+    + """
+    SELECT fmt, o_orderkey, o_totalprice FROM base, (VALUES ('csv'), ('parquet')) f(fmt)
     """,
 )
 def export_roundtrip(t):
@@ -179,25 +182,25 @@ def export_roundtrip(t):
 
 # Keyed tables
 
-BASE_SQL = "SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice FROM orders WHERE o_orderkey % 3 <> 0"
-
-
 def orders_table(t, **options):
     path = new_path(t.spark, "table")
     return KeyedTable.create_as(base(t), path, ["o_orderkey"], ts=100, name="orders", **options)
 
 
+def of_priority(t, priority):
+    return t.orders.filter(F.col("o_orderpriority") == priority)
+
+
 def reinserted(t):
-    rows = t.orders.filter(F.col("o_orderkey") % 20 == 0).select(*COLUMNS)
+    rows = of_priority(t, "2-HIGH").filter(F.col("o_orderstatus") == "F").select(*COLUMNS)
     return rows.withColumn("o_orderstatus", F.lit("R"))
 
 
 def history(t):
-    """Time 100 base, 200 the batch, 300 every tenth order deleted, 400 every twentieth back."""
+    """Time 100 base, 200 the batch, 300 high priorities deleted, 400 their closed orders back."""
     table = orders_table(t)
     table.write("upsert", batch(t), ts=200, seq="seq")
-    doomed = t.orders.filter(F.col("o_orderkey") % 10 == 0).select("o_orderkey")
-    table.write("delete_ignore", doomed, ts=300)
+    table.write("delete_ignore", of_priority(t, "2-HIGH").select("o_orderkey"), ts=300)
     table.write("upsert", reinserted(t), ts=400)
     return table
 
@@ -207,8 +210,11 @@ HISTORY_SQL = (
     + """,
 at200 AS (SELECT * FROM base WHERE o_orderkey NOT IN (SELECT o_orderkey FROM last)
           UNION ALL SELECT * EXCLUDE seq FROM last),
-at300 AS (SELECT * FROM at200 WHERE o_orderkey % 10 <> 0),
-back AS (SELECT o_orderkey, o_custkey, 'R' AS o_orderstatus, o_totalprice FROM orders WHERE o_orderkey % 20 = 0),
+high AS (SELECT o_orderkey FROM orders WHERE o_orderpriority = '2-HIGH'),
+at300 AS (SELECT * FROM at200 WHERE o_orderkey NOT IN (FROM high)),
+back AS (SELECT o_orderkey, o_custkey, 'R' AS o_orderstatus, o_totalprice FROM orders
+         WHERE o_orderpriority = '2-HIGH' AND o_orderstatus = 'F'),
+gone AS (SELECT * FROM at200 WHERE o_orderkey IN (FROM high) AND o_orderkey NOT IN (SELECT o_orderkey FROM back)),
 at400 AS (SELECT * FROM at300 UNION ALL SELECT * FROM back)
 """
 )
@@ -217,8 +223,7 @@ at400 AS (SELECT * FROM at300 UNION ALL SELECT * FROM back)
 @query("ctas", "SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice FROM orders")
 def ctas(t):
     table = orders_table(t)
-    rest = t.orders.select(*COLUMNS).filter(F.col("o_orderkey") % 3 == 0)
-    table.write("insert", rest)
+    table.write("insert_ignore", recent(t))
     return table.latest()
 
 
@@ -226,16 +231,8 @@ def ctas(t):
     "copy_table",
     BATCH_SQL
     + """
-    SELECT * FROM base WHERE NOT (o_orderkey % 2 = 0 AND o_totalprice > 100000)
-    UNION ALL
-    SELECT l.o_orderkey, l.o_custkey, l.o_orderstatus, l.o_totalprice FROM last l JOIN orders o USING (o_orderkey)
-    WHERE l.o_totalprice > 100000 AND l.o_orderkey % 3 = 0
-    UNION ALL
-    SELECT b.o_orderkey, l.o_custkey, l.o_orderstatus, l.o_totalprice FROM base b JOIN last l USING (o_orderkey)
-    WHERE l.o_totalprice > 100000
-    UNION ALL
-    SELECT b.* FROM base b JOIN last l USING (o_orderkey)
-    WHERE NOT l.o_totalprice > 100000 AND b.o_totalprice > 100000
+    SELECT * FROM base WHERE o_orderkey NOT IN (SELECT o_orderkey FROM last WHERE o_totalprice > 100000)
+    UNION ALL SELECT * EXCLUDE seq FROM last WHERE o_totalprice > 100000
     """,
 )
 def copy_table(t):
@@ -272,16 +269,22 @@ def latest(t):
     HISTORY_SQL
     + """
     SELECT *, false AS is_deleted FROM back
-    UNION ALL SELECT * EXCLUDE seq, false FROM last WHERE o_orderkey % 10 <> 0
-    UNION ALL SELECT * EXCLUDE seq, true FROM last
-              WHERE o_orderkey % 10 = 0 AND o_orderkey % 20 <> 0 AND o_orderkey % 3 <> 0
+    UNION ALL SELECT * EXCLUDE seq, false FROM last WHERE o_orderkey NOT IN (FROM high)
+    UNION ALL SELECT *, true FROM gone WHERE o_orderkey IN (FROM keys)
     """,
 )
 def diff_scan(t):
     return history(t).diff(100, 400)
 
 
-@query("read_own_writes", BATCH_SQL + "SELECT * FROM base UNION ALL SELECT * EXCLUDE seq FROM first WHERE o_orderkey % 3 = 0")
+@query(
+    "read_own_writes",
+    BATCH_SQL
+    + """
+    SELECT * FROM base
+    UNION ALL SELECT * EXCLUDE seq FROM first WHERE o_orderkey NOT IN (FROM keys)
+    """,
+)
 def read_own_writes(t):
     table = orders_table(t)
     written = table.write("insert_ignore", batch(t), seq="seq")
@@ -292,14 +295,15 @@ def read_own_writes(t):
     "compact",
     HISTORY_SQL
     + """,
-    late AS (SELECT * FROM at400 WHERE o_orderkey % 7 <> 0)
+    late AS (SELECT * FROM at400 WHERE o_orderkey NOT IN (
+               SELECT o_orderkey FROM orders WHERE o_orderpriority = '3-MEDIUM'))
     SELECT 'now' AS at, * FROM late UNION ALL SELECT 'before', * FROM at200
     """,
 )
 def compact(t):
     table = history(t)
     table.compact()
-    table.write("delete_ignore", t.orders.filter("o_orderkey % 7 = 0").select("o_orderkey"), ts=500)
+    table.write("delete_ignore", of_priority(t, "3-MEDIUM").select("o_orderkey"), ts=500)
     now = table.latest().select(F.lit("now").alias("at"), "*")
     return now.unionAll(table.as_of(200).select(F.lit("before"), "*"))
 
@@ -308,8 +312,9 @@ def compact(t):
     "staged_commit",
     BATCH_SQL
     + """
-    SELECT * FROM base WHERE o_orderkey NOT IN (SELECT o_orderkey FROM last) AND o_orderkey % 5 <> 0
-    UNION ALL SELECT * EXCLUDE seq FROM last WHERE o_orderkey % 5 <> 0
+    , medium AS (SELECT o_orderkey FROM orders WHERE o_orderpriority = '3-MEDIUM')
+    SELECT * FROM base WHERE o_orderkey NOT IN (SELECT o_orderkey FROM last) AND o_orderkey NOT IN (FROM medium)
+    UNION ALL SELECT * EXCLUDE seq FROM last WHERE o_orderkey NOT IN (FROM medium)
     """,
 )
 def staged_commit(t):
@@ -319,14 +324,15 @@ def staged_commit(t):
         cancelled.rollback()
     with table.batch() as staged:
         staged.write("upsert", batch(t), seq="seq")
-        staged.write("delete_ignore", t.orders.filter("o_orderkey % 5 = 0").select("o_orderkey"))
+        staged.write("delete_ignore", of_priority(t, "3-MEDIUM").select("o_orderkey"))
     return table.latest()
 
 
 @query(
     "catalog",
     """
-    SELECT 'sales_orders' AS name, 'night shift' AS owner, count(*) AS rows FROM orders WHERE o_orderkey % 3 <> 0
+    SELECT 'sales_orders' AS name, 'night shift' AS owner, count(*) AS rows FROM orders
+    WHERE o_orderdate < DATE '2000-01-01'
     UNION ALL SELECT 'sales_parts', '', count(*) FROM part
     """,
 )
@@ -349,9 +355,9 @@ def catalog(t):
 
 ALTERED_SQL = """
 SELECT o_orderkey, o_custkey, o_orderstatus AS status, 'web' AS channel, NULL AS note
-FROM orders WHERE o_orderkey % 3 <> 0 AND o_orderkey % 2 <> 0
+FROM orders WHERE o_orderdate < DATE '1998-01-01'
 UNION ALL
-SELECT o_orderkey, o_custkey, 'N', 'shop', o_orderpriority FROM orders WHERE o_orderkey % 2 = 0
+SELECT o_orderkey, o_custkey, 'N', 'shop', o_orderpriority FROM orders WHERE o_orderdate >= DATE '1998-01-01'
 """
 
 
@@ -367,7 +373,7 @@ def altered(t):
 
 
 def altered_rows(t):
-    return t.orders.filter(F.col("o_orderkey") % 2 == 0).select(
+    return recent(t, "o_orderpriority").select(
         "o_orderkey",
         "o_custkey",
         F.lit("N").alias("status"),
@@ -398,7 +404,7 @@ def backup_full(t):
     HISTORY_SQL
     + """
     SELECT *, 0::TINYINT AS row_action FROM back
-    UNION ALL SELECT * EXCLUDE seq, 1::TINYINT FROM last WHERE o_orderkey % 10 = 0 AND o_orderkey % 20 <> 0
+    UNION ALL SELECT *, 1::TINYINT FROM gone
     """,
 )
 def backup_incremental(t):
@@ -443,7 +449,7 @@ def restore_altered(t):
     "restore_dropped_range",
     BATCH_SQL
     + """
-    SELECT * FROM base WHERE NOT (o_orderkey >= 300 AND o_orderkey < 900)
+    SELECT * FROM base WHERE NOT (o_orderkey >= 300 AND o_orderkey < 9000)
       AND o_orderkey NOT IN (SELECT o_orderkey FROM last)
     UNION ALL SELECT * EXCLUDE seq FROM last
     """,
@@ -452,7 +458,7 @@ def restore_dropped_range(t):
     root = new_path(t.spark, "backups")
     table = orders_table(t)
     backups.backup(table, root)
-    table.drop_range("o_orderkey", 300, 900)
+    table.drop_range("o_orderkey", 300, 9000)
     table.write("upsert", batch(t), seq="seq")
     backups.backup(table, root)
     return backups.restore(t.spark, root, "orders")
@@ -462,16 +468,15 @@ def restore_dropped_range(t):
     "restore_names",
     """
     SELECT p_partkey,
-           CASE WHEN p_partkey % 2 = 0 THEN 'ext::' ELSE '' END || 'new.' || p_type || '_copy' AS moved,
-           CASE WHEN p_partkey % 3 = 0 THEN 'db' || p_size || '.' ELSE '' END || p_type AS bare
+           CASE WHEN p_size > 25 THEN 'ext::' ELSE '' END || 'new.' || p_type || '_copy' AS moved,
+           CASE WHEN p_retailprice > 950 THEN 'db' || p_size || '.' ELSE '' END || p_type AS bare
     FROM part
     """,
 )
 def restore_names(t):
-    key = F.col("p_partkey")
     name = F.concat(
-        F.when(key % 2 == 0, "ext::").otherwise(""),
-        F.when(key % 3 == 0, F.concat(F.lit("db"), F.col("p_size"), F.lit("."))).otherwise(""),
+        F.when(F.col("p_size") > 25, "ext::").otherwise(""),
+        F.when(F.col("p_retailprice") > 950, F.concat(F.lit("db"), F.col("p_size"), F.lit("."))).otherwise(""),
         "p_type",
     )
     rows = t.part.select("p_partkey", name.alias("name"))
@@ -486,7 +491,8 @@ def restore_names(t):
 @query(
     "backup_many",
     """
-    SELECT 'orders' AS table_name, 'ok' AS status, count(*) AS rows FROM orders WHERE o_orderkey % 3 <> 0
+    SELECT 'orders' AS table_name, 'ok' AS status, count(*) AS rows FROM orders
+    WHERE o_orderdate < DATE '2000-01-01'
     UNION ALL SELECT 'part', 'ok', count(*) FROM part
     UNION ALL SELECT 'missing', 'AnalysisException', 0
     """,
@@ -510,11 +516,11 @@ def backup_many(t):
 
 MANIFEST_SQL = """
 WITH RECURSIVE n AS (
-  SELECT o_custkey, o_orderkey, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) AS i FROM orders),
+  SELECT o_custkey, o_orderkey, o_orderpriority, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) AS i FROM orders),
 m AS (
   SELECT 'table ' || o_custkey AS table_name, CAST(o_custkey AS VARCHAR) AS table_id,
          CAST(o_orderkey AS VARCHAR) AS backup_id, i * 1000000 AS to_ts,
-         CASE WHEN (i - 1) % 6 = 0 THEN 0 WHEN o_orderkey % 5 = 0 THEN ((i - 1) // 2) * 1000000
+         CASE WHEN (i - 1) % 6 = 0 THEN 0 WHEN o_orderpriority = '5-LOW' THEN ((i - 1) // 2) * 1000000
               ELSE (i - 1) * 1000000 END AS from_ts FROM n),
 r AS (
   SELECT table_id, backup_id AS root_id, to_ts AS root_to, to_ts, 0 AS weight, [backup_id] AS path
@@ -529,12 +535,15 @@ best AS (
 
 def order_manifests(t):
     numbered = number_rows(
-        t.orders.select("o_custkey", "o_orderkey"), ["o_orderkey"], "i", within=["o_custkey"]
+        t.orders.select("o_custkey", "o_orderkey", "o_orderpriority"),
+        ["o_orderkey"],
+        "i",
+        within=["o_custkey"],
     )
     before = F.col("i") - 1
     start = (
         F.when(before % 6 == 0, 0)
-        .when(F.col("o_orderkey") % 5 == 0, F.floor(before / 2) * 1_000_000)
+        .when(F.col("o_orderpriority") == "5-LOW", F.floor(before / 2) * 1_000_000)
         .otherwise(before * 1_000_000)
     )
     return numbered.select(
@@ -573,8 +582,6 @@ def chain_base(t):
     """,
 )
 def backup_list(t):
-    from olapkit.workspace import materialize
-
     rows = materialize(order_manifests(t), "manifests")
     lists = [
         backups.backup_list(rows, kind).select(F.lit(kind).alias("list"), "*")
