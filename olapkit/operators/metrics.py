@@ -7,6 +7,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from olapkit.operators.skew import salted_join
+
 SERIES = ["host", "metric"]
 DAY = 86_400
 # Slots generated by one task at a time when a grid is filled.
@@ -105,7 +107,7 @@ def resample(points: DataFrame, steps: DataFrame) -> DataFrame:
     )
     slot = F.ceil((t - F.col("start")) / F.col("step"))
     values = (
-        points.join(grids.select(*SERIES, "start", "step"), SERIES)
+        salted_join(points, grids.select(*SERIES, "start", "step"), SERIES)
         .withColumn("slot", slot)
         .groupBy(*SERIES, "slot")
         .agg(F.max_by("value", t).alias("value"))

@@ -10,6 +10,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from olapkit.operators.skew import salted_join
 
 # Columns of each shape, in order.
 STAR_LINE = (
@@ -169,9 +170,7 @@ def sparse_order(lineitem: DataFrame, max_cells: int = 100_000) -> DataFrame:
         cells.groupBy("l_orderkey")
         .agg(F.count(F.lit(1)).alias("_n"))
         .filter(F.col("_n") > max_cells)
-        .select(
-            F.col("l_orderkey").alias("_wide"), F.ceil(F.col("_n") * 2 / max_cells).alias("_chunks")
-        )
+        .select("l_orderkey", F.ceil(F.col("_n") * 2 / max_cells).alias("_chunks"))
     )
     chunk = F.when(
         F.col("_chunks").isNotNull(), F.pmod(F.xxhash64("l_partkey"), F.col("_chunks"))
@@ -181,7 +180,7 @@ def sparse_order(lineitem: DataFrame, max_cells: int = 100_000) -> DataFrame:
         F.col("quantity").alias("value"),
     )
     return (
-        cells.join(wide, F.col("l_orderkey") == F.col("_wide"), "left")
+        salted_join(cells, wide, ["l_orderkey"], "left")
         .withColumn("chunk", chunk)
         .groupBy("l_orderkey", "chunk")
         .agg(F.map_from_entries(F.collect_list(cell)).alias("quantities"))

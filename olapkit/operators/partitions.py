@@ -7,6 +7,7 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StructType
 
 RANGE = "_range"
 
@@ -114,6 +115,21 @@ class PartitionSpec:
             raise ValueError(f"no such range: {bound}")
         return PartitionSpec(self.hash, self.range_column, rest)
 
+    def to_json(self) -> dict:
+        return {
+            "hash": [[list(h.columns), h.buckets, h.seed] for h in self.hash],
+            "range_column": self.range_column,
+            "bounds": [[b.lower, b.upper, b.buckets] for b in self.bounds],
+        }
+
+    @classmethod
+    def from_json(cls, value: dict) -> "PartitionSpec":
+        return cls(
+            tuple(HashLevel(tuple(c), n, seed) for c, n, seed in value["hash"]),
+            value["range_column"],
+            tuple(Bound(a, b, tuple(n) if n else None) for a, b, n in value["bounds"]),
+        )
+
     def count(self) -> int:
         """Number of partitions: the product of the levels, range by range."""
         total = 0
@@ -197,6 +213,40 @@ def write_partitioned(df: DataFrame, spec: PartitionSpec, keys: Sequence[str], p
     clustered(df, spec, keys).write.partitionBy(*spec.columns).parquet(path)
 
 
+def partition_predicate(
+    spec: PartitionSpec,
+    schema: StructType,
+    equals: Mapping[str, object],
+    lower: object = None,
+    upper: object = None,
+) -> Column:
+    """What ``equals`` and the range ``[lower, upper)`` say about the partition columns."""
+    wanted, predicate = Bound(lower, upper), F.lit(True)
+    if spec.bounds:
+        if spec.range_column in equals:
+            wanted = Bound.single(equals[spec.range_column])
+        hits = [i for i, b in enumerate(spec.bounds) if b.overlaps(wanted)]
+        predicate = predicate & F.col(RANGE).isin(hits)
+    for i, level in enumerate(spec.hash):
+        if set(level.columns) <= set(equals):
+            values = [literal(equals[c]).cast(schema[c].dataType) for c in level.columns]
+            number = bucket(values, _level_buckets(spec, i), level.seed)
+            predicate = predicate & (F.col(f"_bucket{i}") == number)
+    return predicate
+
+
+def row_predicate(
+    spec: PartitionSpec, equals: Mapping[str, object], lower: object = None, upper: object = None
+) -> Column:
+    """The same about the rows themselves."""
+    predicate = F.lit(True)
+    for c, v in equals.items():
+        predicate = predicate & (F.col(c) == literal(v))
+    if lower is not None or upper is not None:
+        predicate = predicate & Bound(lower, upper).holds(F.col(spec.range_column))
+    return predicate
+
+
 def pruned_scan(
     spark: SparkSession,
     path: str,
@@ -211,26 +261,11 @@ def pruned_scan(
     """
     equals = dict(equals or {})
     df = spark.read.parquet(path)
-    for c, v in equals.items():
-        df = df.filter(F.col(c) == literal(v))
-    wanted = Bound(lower, upper)
-    if spec.bounds:
-        if lower is not None or upper is not None:
-            df = df.filter(wanted.holds(F.col(spec.range_column)))
-        if spec.range_column in equals:
-            wanted = Bound.single(equals[spec.range_column])
-        hits = [i for i, b in enumerate(spec.bounds) if b.overlaps(wanted)]
-        df = df.filter(F.col(RANGE).isin(hits))
-    for i, level in enumerate(spec.hash):
-        if not set(level.columns) <= set(equals):
-            continue
-        values = [literal(equals[c]).cast(df.schema[c].dataType) for c in level.columns]
-        if any(b.buckets is not None for b in spec.bounds):
-            number = bucket(values, _level_buckets(spec, i), level.seed)
-        else:
-            number = bucket(values, level.buckets, level.seed)
-        df = df.filter(F.col(f"_bucket{i}") == number)
-    return df.drop(*spec.columns)
+    return (
+        df.filter(partition_predicate(spec, df.schema, equals, lower, upper))
+        .filter(row_predicate(spec, equals, lower, upper))
+        .drop(*spec.columns)
+    )
 
 
 def partition_stats(df: DataFrame, spec: PartitionSpec) -> DataFrame:

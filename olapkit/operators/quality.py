@@ -6,6 +6,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from olapkit.operators.skew import salted_join
+
 
 def reject(df: DataFrame, predicate: Column, key: Sequence[str]) -> tuple[DataFrame, DataFrame]:
     """(rows kept, keys of the rows that meet the predicate); null counts as not met."""
@@ -20,10 +22,9 @@ def cascade(
 
     ``rejected`` has one column, the parent's key, each value once.
     """
-    parent = rejected.select(F.col(rejected.columns[0]).alias("_parent"))
-    on = F.col(foreign_key) == F.col("_parent")
-    kept = child.join(parent, on, "left_anti")
-    lost = child.join(parent, on, "left_semi").select(*child_key).distinct()
+    parent = rejected.select(F.col(rejected.columns[0]).alias(foreign_key))
+    kept = salted_join(child, parent, [foreign_key], "left_anti")
+    lost = salted_join(child, parent, [foreign_key], "left_semi").select(*child_key).distinct()
     return kept, lost
 
 

@@ -20,6 +20,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import DataType
 
 from olapkit.operators.numbering import number_rows
+from olapkit.operators.skew import salted_join
 
 PUT, REMOVE = 0, 1
 
@@ -306,10 +307,9 @@ def row_errors(
         error = error.when(present | again, IMMUTABLE) if immutable and op == "upsert" else error
     else:
         return bad
-    # The batch may hold one key very often; the marks side has it once, and Spark
-    # splits an oversized partition of the batch side (adaptive skew join).
+    # The batch may hold one key very often; the marks have it once.
     refused = (
-        valid.join(_marks(base, valid, rules, seq), list(rules.keys))
+        salted_join(valid, _marks(base, valid, rules, seq), rules.keys)
         .select(*shown, error.alias("error"))
         .filter(F.col("error").isNotNull())
     )
@@ -404,6 +404,6 @@ def auto_increment(
     """
     highest = existing.groupBy(*within).agg(F.max(name).alias("_highest"))
     numbered = number_rows(rows, order_by, name, within=within)
-    return numbered.join(highest, list(within), "left").select(
+    return salted_join(numbered, highest, within, "left").select(
         *rows.columns, (F.col(name) + F.coalesce(F.col("_highest"), F.lit(0))).alias(name)
     )

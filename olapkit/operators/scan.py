@@ -28,6 +28,13 @@ def union_by_name(first: DataFrame, *others: DataFrame) -> DataFrame:
     return first
 
 
+def count_distinct(df: DataFrame, *columns: str, approximate: bool = False) -> DataFrame:
+    """Distinct values of each column in one row; the approximate form keeps a small sketch
+    per column instead of the values."""
+    count = F.approx_count_distinct if approximate else F.count_distinct
+    return df.agg(*[count(c).alias(c) for c in columns])
+
+
 def table_difference(left: DataFrame, right: DataFrame) -> DataFrame:
     """Rows, with multiplicity, that only one side has; empty when the tables are equal.
 

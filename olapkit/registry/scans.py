@@ -18,6 +18,7 @@ from olapkit.operators.scan import (
     top_rows,
     union_by_name,
 )
+from olapkit.operators.scan import count_distinct as exact_distinct
 from olapkit.plans import sales
 from olapkit.plans.tables import LINEITEM_DATES_SQL
 from olapkit.registry.base import query, rounded
@@ -365,9 +366,7 @@ def distinct_values(t):
     "SELECT count(DISTINCT l_linenumber) AS n, count(DISTINCT l_partkey) AS parts FROM lineitem",
 )
 def count_distinct(t):
-    return t.lineitem.agg(
-        F.count_distinct("l_linenumber").alias("n"), F.count_distinct("l_partkey").alias("parts")
-    )
+    return exact_distinct(t.lineitem, "l_linenumber", "l_partkey").toDF("n", "parts")
 
 
 @query(

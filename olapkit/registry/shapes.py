@@ -354,6 +354,14 @@ def store_q1(t):
     return shown(store.pricing(store.store_line_item(t.lineitem)))
 
 
+@query(
+    "store_matching_rows",
+    "SELECT count(*) AS matching_rows FROM lineitem WHERE strftime(l_shipdate, '%Y-%m-%d') <= '1998-09-02'",
+)
+def store_matching_rows(t):
+    return store.matching_rows(store.pricing(store.store_line_item(t.lineitem)))
+
+
 @query("store_q1_range", STORE_SQL.format(extra="AND l_orderkey BETWEEN 100 AND 14000"))
 def store_q1_range(t):
     return shown(store.pricing_of_orders(store.store_line_item(t.lineitem), 100, 14000))

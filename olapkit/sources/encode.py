@@ -62,11 +62,7 @@ def record_key(*parts: str) -> Column:
 
 
 def to_hash_records(df: DataFrame, key: Sequence[str]) -> DataFrame:
-    """(key, fields): the key columns joined by ``_``, all others as a map of strings.
-
-    A plain map, so that Spark reads only the columns whose fields are used when
-    records are decoded in the same plan.
-    """
+    """(key, fields): the key columns joined by ``_``, all others as a map of strings."""
     pairs = []
     for c in df.columns:
         if c not in key:

@@ -25,10 +25,12 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import DataType, StructField, StructType
 
-from olapkit.operators import rowops
+from olapkit.operators import partitions, rowops
+from olapkit.operators.partitions import Bound, PartitionSpec
 from olapkit.operators.rowops import PUT, REMOVE, Rules, merge
 
 CONTROL = ["_op", "_ts", "_seq"]
+NOT_COVERED = "NOT_COVERED"
 
 
 def now_micros() -> int:
@@ -65,8 +67,18 @@ class KeyedTable:
         immutable: Sequence[str] = (),
         owner: str = "",
         comment: str = "",
+        partition: PartitionSpec | None = None,
     ) -> "KeyedTable":
-        """A new empty table; key columns come first and are never null."""
+        """A new empty table; key columns come first and are never null.
+
+        ``partition`` uses key columns only; its bounds are numbers or strings (dates
+        as ISO text). Rows outside every range are refused.
+        """
+        if partition is not None:
+            used = {c for level in partition.hash for c in level.columns}
+            used |= {partition.range_column} if partition.bounds else set()
+            if not used <= set(keys):
+                raise ValueError("partition columns must be key columns")
         defaults = dict(defaults or {})
         ordered = [*keys, *[f.name for f in schema if f.name not in keys]]
         columns = []
@@ -99,6 +111,7 @@ class KeyedTable:
                 "commits": [],
                 "history_start": 0,
                 "sources": {},
+                "partition": partition.to_json() if partition else None,
             }
         )
         return table
@@ -144,6 +157,10 @@ class KeyedTable:
             immutable=tuple(c["name"] for c in columns if c["immutable"]),
         )
 
+    @staticmethod
+    def spec(meta: dict) -> PartitionSpec | None:
+        return PartitionSpec.from_json(meta["partition"]) if meta.get("partition") else None
+
     @property
     def schema(self) -> StructType:
         return StructType(
@@ -152,8 +169,10 @@ class KeyedTable:
 
     # Reading
 
-    def _files(self, meta: dict, paths: Sequence[str], control: bool) -> DataFrame:
-        """Stored rows under their current column names."""
+    def _files(
+        self, meta: dict, paths: Sequence[str], control: bool, prune: Column | None = None
+    ) -> DataFrame:
+        """Stored rows under their current column names; ``prune`` picks partition folders."""
         fields = [StructField(f"c{c['id']}", _type_of(c["type"])) for c in meta["columns"]]
         stored = StructType(
             [
@@ -173,6 +192,8 @@ class KeyedTable:
             df = self.spark.read.schema(stored).parquet(*[f"{self.path}/{p}" for p in paths])
         else:
             df = self.spark.createDataFrame([], stored)
+        if prune is not None:
+            df = df.filter(prune)
         cells = []
         for c in meta["columns"]:
             cell = F.col(f"c{c['id']}")
@@ -203,13 +224,14 @@ class KeyedTable:
         names = [c["name"] for c in meta["columns"]]
         return rows.select(*names, "_op")
 
-    def _state(self, meta: dict, upto: int) -> DataFrame:
+    def _state(self, meta: dict, upto: int, prune: Column | None = None) -> DataFrame:
         snapshots = [c for c in meta["commits"] if c["kind"] == "snapshot" and c["ts"] <= upto]
         newest = max(snapshots, key=lambda c: c["ts"], default={"ts": 0, "path": None})
         tail = self._last_rows(meta, newest["ts"], upto)
         if newest["path"] is None:
             return tail.filter(F.col("_op") == PUT).drop("_op")
-        base = self._files(meta, [newest["path"]], control=False)
+        folders = prune if newest.get("partitioned") == meta.get("partition") else None
+        base = self._files(meta, [newest["path"]], control=False, prune=folders)
         if not self._paths(meta, "log", newest["ts"], upto):
             return base
         return merge(base, tail, meta["keys"])
@@ -222,6 +244,21 @@ class KeyedTable:
         meta = self.meta()
         return self._state(meta, self._last_ts(meta))
 
+    def scan(
+        self, equals: Mapping[str, object], lower: object = None, upper: object = None
+    ) -> DataFrame:
+        """Latest rows with ``equals`` key values and the range column in ``[lower, upper)``.
+
+        Of a partitioned snapshot only the matching folders are read.
+        """
+        meta = self.meta()
+        spec = self.spec(meta) or PartitionSpec()
+        if set(equals) - set(meta["keys"]):
+            raise ValueError("only key columns can be given; filter the result by others")
+        prune = partitions.partition_predicate(spec, self.schema, equals, lower, upper)
+        state = self._state(meta, self._last_ts(meta), prune)
+        return state.filter(partitions.row_predicate(spec, equals, lower, upper))
+
     def as_of(self, ts: int) -> DataFrame:
         """The table at a time; the same answer however often it is asked."""
         meta = self.meta()
@@ -298,6 +335,9 @@ class KeyedTable:
             meta = self._widen(meta, changes, [seq] if seq else [])
         ts = self._next_ts(meta, ts)
         base = self._state(meta, self._last_ts(meta))
+        spec = self.spec(meta)
+        if spec is not None:
+            changes = changes.filter(partitions.covered(spec))
         delta = rowops.plan_change(base, changes, self.rules(meta), op, seq, ignore_null)
         commit = self._store(meta, delta, ts, 0)
         values = {"commits": [*meta["commits"], commit]}
@@ -308,7 +348,14 @@ class KeyedTable:
 
     def errors(self, op: str, changes: DataFrame, seq: str | None = None) -> DataFrame:
         """The rows ``write`` would refuse against the current state."""
-        return rowops.row_errors(self.latest(), changes, self.rules(), op, seq)
+        meta = self.meta()
+        base, spec = self._state(meta, self._last_ts(meta)), self.spec(meta)
+        if spec is None:
+            return rowops.row_errors(base, changes, self.rules(meta), op, seq)
+        stored, outside = partitions.split_covered(changes, spec)
+        refused = rowops.row_errors(base, stored, self.rules(meta), op, seq)
+        shown = [*meta["keys"], *([seq] if seq else [])]
+        return refused.unionByName(outside.select(*shown, F.lit(NOT_COVERED).alias("error")))
 
     def write_feed(
         self, feed: DataFrame, action: str, seq: str, ts: int | None = None
@@ -361,14 +408,26 @@ class KeyedTable:
         ts = self._last_ts(meta)
         path = f"snapshot/{ts}-{uuid.uuid4().hex[:8]}"
         cells = [F.col(c["name"]).alias(f"c{c['id']}") for c in meta["columns"]]
-        state = self._state(meta, ts).repartitionByRange(*meta["keys"])
-        state.sortWithinPartitions(*meta["keys"]).select(
-            *cells,
+        control = [
             F.lit(PUT).cast("byte").alias("_op"),
             F.lit(ts).cast("long").alias("_ts"),
             F.lit(0).cast("int").alias("_seq"),
-        ).write.parquet(f"{self.path}/{path}")
-        snapshot = {"ts": ts, "seq": 0, "kind": "snapshot", "path": path}
+        ]
+        state, spec = self._state(meta, ts), self.spec(meta)
+        if spec is None:
+            placed = state.repartitionByRange(*meta["keys"]).sortWithinPartitions(*meta["keys"])
+            writer = placed.select(*cells, *control).write
+        else:
+            placed = partitions.clustered(state, spec, meta["keys"])
+            writer = placed.select(*cells, *control, *spec.columns).write.partitionBy(*spec.columns)
+        writer.parquet(f"{self.path}/{path}")
+        snapshot = {
+            "ts": ts,
+            "seq": 0,
+            "kind": "snapshot",
+            "path": path,
+            "partitioned": meta.get("partition"),
+        }
         if keep_history:
             self._change(meta, commits=[*meta["commits"], snapshot])
         else:
@@ -418,6 +477,8 @@ class KeyedTable:
         if any(c["name"] == new for c in meta["columns"]):
             raise ValueError(f"column {new} exists")
         columns = [{**c, "name": new} if c["name"] == old else c for c in meta["columns"]]
+        if old in meta["keys"] and meta.get("partition"):
+            raise ValueError("a key column of a partitioned table cannot be renamed")
         keys = [new if k == old else k for k in meta["keys"]]
         gaps = [
             {**g, "column": new} if g["column"] == old else g for g in meta.get("dropped_ranges", [])
@@ -432,9 +493,21 @@ class KeyedTable:
         columns = [{**c, **attributes} if c["name"] == name else c for c in meta["columns"]]
         return self._change(meta, columns=columns)
 
+    def add_range(self, bound: Bound) -> dict:
+        """Accept rows of one more range."""
+        meta = self.meta()
+        return self._change(meta, partition=self.spec(meta).with_range(bound).to_json())
+
     def drop_range(self, column: str, lower, upper) -> dict:
-        """Drop the rows stored so far with ``lower <= column < upper``; later rows stay."""
+        """Drop the rows stored so far with ``lower <= column < upper``; later rows stay.
+
+        On a table partitioned by ranges the range goes too, and must exist.
+        """
         meta = self.meta()
+        spec = self.spec(meta)
+        if spec is not None and spec.bounds:
+            smaller = spec.without_range(Bound(lower, upper))
+            meta = {**meta, "partition": smaller.to_json()}
         gap = {"column": column, "lower": lower, "upper": upper, "ts": self._last_ts(meta)}
         return self._change(meta, dropped_ranges=[*meta.get("dropped_ranges", []), gap])
 
@@ -464,6 +537,9 @@ class StagedBatch:
         """One operation; it sees the earlier ones of the batch."""
         pending = {**self.meta, "commits": [*self.meta["commits"], *self.commits]}
         base = self.table._state(pending, self.ts)
+        spec = self.table.spec(self.meta)
+        if spec is not None:
+            changes = changes.filter(partitions.covered(spec))
         delta = rowops.plan_change(base, changes, self.table.rules(self.meta), op, seq)
         self.commits.append(self.table._store(self.meta, delta, self.ts, len(self.commits)))
 

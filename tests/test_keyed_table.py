@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StringType, StructType
 
+from olapkit.operators.partitions import Bound, HashLevel, PartitionSpec
 from olapkit.sources import keyed_table as kt
 from olapkit.sources.keyed_table import KeyedTable
 from olapkit.workspace import new_path
@@ -169,3 +170,43 @@ def test_key_columns_first(spark):
     assert not table.schema["k"].nullable
     assert table.exists()
     assert not KeyedTable(spark, new_path(spark, "none")).exists()
+
+
+def test_partitioned_table(spark):
+    spec = PartitionSpec(
+        hash=(HashLevel(("k",), 2),),
+        range_column="d",
+        bounds=(Bound("2020-01-01", "2021-01-01"), Bound("2021-01-01", "2022-01-01")),
+    )
+    df = spark.range(200).selectExpr(
+        "CAST(id AS INT) k", "date_add(DATE '2020-01-01', CAST(id * 10 AS INT)) d", "'v' v"
+    )
+    path = new_path(spark, "t")
+    table = KeyedTable.create(spark, path, df.schema, ["k", "d"], partition=spec)
+    refused = table.errors("insert", df)
+    assert {r["error"] for r in refused.collect()} == {"NOT_COVERED"}
+    table.write("insert", df, ts=10)
+    stored = df.filter("d < DATE '2022-01-01'")
+    assert refused.count() + stored.count() == 200
+    assert table.latest().exceptAll(stored).isEmpty()
+    table.compact()
+    table.write("upsert", df.filter("k = 5").withColumn("v", F.lit("w")), ts=20)
+    hit = table.scan({"k": 5}, lower="2020-01-01", upper="2021-01-01")
+    assert [(r["k"], r["v"]) for r in hit.collect()] == [(5, "w")]
+    plan = hit._jdf.queryExecution().executedPlan().toString()
+    folders = [x.split("]")[0] for x in plan.split("PartitionFilters: [")[1:]]
+    assert any("_range" in f and "_bucket0" in f for f in folders)
+    assert table.scan({"k": 5, "d": "2021-06-01"}).isEmpty()
+    assert table.scan({}, lower="2021-01-01").count() == stored.filter("d >= DATE '2021-01-01'").count()
+    table.drop_range("d", "2020-01-01", "2021-01-01")
+    assert table.latest().filter("d < DATE '2021-01-01'").isEmpty()
+    table.write("insert_ignore", df, ts=30)
+    assert table.latest().filter("d < DATE '2021-01-01'").isEmpty()
+    table.add_range(Bound("2020-01-01", "2020-06-01"))
+    table.write("insert_ignore", df, ts=40)
+    table.compact()
+    want = df.filter("d < DATE '2022-01-01' AND (d < DATE '2020-06-01' OR d >= DATE '2021-01-01')")
+    assert table.latest().select("k").exceptAll(want.select("k")).isEmpty()
+    assert table.latest().count() == want.count()
+    with pytest.raises(ValueError):
+        KeyedTable.create(spark, new_path(spark, "t"), df.schema, ["k"], partition=spec)

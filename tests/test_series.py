@@ -9,6 +9,8 @@ from pyspark.sql.types import StructType
 
 from olapkit.operators import metrics, verify
 from olapkit.operators.numbering import number_rows, split_batches, unique_ids
+from olapkit.operators.scan import table_difference
+from olapkit.operators.skew import salted_join
 from olapkit.registry.series import ALL_TYPES
 
 
@@ -180,3 +182,33 @@ def test_random_rows(spark):
     assert all(1500 < stats[c] < 1700 for c in schema.names[1:])
     assert 150 < stats["sevens"] < 250
     assert a.dtypes == spark.createDataFrame([], schema).dtypes
+
+
+@pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
+def test_salted_join_answers_like_a_plain_one(spark, how):
+    many = spark.range(3000).select(
+        "id", F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id") % 40).alias("k")
+    )
+    unique = spark.range(0, 40, 3).select(F.col("id").alias("k"), (F.col("id") * 2).alias("v"))
+    if how in ("left_semi", "left_anti"):
+        unique = unique.select("k")
+    got, want = salted_join(many, unique, ["k"], how), many.join(unique, "k", how)
+    assert table_difference(got, want.select(*got.columns)).isEmpty()
+
+
+def test_salted_join_spreads_a_hot_key(spark):
+    many = spark.range(32_000).select("id", F.lit(1).alias("k"))
+    unique = spark.createDataFrame([(1, "x")], "k INT, v STRING")
+    saved = {
+        c: spark.conf.get(c)
+        for c in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.enabled")
+    }
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        joined = salted_join(many, unique, ["k"], salts=64)
+        sizes = [r["count"] for r in joined.groupBy(F.spark_partition_id()).count().collect()]
+    finally:
+        for c, v in saved.items():
+            spark.conf.set(c, v)
+    assert sum(sizes) == 32_000 and max(sizes) < 16_000
