@@ -7,7 +7,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from olapkit.operators.skew import salted_join
+from olapkit.operators.skew import hot_keys, salted_join
 
 SERIES = ["host", "metric"]
 DAY = 86_400
@@ -102,12 +102,13 @@ def resample(points: DataFrame, steps: DataFrame) -> DataFrame:
     """
     t = F.col("timestamp").cast("long")
     spans = points.groupBy(*SERIES).agg(F.min(t).alias("start"), F.max(t).alias("end"))
+    hot = hot_keys(points, SERIES)
     grids = spans.join(steps, SERIES).withColumn(
         "slots", F.ceil((F.col("end") - F.col("start")) / F.col("step")) + 1
     )
     slot = F.ceil((t - F.col("start")) / F.col("step"))
     values = (
-        salted_join(points, grids.select(*SERIES, "start", "step"), SERIES)
+        salted_join(points, grids.select(*SERIES, "start", "step"), SERIES, hot=hot)
         .withColumn("slot", slot)
         .groupBy(*SERIES, "slot")
         .agg(F.max_by("value", t).alias("value"))

@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import DataType
 
 from olapkit.operators.numbering import number_rows
-from olapkit.operators.skew import salted_join
+from olapkit.operators.skew import hot_keys, salted_join
 
 PUT, REMOVE = 0, 1
 
@@ -295,21 +295,28 @@ def row_errors(
     present = F.col("_present")
     again = F.col(seq) > F.col("_first") if seq else F.lit(False)
     immutable = _sets_immutable(changes, rules)
+    repeated, always = F.col("_n") > 1, F.lit(True)
     if op == "insert":
-        error = F.when(present | again, ALREADY_PRESENT)
+        error, suspect = F.when(present | again, ALREADY_PRESENT), present | repeated
     elif op == "delete":
-        error = F.when(~present | again, NOT_FOUND)
+        error, suspect = F.when(~present | again, NOT_FOUND), ~present | repeated
+    elif op == "update" and immutable:
+        error, suspect = F.when(~present, NOT_FOUND).otherwise(IMMUTABLE), always
     elif op == "update":
-        error = F.when(~present, NOT_FOUND)
-        error = error.otherwise(IMMUTABLE) if immutable else error
-    elif op.startswith("upsert"):
+        error, suspect = F.when(~present, NOT_FOUND), ~present
+    elif op == "upsert" and immutable:
         error = F.when(F.col("_lacks") & ~present, MISSING_VALUE)
-        error = error.when(present | again, IMMUTABLE) if immutable and op == "upsert" else error
+        error, suspect = error.when(present | again, IMMUTABLE), always
+    elif op.startswith("upsert"):
+        if not needed and not _unset_required(changes, rules):
+            return bad
+        error, suspect = F.when(F.col("_lacks") & ~present, MISSING_VALUE), ~present
     else:
         return bad
-    # The batch may hold one key very often; the marks have it once.
+    # Only keys with a refused row are marked. The batch may hold one of them very often.
+    marks = _marks(base, valid, rules, seq).filter(suspect)
     refused = (
-        salted_join(valid, _marks(base, valid, rules, seq), rules.keys)
+        salted_join(valid, marks, rules.keys, hot=hot_keys(valid, rules.keys))
         .select(*shown, error.alias("error"))
         .filter(F.col("error").isNotNull())
     )
@@ -404,6 +411,7 @@ def auto_increment(
     """
     highest = existing.groupBy(*within).agg(F.max(name).alias("_highest"))
     numbered = number_rows(rows, order_by, name, within=within)
-    return salted_join(numbered, highest, within, "left").select(
+    hot = hot_keys(numbered, within)
+    return salted_join(numbered, highest, within, "left", hot).select(
         *rows.columns, (F.col(name) + F.coalesce(F.col("_highest"), F.lit(0))).alias(name)
     )

@@ -10,7 +10,7 @@ from pyspark.sql.types import StructType
 from olapkit.operators import metrics, verify
 from olapkit.operators.numbering import number_rows, split_batches, unique_ids
 from olapkit.operators.scan import table_difference
-from olapkit.operators.skew import salted_join
+from olapkit.operators.skew import hot_keys, salted_join
 from olapkit.registry.series import ALL_TYPES
 
 
@@ -192,8 +192,11 @@ def test_salted_join_answers_like_a_plain_one(spark, how):
     unique = spark.range(0, 40, 3).select(F.col("id").alias("k"), (F.col("id") * 2).alias("v"))
     if how in ("left_semi", "left_anti"):
         unique = unique.select("k")
-    got, want = salted_join(many, unique, ["k"], how), many.join(unique, "k", how)
-    assert table_difference(got, want.select(*got.columns)).isEmpty()
+    want = many.join(unique, "k", how)
+    hot = hot_keys(many, ["k"], 100)
+    assert [r["k"] for r in hot.collect()] == [0]
+    for got in (salted_join(many, unique, ["k"], how), salted_join(many, unique, ["k"], how, hot)):
+        assert table_difference(got, want.select(*got.columns)).isEmpty()
 
 
 def test_salted_join_spreads_a_hot_key(spark):
@@ -206,7 +209,8 @@ def test_salted_join_spreads_a_hot_key(spark):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     try:
-        joined = salted_join(many, unique, ["k"], salts=64)
+        hot = hot_keys(many, ["k"], 1000)
+        joined = salted_join(many, unique, ["k"], hot=hot, salts=64)
         sizes = [r["count"] for r in joined.groupBy(F.spark_partition_id()).count().collect()]
     finally:
         for c, v in saved.items():
