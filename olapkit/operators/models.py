@@ -11,6 +11,10 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from olapkit.operators.skew import salted_join
+from olapkit.workspace import materialize_counted
+
+# A two-column row takes about 50 bytes as a broadcast entry.
+MAX_BROADCAST_ROWS = 1_000_000
 
 # Columns of each shape, in order.
 STAR_LINE = (
@@ -162,26 +166,32 @@ def sparse_order(lineitem: DataFrame, max_cells: int = 100_000) -> DataFrame:
     """Per order a map ``part_<key>`` to quantity.
 
     A part that repeats in an order is summed. An order of more than ``max_cells``
-    parts gets several rows (``chunk`` 0, 1, ...), each with a share of its parts,
+    lines gets several rows (``chunk`` 0, 1, ...), each with a share of its parts,
     so no single map outgrows a task; nothing is left out.
     """
-    cells = lineitem.groupBy("l_orderkey", "l_partkey").agg(F.sum("l_quantity").alias("quantity"))
-    wide = (
-        cells.groupBy("l_orderkey")
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .filter(F.col("_n") > max_cells)
-        .select("l_orderkey", F.ceil(F.col("_n") * 2 / max_cells).alias("_chunks"))
+    lines = lineitem.groupBy("l_orderkey").agg(F.count(F.lit(1)).alias("_n"))
+    wide, found = materialize_counted(
+        lines.filter(F.col("_n") > max_cells).select(
+            "l_orderkey", F.ceil(F.col("_n") * 2 / max_cells).alias("_chunks")
+        ),
+        "wide-orders",
     )
-    chunk = F.when(
-        F.col("_chunks").isNotNull(), F.pmod(F.xxhash64("l_partkey"), F.col("_chunks"))
-    ).otherwise(F.lit(0))
+    cells = lineitem.groupBy("l_orderkey", "l_partkey").agg(F.sum("l_quantity").alias("quantity"))
+    chunk = F.lit(0)
+    if found:
+        # Few orders are that wide; if they are many after all, they are not broadcast.
+        if found <= MAX_BROADCAST_ROWS:
+            cells = cells.join(F.broadcast(wide), "l_orderkey", "left")
+        else:
+            cells = salted_join(cells, wide, ["l_orderkey"], "left")
+        part = F.pmod(F.xxhash64("l_partkey"), F.col("_chunks")).cast("int")
+        chunk = F.when(F.col("_chunks").isNotNull(), part).otherwise(0)
     cell = F.struct(
         F.concat(F.lit("part_"), F.col("l_partkey").cast("string")).alias("key"),
         F.col("quantity").alias("value"),
     )
     return (
-        salted_join(cells, wide, ["l_orderkey"], "left")
-        .withColumn("chunk", chunk)
+        cells.withColumn("chunk", chunk)
         .groupBy("l_orderkey", "chunk")
         .agg(F.map_from_entries(F.collect_list(cell)).alias("quantities"))
     )
