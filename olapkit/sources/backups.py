@@ -224,7 +224,7 @@ def backup(
     ``full`` forces a full backup, ``from_ts`` an increment from that time.
     """
     meta = table.meta()
-    end = to_ts if to_ts is not None else table._last_ts(meta)
+    end = to_ts if to_ts is not None else table.last_commit(meta)
     start = 0
     if from_ts is not None:
         start = from_ts

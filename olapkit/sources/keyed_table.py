@@ -237,12 +237,13 @@ class KeyedTable:
         return merge(base, tail, meta["keys"])
 
     @staticmethod
-    def _last_ts(meta: dict) -> int:
+    def last_commit(meta: dict) -> int:
+        """Time of the newest commit, 0 before the first."""
         return max((c["ts"] for c in meta["commits"]), default=0)
 
     def latest(self) -> DataFrame:
         meta = self.meta()
-        return self._state(meta, self._last_ts(meta))
+        return self._state(meta, self.last_commit(meta))
 
     def scan(
         self, equals: Mapping[str, object], lower: object = None, upper: object = None
@@ -256,13 +257,13 @@ class KeyedTable:
         if set(equals) - set(meta["keys"]):
             raise ValueError("only key columns can be given; filter the result by others")
         prune = partitions.partition_predicate(spec, self.schema, equals, lower, upper)
-        state = self._state(meta, self._last_ts(meta), prune)
+        state = self._state(meta, self.last_commit(meta), prune)
         return state.filter(partitions.row_predicate(spec, equals, lower, upper))
 
     def as_of(self, ts: int) -> DataFrame:
         """The table at a time; the same answer however often it is asked."""
         meta = self.meta()
-        if ts > max(now_micros(), self._last_ts(meta)):
+        if ts > max(now_micros(), self.last_commit(meta)):
             raise ValueError("the time lies in the future")
         if ts < meta["history_start"]:
             raise ValueError("the time lies before the kept history")
@@ -271,9 +272,9 @@ class KeyedTable:
     def at_least(self, ts: int) -> DataFrame:
         """The newest state, which must include the commit at ``ts`` (read your writes)."""
         meta = self.meta()
-        if self._last_ts(meta) < ts:
+        if self.last_commit(meta) < ts:
             raise ValueError("that commit is not visible yet")
-        return self._state(meta, self._last_ts(meta))
+        return self._state(meta, self.last_commit(meta))
 
     def diff(self, start: int, end: int) -> DataFrame:
         """Keys changed in (start, end] with their final values and ``is_deleted``.
@@ -306,7 +307,7 @@ class KeyedTable:
         return {"ts": ts, "seq": seq, "kind": "log", "path": path}
 
     def _next_ts(self, meta: dict, ts: int | None) -> int:
-        last = self._last_ts(meta)
+        last = self.last_commit(meta)
         if ts is None:
             return max(now_micros(), last + 1)
         if ts <= last:
@@ -330,11 +331,11 @@ class KeyedTable:
         """
         meta = self.meta()
         if source is not None and meta["sources"].get(source[0], -1) >= source[1]:
-            return self._last_ts(meta)
+            return self.last_commit(meta)
         if drift:
             meta = self._widen(meta, changes, [seq] if seq else [])
         ts = self._next_ts(meta, ts)
-        base = self._state(meta, self._last_ts(meta))
+        base = self._state(meta, self.last_commit(meta))
         spec = self.spec(meta)
         if spec is not None:
             changes = changes.filter(partitions.covered(spec))
@@ -349,7 +350,7 @@ class KeyedTable:
     def errors(self, op: str, changes: DataFrame, seq: str | None = None) -> DataFrame:
         """The rows ``write`` would refuse against the current state."""
         meta = self.meta()
-        base, spec = self._state(meta, self._last_ts(meta)), self.spec(meta)
+        base, spec = self._state(meta, self.last_commit(meta)), self.spec(meta)
         if spec is None:
             return rowops.row_errors(base, changes, self.rules(meta), op, seq)
         stored, outside = partitions.split_covered(changes, spec)
@@ -384,13 +385,13 @@ class KeyedTable:
     ) -> int:
         """Set columns on the rows that meet the predicate; only those rows are logged."""
         meta = self.meta()
-        hit = self._state(meta, self._last_ts(meta)).filter(predicate)
+        hit = self._state(meta, self.last_commit(meta)).filter(predicate)
         changed = rowops.update_where(hit, F.lit(True), values, meta["keys"])
         return self._log_rows(meta, changed, PUT, ts)
 
     def delete_where(self, predicate: Column, ts: int | None = None) -> int:
         meta = self.meta()
-        hit = self._state(meta, self._last_ts(meta)).filter(predicate)
+        hit = self._state(meta, self.last_commit(meta)).filter(predicate)
         return self._log_rows(meta, hit, REMOVE, ts)
 
     def _log_rows(self, meta: dict, rows: DataFrame, op: int, ts: int | None) -> int:
@@ -405,7 +406,7 @@ class KeyedTable:
         Without ``keep_history`` times before the snapshot can no longer be read.
         """
         meta = self.meta()
-        ts = self._last_ts(meta)
+        ts = self.last_commit(meta)
         path = f"snapshot/{ts}-{uuid.uuid4().hex[:8]}"
         cells = [F.col(c["name"]).alias(f"c{c['id']}") for c in meta["columns"]]
         control = [
@@ -458,7 +459,7 @@ class KeyedTable:
             "nullable": not required,
             "default": default,
             "read_default": default,
-            "added": self._last_ts(meta) + 1,
+            "added": self.last_commit(meta) + 1,
             "immutable": False,
             "comment": "",
         }
@@ -508,7 +509,7 @@ class KeyedTable:
         if spec is not None and spec.bounds:
             smaller = spec.without_range(Bound(lower, upper))
             meta = {**meta, "partition": smaller.to_json()}
-        gap = {"column": column, "lower": lower, "upper": upper, "ts": self._last_ts(meta)}
+        gap = {"column": column, "lower": lower, "upper": upper, "ts": self.last_commit(meta)}
         return self._change(meta, dropped_ranges=[*meta.get("dropped_ranges", []), gap])
 
     # Table attributes

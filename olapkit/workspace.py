@@ -19,7 +19,6 @@ def local_session(cores: str = "*", memory: str = "8g") -> SparkSession:
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", memory)
         .config("spark.sql.shuffle.partitions", "8")
-        .config("spark.sql.session.timeZone", "UTC")
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
@@ -27,11 +26,12 @@ def local_session(cores: str = "*", memory: str = "8g") -> SparkSession:
 
 
 def configured(spark: SparkSession) -> SparkSession:
-    """Turn on what the plans rely on: runtime re-planning, and splitting of oversized
-    join partitions even where the split costs one more shuffle."""
+    """Turn on what the plans rely on: runtime re-planning, splitting of oversized join
+    partitions even where the split costs one more shuffle, and times read as UTC."""
     spark.conf.set("spark.sql.adaptive.enabled", "true")
     spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "true")
     spark.conf.set("spark.sql.adaptive.forceOptimizeSkewedJoin", "true")
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
     return spark
 
 

@@ -58,7 +58,7 @@ def test_random_history(spark):
             else:
                 replayed[k] = v
         assert replayed == states[b], (a, b)
-    assert times[-1] == table._last_ts(table.meta())
+    assert times[-1] == table.last_commit(table.meta())
 
 
 def test_diff_edges(spark):
