@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 #: The white space that separates words: space and the controls from tab to carriage return.
@@ -23,3 +25,12 @@ def text_of(column: str = "text") -> Column:
 def words_of(text: Column) -> Column:
     """The words of a text as an array, empty for a text without words."""
     return F.filter(F.split(text, SPACE_CLASS + "+"), lambda w: w != "")
+
+
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once, however often and wherever ``body`` uses it.
+
+    Inside the function of a transform or an aggregate, a plain column would be computed
+    anew for every element.
+    """
+    return F.element_at(F.transform(F.array(value), body), 1)

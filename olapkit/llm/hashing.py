@@ -82,6 +82,24 @@ def word_hashes(raw: np.ndarray, begins: np.ndarray) -> tuple[np.ndarray, np.nda
     return owner, mix(h + (ends - starts).astype(np.uint64))
 
 
+def line_hashes(raw: np.ndarray, begins: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of all lines of a block: the number of their text, a hash, and whether they hold a word."""
+    n = len(raw)
+    feeds = np.flatnonzero(raw == 0x0A)
+    full = np.flatnonzero(np.diff(begins) > 0)
+    starts = np.sort(np.r_[begins[full], feeds + 1])
+    # A line feed at the end of a text starts an empty line of that text.
+    ends = np.sort(np.r_[begins[full + 1], feeds])
+    owner = np.searchsorted(begins[full], ends, side="left") - 1
+    owner = full[np.maximum(owner, 0)]
+    up, down = _POWERS.get(n)
+    total = np.zeros(n + 1, dtype=np.uint64)
+    np.cumsum((raw.astype(np.uint64) + np.uint64(1)) * up[:n], out=total[1:])
+    black = np.r_[0, np.cumsum(~_SPACE[raw])]
+    h = (total[ends] - total[starts]) * down[np.minimum(starts, n)]
+    return owner, mix(h + (ends - starts).astype(np.uint64)), black[ends] > black[starts]
+
+
 def shingles(owner: np.ndarray, words: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of all runs of ``width`` words of a text; a shorter text is one run."""
     n = len(words)

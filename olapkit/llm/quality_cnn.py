@@ -270,6 +270,6 @@ def scorer(w: Weights):
     return score
 
 
-def score_documents(documents: DataFrame, labels: DataFrame) -> DataFrame:
-    """The documents with ``score``: the probability that their quality is 1."""
-    return documents.withColumn("score", scorer(train(documents, labels))(text_of()))
+def score_documents(documents: DataFrame, labels: DataFrame, name: str = "score") -> DataFrame:
+    """The documents with a column ``name``: the probability that their quality is 1."""
+    return documents.withColumn(name, scorer(train(documents, labels))(text_of()))
