@@ -166,18 +166,28 @@ def disclosing_terms(documents: DataFrame, found: DataFrame) -> DataFrame:
     # The support counts different contexts, the rate counts documents.
     support = pairs.select("entity", "term", "context").distinct().groupBy("entity", "term").agg(F.count(F.lit(1)).alias("support"))
     rates = pairs.groupBy("entity", "term", "key").agg(F.max("rows").alias("rows")).groupBy("entity", "term").agg(F.sum("rows").alias("n_te"))
+    # A term is in at least as many documents as it is in contexts: what falls short with
+    # these counts falls short with all, and needn't be counted over the corpus.
+    in_contexts = pairs.groupBy("term", "key").agg(F.max("rows").alias("rows")).groupBy("term").agg(F.sum("rows").alias("n_c"))
+    n = F.lit(found.count())
+
+    def disclosure(n_t: str) -> Column:
+        return F.log2(F.col("n_te") * n / (F.col(n_t) * F.col("n_e"))) / F.log2(n / F.col("n_e"))
+
     candidates = materialize(
-        support.where(F.col("support") >= SUPPORT).join(rates, ["entity", "term"]).join(by_entity, "entity"), "candidates"
+        support.where(F.col("support") >= SUPPORT)
+        .join(rates, ["entity", "term"])
+        .join(by_entity.where(F.col("n_e") < n), "entity")
+        .join(in_contexts, "term")
+        .where(disclosure("n_c") >= GENERALISE),
+        "candidates",
     )
     terms = candidates.select("term").distinct()
     own = F.array_distinct(F.split(F.lower(text_of()), r"[^\p{L}\p{N}]+"))
     by_term = documents.select(F.explode(own).alias("term")).join(terms, "term", "left_semi").groupBy("term").agg(F.count(F.lit(1)).alias("n_t"))
-    n = F.lit(found.count())
-    rate = F.log2(F.col("n_te") * n / (F.col("n_t") * F.col("n_e"))) / F.log2(n / F.col("n_e"))
     return (
         candidates.join(by_term, "term")
-        .where(F.col("n_e") < n)
-        .select("entity", "term", rate.alias("disclosure"))
+        .select("entity", "term", disclosure("n_t").alias("disclosure"))
         .where(F.col("disclosure") >= GENERALISE)
     )
 
