@@ -10,41 +10,47 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from olapkit.operators.skew import salted_join
-from olapkit.workspace import materialize_counted
-
-# A two-column row takes about 50 bytes as a broadcast entry.
-MAX_BROADCAST_ROWS = 1_000_000
-
 # Columns of each shape, in order.
-STAR_LINE = (
-    "l_partkey l_suppkey l_linenumber l_quantity l_extendedprice l_discount l_tax l_returnflag"
-    " l_linestatus l_receiptdate l_shipinstruct l_shipmode l_comment"
-).split()
-FLAT_LINE = (
-    "l_linenumber l_quantity l_extendedprice l_discount l_tax l_returnflag l_linestatus"
-    " l_shipdate l_commitdate l_receiptdate l_shipinstruct l_shipmode"
-).split()
-FLAT_ORDER_PART = "o_orderkey o_orderstatus o_orderdate o_orderpriority o_shippriority".split()
-FLAT_CUSTOMER = (
-    "c_custkey c_name c_address c_phone c_mktsegment c_nationname c_regionname"
-).split()
-FLAT_PART = (
-    "p_partkey p_name p_mfgr p_brand p_type p_size p_container p_retailprice"
-).split()
-FLAT_SUPPLIER = "s_suppkey s_name s_address s_phone s_nationname s_regionname".split()
-STAR_CUSTOMER = (
-    "c_custkey c_name c_address c_nationname c_regionname c_phone c_acctbal c_mktsegment"
-).split()
-STAR_SUPPLIER = (
-    "s_suppkey s_name s_address s_nationname s_regionname s_phone s_acctbal s_comment"
-).split()
-ORDER_OF_FLAT_ORDER = (
-    "o_orderkey o_orderstatus o_totalprice o_orderdate o_orderpriority o_clerk o_shippriority"
-).split()
-CUSTOMER_OF_FLAT_ORDER = (
-    "c_name c_address c_nationkey c_phone c_acctbal c_mktsegment c_nationname c_regionname"
-).split()
+STAR_LINE = [
+    "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount",
+    "l_tax", "l_returnflag", "l_linestatus", "l_receiptdate", "l_shipinstruct", "l_shipmode",
+    "l_comment",
+]
+FLAT_LINE = [
+    "l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_returnflag",
+    "l_linestatus", "l_shipdate", "l_commitdate", "l_receiptdate", "l_shipinstruct",
+    "l_shipmode",
+]
+FLAT_ORDER_PART = [
+    "o_orderkey", "o_orderstatus", "o_orderdate", "o_orderpriority", "o_shippriority",
+]
+FLAT_CUSTOMER = [
+    "c_custkey", "c_name", "c_address", "c_phone", "c_mktsegment", "c_nationname",
+    "c_regionname",
+]
+FLAT_PART = [
+    "p_partkey", "p_name", "p_mfgr", "p_brand", "p_type", "p_size", "p_container",
+    "p_retailprice",
+]
+FLAT_SUPPLIER = [
+    "s_suppkey", "s_name", "s_address", "s_phone", "s_nationname", "s_regionname",
+]
+STAR_CUSTOMER = [
+    "c_custkey", "c_name", "c_address", "c_nationname", "c_regionname", "c_phone", "c_acctbal",
+    "c_mktsegment",
+]
+STAR_SUPPLIER = [
+    "s_suppkey", "s_name", "s_address", "s_nationname", "s_regionname", "s_phone", "s_acctbal",
+    "s_comment",
+]
+ORDER_OF_FLAT_ORDER = [
+    "o_orderkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority", "o_clerk",
+    "o_shippriority",
+]
+CUSTOMER_OF_FLAT_ORDER = [
+    "c_name", "c_address", "c_nationkey", "c_phone", "c_acctbal", "c_mktsegment",
+    "c_nationname", "c_regionname",
+]
 
 
 def existing(df: DataFrame, names: Sequence[str]) -> list[str]:
@@ -162,38 +168,25 @@ def date_dim(spark: SparkSession, start: str = "1992-01-01", days: int = 2557) -
     )
 
 
-def sparse_order(lineitem: DataFrame, max_cells: int = 100_000) -> DataFrame:
-    """Per order a map ``part_<key>`` to quantity.
+def sparse_order(
+    lineitem: DataFrame, orders: DataFrame, customer: DataFrame, nation: DataFrame, region: DataFrame
+) -> DataFrame:
+    """One row for each order: its columns, its customer's, and a map ``part_<key>`` to quantity.
 
-    A part that repeats in an order is summed. An order of more than ``max_cells``
-    lines gets several rows (``chunk`` 0, 1, ...), each with a share of its parts,
-    so no single map outgrows a task; nothing is left out.
+    A part that repeats in an order is summed before the map is made. An order without lines has an empty map.
     """
-    lines = lineitem.groupBy("l_orderkey").agg(F.count(F.lit(1)).alias("_n"))
-    wide, found = materialize_counted(
-        lines.filter(F.col("_n") > max_cells).select(
-            "l_orderkey", F.ceil(F.col("_n") * 2 / max_cells).alias("_chunks")
-        ),
-        "wide-orders",
-    )
     cells = lineitem.groupBy("l_orderkey", "l_partkey").agg(F.sum("l_quantity").alias("quantity"))
-    chunk = F.lit(0)
-    if found:
-        # Few orders are that wide; if they are many after all, they are not broadcast.
-        if found <= MAX_BROADCAST_ROWS:
-            cells = cells.join(F.broadcast(wide), "l_orderkey", "left")
-        else:
-            cells = salted_join(cells, wide, ["l_orderkey"], "left")
-        part = F.pmod(F.xxhash64("l_partkey"), F.col("_chunks")).cast("int")
-        chunk = F.when(F.col("_chunks").isNotNull(), part).otherwise(0)
     cell = F.struct(
         F.concat(F.lit("part_"), F.col("l_partkey").cast("string")).alias("key"),
         F.col("quantity").alias("value"),
     )
+    maps = cells.groupBy("l_orderkey").agg(F.map_from_entries(F.collect_list(cell)).alias("quantities"))
+    wide = flat_order(orders, customer, nation, region)
+    empty = F.create_map().cast("map<string,double>")
     return (
-        cells.withColumn("chunk", chunk)
-        .groupBy("l_orderkey", "chunk")
-        .agg(F.map_from_entries(F.collect_list(cell)).alias("quantities"))
+        wide.join(maps, F.col("o_orderkey") == F.col("l_orderkey"), "left")
+        .drop("l_orderkey")
+        .withColumn("quantities", F.coalesce(F.col("quantities"), empty))
     )
 
 

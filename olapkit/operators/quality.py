@@ -6,8 +6,6 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from olapkit.operators.skew import salted_join
-
 
 def reject(df: DataFrame, predicate: Column, key: Sequence[str]) -> tuple[DataFrame, DataFrame]:
     """(rows kept, keys of the rows that meet the predicate); null counts as not met."""
@@ -23,8 +21,10 @@ def cascade(
     ``rejected`` has one column, the parent's key, each value once.
     """
     parent = rejected.select(F.col(rejected.columns[0]).alias(foreign_key))
-    kept = salted_join(child, parent, [foreign_key], "left_anti")
-    lost = salted_join(child, parent, [foreign_key], "left_semi").select(*child_key).distinct()
+    kept = child.join(parent, foreign_key, "left_anti")
+    # Only key columns of the child are read for the lost ones.
+    narrow = child.select(*dict.fromkeys([foreign_key, *child_key]))
+    lost = narrow.join(parent, foreign_key, "left_semi").select(*child_key).distinct()
     return kept, lost
 
 

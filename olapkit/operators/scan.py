@@ -7,6 +7,10 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 
+#: Copies of a row that one array stands for.
+COPIES = 4096
+
+
 def by_position(df: DataFrame, positions: Sequence[int]) -> DataFrame:
     return df.select(*[df.columns[i] for i in positions])
 
@@ -47,6 +51,12 @@ def table_difference(left: DataFrame, right: DataFrame) -> DataFrame:
     signed = left.withColumn("_n", F.lit(1)).unionByName(right.withColumn("_n", F.lit(-1)))
     balance = signed.groupBy(*columns).agg(F.sum("_n").alias("_n")).filter(F.col("_n") != 0)
     side = F.when(F.col("_n") > 0, "left").otherwise("right")
-    return balance.select(
-        side.alias("side"), *columns, F.explode(F.sequence(F.lit(1), F.abs("_n"))).alias("_copy")
-    ).drop("_copy")
+    # Copies come back in runs of bounded length, dealt out before they are made.
+    runs = balance.select(
+        side.alias("side"),
+        *columns,
+        F.abs("_n").alias("_n"),
+        F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.abs("_n") - 1) / COPIES))).alias("_run"),
+    )
+    most = F.least(F.lit(COPIES).cast("long"), F.col("_n") - F.col("_run") * COPIES)
+    return runs.select("side", *columns, F.explode(F.sequence(F.lit(1).cast("long"), most)).alias("_copy")).drop("_copy")

@@ -135,6 +135,7 @@ def local_supplier_volume(
     )
     by_supplier = (
         lineitem.select("l_orderkey", "l_suppkey", "l_extendedprice", "l_discount")
+        .join(sellers, F.col("l_suppkey") == F.col("s_suppkey"), "left_semi")
         .join(bought, F.col("l_orderkey") == F.col("o_orderkey"))
         .groupBy("l_suppkey", "c_nationkey")
         .agg(F.sum(net_price()).alias("part_revenue"))

@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
-from olapkit.workspace import configured
 
 # The seven shipping modes.
 SHIP_MODES = ["REG AIR", "AIR", "RAIL", "SHIP", "TRUCK", "MAIL", "FOB"]
@@ -19,7 +18,7 @@ class Tables:
     """Reads ``<folder>/<table>.parquet`` on attribute access."""
 
     def __init__(self, spark: SparkSession, folder: str):
-        self.spark = configured(spark)
+        self.spark = spark
         self.folder = folder.rstrip("/")
 
     def path(self, name: str) -> str:

@@ -146,23 +146,55 @@ def date_dim(t):
 @query(
     "sparse_order",
     """
-    SELECT l_orderkey, 'part_' || l_partkey AS part, sum(l_quantity) AS quantity
-    FROM lineitem GROUP BY ALL
+    WITH cells AS (
+      SELECT l_orderkey, 'part_' || l_partkey || '=' || sum(l_quantity)::BIGINT AS cell FROM lineitem GROUP BY l_orderkey, l_partkey
+    ), rows AS (SELECT l_orderkey, count(*) AS parts, string_agg(cell, ',' ORDER BY cell) AS cells FROM cells GROUP BY ALL)
+    SELECT o_orderkey, o_orderstatus, c_name, n_name AS c_nationname, r_name AS c_regionname,
+           coalesce(parts, 0)::INT AS parts, coalesce(cells, '') AS cells
+    FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey
+    JOIN region ON n_regionkey = r_regionkey LEFT JOIN rows ON l_orderkey = o_orderkey
     """,
 )
 def sparse_order(t):
-    orders = models.sparse_order(t.lineitem)
-    return orders.select("l_orderkey", F.explode("quantities").alias("part", "quantity"))
+    wide = models.sparse_order(t.lineitem, t.orders, t.customer, t.nation, t.region)
+    cells = F.transform(
+        F.map_entries("quantities"), lambda e: F.concat(e["key"], F.lit("="), e["value"].cast("long").cast("string"))
+    )
+    return wide.select(
+        "o_orderkey", "o_orderstatus", "c_name", "c_nationname", "c_regionname",
+        F.size("quantities").alias("parts"), F.array_join(F.array_sort(cells), ",").alias("cells"),
+    )
 
 
-@query("sparsify")
+@query(
+    "sparsify",
+    """
+    SELECT count(*) AS rows, count(DISTINCT c_custkey) AS keys, 0::BIGINT AS changed, 0::BIGINT AS names_lost,
+           true AS rates_hold, count(*) AS drawn_twice_alike
+    FROM customer
+    """,
+)
 def sparsify(t):
     rules = [(20.0, ["c_name"]), (12.5, ["c_name", "c_nationkey", "c_acctbal"])]
-    thinned = models.sparsify(t.customer, ["c_custkey"], rules, seed=7)
-    return thinned.groupBy(
-        F.col("c_nationkey").isNull().alias("nation_blank"),
-        F.col("c_mktsegment").isNull().alias("segment_blank"),
-    ).agg(F.count(F.lit(1)).alias("n"))
+    thinned, again = (models.sparsify(t.customer, ["c_custkey"], rules, seed=7) for _ in range(2))
+    rest = [c for c in t.customer.columns if c != "c_custkey"]
+    old = t.customer.select("c_custkey", *[F.col(c).alias(f"_{c}") for c in rest])
+    second = again.select("c_custkey", F.xxhash64(*rest).alias("_again"))
+    both = thinned.join(old, "c_custkey").join(second, "c_custkey")
+    differs = F.lit(False)
+    for c in rest:
+        differs = differs | (F.col(c).isNotNull() & ~F.col(c).eqNullSafe(F.col(f"_{c}")))
+    # About 20 and 32.5 of a hundred rows; wide enough for the smallest folder.
+    nation = F.count_if(F.col("c_nationkey").isNull()) / F.count(F.lit(1))
+    segment = F.count_if(F.col("c_mktsegment").isNull()) / F.count(F.lit(1))
+    return both.agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.count_distinct("c_custkey").alias("keys"),
+        F.count_if(differs).alias("changed"),
+        F.count_if(F.col("c_name").isNull() & F.col("_c_name").isNotNull()).alias("names_lost"),
+        (nation.between(0.08, 0.32) & segment.between(0.2, 0.45)).alias("rates_hold"),
+        F.count_if(F.xxhash64(*rest) == F.col("_again")).alias("drawn_twice_alike"),
+    )
 
 
 @query(

@@ -1,62 +1,27 @@
-"""Column types of the sales tables as their loaders declare them."""
+"""Column types of delimited line items as their loader declares them."""
 
 from __future__ import annotations
 
-from pyspark.sql.types import (
-    ByteType,
-    DataType,
-    DateType,
-    FloatType,
-    IntegerType,
-    LongType,
-    StringType,
-    StructField,
-    StructType,
-)
-
-
-def _table(text: str) -> StructType:
-    """``name type[!]`` items; ``!`` marks a column that may not be null."""
-    kinds: dict[str, DataType] = {
-        "int": IntegerType(),
-        "long": LongType(),
-        "float": FloatType(),
-        "string": StringType(),
-        "date": DateType(),
-        "byte": ByteType(),
-    }
-    fields = []
-    for item in text.split(","):
-        name, kind = item.split()
-        fields.append(StructField(name, kinds[kind.rstrip("!")], not kind.endswith("!")))
-    return StructType(fields)
+from pyspark.sql.types import DateType, FloatType, IntegerType, StringType, StructField, StructType
 
-
-# Table layouts.
-REGION = _table("r_regionkey int!, r_name string")
-NATION = _table("n_nationkey int!, n_name string, n_regionkey int")
-CUSTOMER = _table(
-    "c_custkey int!, c_name string, c_address string, c_nationkey int, c_phone string,"
-    " c_acctbal float, c_mktsegment string"
-)
-SUPPLIER = _table(
-    "s_suppkey int!, s_name string, s_address string, s_nationkey int, s_phone string,"
-    " s_acctbal float, s_comment string"
-)
-PART = _table(
-    "p_partkey int!, p_name string, p_mfgr string, p_brand string, p_type string, p_size int,"
-    " p_container string, p_retailprice float, p_comment string"
-)
-PARTSUPPLIER = _table(
-    "ps_partkey int!, ps_suppkey int, ps_availqty int, ps_supplycost float, ps_comment string"
-)
-ORDERS = _table(
-    "o_orderkey int!, o_custkey int, o_orderstatus string, o_totalprice float, o_orderdate date,"
-    " o_orderpriority string, o_clerk string, o_shippriority int, o_comment string"
-)
-LINEITEM = _table(
-    "l_orderkey int, l_partkey int, l_suppkey int, l_linenumber int, l_quantity int,"
-    " l_extendedprice float, l_discount float, l_tax float, l_returnflag string,"
-    " l_linestatus string, l_shipdate date, l_commitdate date, l_receiptdate date,"
-    " l_shipinstruct string, l_shipmode string, l_comment string"
+# The layout of the file.
+LINEITEM = StructType(
+    [
+        StructField("l_orderkey", IntegerType()),
+        StructField("l_partkey", IntegerType()),
+        StructField("l_suppkey", IntegerType()),
+        StructField("l_linenumber", IntegerType()),
+        StructField("l_quantity", IntegerType()),
+        StructField("l_extendedprice", FloatType()),
+        StructField("l_discount", FloatType()),
+        StructField("l_tax", FloatType()),
+        StructField("l_returnflag", StringType()),
+        StructField("l_linestatus", StringType()),
+        StructField("l_shipdate", DateType()),
+        StructField("l_commitdate", DateType()),
+        StructField("l_receiptdate", DateType()),
+        StructField("l_shipinstruct", StringType()),
+        StructField("l_shipmode", StringType()),
+        StructField("l_comment", StringType()),
+    ]
 )

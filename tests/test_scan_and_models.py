@@ -93,20 +93,22 @@ def test_quality_checks(spark):
     assert sorted((r["rows"], r["reason"]) for r in bad) == [(1, "null"), (2, "duplicate")]
 
 
-def test_sparse_orders_split_wide_ones(spark):
+def test_sparse_orders_have_one_row_of_any_width(spark):
     lines = spark.range(1000).select(
         F.when(F.col("id") % 3 == 0, 1).otherwise(F.col("id")).alias("l_orderkey"),
         (F.col("id") % 500).alias("l_partkey"),
         F.lit(1.0).alias("l_quantity"),
     )
-    rows = models.sparse_order(lines, max_cells=20)
-    assert rows.agg(F.max(F.size("quantities"))).first()[0] <= 40
-    wide = rows.filter("l_orderkey = 1")
-    assert wide.count() > 1
-    cells = wide.select(F.explode("quantities").alias("part", "n"))
-    assert cells.count() == cells.select("part").distinct().count()
-    assert cells.agg(F.sum("n")).first()[0] == lines.filter("l_orderkey = 1").count()
-    assert models.sparse_order(lines).filter("chunk > 0").isEmpty()
+    orders = lines.select(F.col("l_orderkey").alias("o_orderkey")).distinct().withColumn("o_custkey", F.lit(1))
+    orders = orders.unionByName(spark.createDataFrame([(-5, 1)], "o_orderkey BIGINT, o_custkey INT"))
+    customer = spark.createDataFrame([(1, "c", 2)], "c_custkey INT, c_name STRING, c_nationkey INT")
+    nation = spark.createDataFrame([(2, "n", 3)], "n_nationkey INT, n_name STRING, n_regionkey INT")
+    region = spark.createDataFrame([(3, "r")], "r_regionkey INT, r_name STRING")
+    rows = models.sparse_order(lines, orders, customer, nation, region)
+    assert rows.count() == rows.select("o_orderkey").distinct().count() == orders.count()
+    wide = rows.filter("o_orderkey = 1").select(F.explode("quantities").alias("part", "n"))
+    assert wide.agg(F.sum("n")).first()[0] == lines.filter("l_orderkey = 1").count()
+    assert [tuple(r) for r in rows.filter("o_orderkey = -5").select("c_regionname", F.size("quantities")).collect()] == [("r", 0)]
 
 
 def test_sparsify_draws_by_chance(spark):
