@@ -21,6 +21,7 @@ def file_stream(
     if per_trigger is not None:
         reader = reader.option("maxFilesPerTrigger", per_trigger)
     # A pattern matches a single file as well as a folder of files.
+    path = path.rstrip("/")
     return reader.load(f"{path[:-1]}[{path[-1]}]")
 
 
@@ -32,12 +33,15 @@ def upsert_stream(
     op: str = "upsert",
     seq: str | None = None,
     prepare: Callable[[DataFrame], DataFrame] | None = None,
+    every: str | None = None,
 ) -> StreamingQuery:
     """Write each micro-batch with ``op``; a replayed batch changes nothing.
 
     The table records the last batch number under ``name``, which must stay the
-    same for the same checkpoint. Runs until the available input is used up.
+    same for the same checkpoint. Runs until the available input is used up, or for good, with a
+    micro-batch ``every`` so often (``"10 seconds"``).
     """
+    trigger = {"processingTime": every} if every else {"availableNow": True}
 
     def apply(batch: DataFrame, number: int) -> None:
         rows = prepare(batch) if prepare else batch
@@ -47,7 +51,7 @@ def upsert_stream(
         stream.writeStream.foreachBatch(apply)
         .outputMode("update")
         .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
+        .trigger(**trigger)
         .start()
     )
 
@@ -57,17 +61,18 @@ def metric_stream(
 ) -> StreamingQuery:
     """Metric lines into a table keyed by host, metric and time; repeats are ignored.
 
-    Repeats close in time are dropped in the stream, whose watermark bounds the
-    state; the insert drops the rest.
+    A point may be as late as it likes: repeats are dropped in the micro-batch and by the
+    insert, which knows all stored keys, so the stream keeps no state.
     """
     points, _ = parse_metric_lines(lines, "value")
-    timed = points.withColumn("_time", F.timestamp_seconds("timestamp"))
-    once = (
-        timed.withWatermark("_time", "1 hour")
-        .dropDuplicatesWithinWatermark([*SERIES, "timestamp"])
-        .drop("_time")
+    return upsert_stream(
+        points,
+        table,
+        name,
+        checkpoint,
+        op="insert_ignore",
+        prepare=lambda batch: batch.dropDuplicates([*SERIES, "timestamp"]),
     )
-    return upsert_stream(once, table, name, checkpoint, op="insert_ignore")
 
 
 def json_stream(
@@ -75,42 +80,30 @@ def json_stream(
 ) -> StreamingQuery:
     """JSON array payloads, split into records of the named fields, as upserts.
 
-    Of records with one key in a batch, an arbitrary one is kept.
+    Of records with one key in a batch, the last to arrive is kept.
     """
     records = json_fields(payloads.select(column), column, types)
-    keys = table.meta()["keys"]
-    return upsert_stream(
-        records, table, name, checkpoint, prepare=lambda batch: batch.dropDuplicates(keys)
-    )
+    return upsert_stream(records, table, name, checkpoint)
 
 
-def pricing_stream(
-    lineitem: DataFrame, path: str, checkpoint: str, state_partitions: int = 4
-) -> StreamingQuery:
+def pricing_stream(lineitem: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
     """The pricing summary of all rows so far, rewritten after each micro-batch.
 
-    Batch ``n`` is the folder ``<path>/batch=n``. The summary has a handful of groups,
-    so a few state partitions do; rows are summed per task before they get there.
+    Batch ``n`` is the folder ``<path>/batch=n``. Rows are summed per task before they get to the
+    state, which has one row for each group.
     """
-    conf, setting = lineitem.sparkSession.conf, "spark.sql.shuffle.partitions"
-    usual = conf.get(setting)
-    conf.set(setting, state_partitions)
 
     def keep(batch: DataFrame, number: int) -> None:
         batch.write.mode("overwrite").parquet(f"{path}/batch={number}")
 
-    try:
-        # A stream keeps the settings of the moment it starts.
-        return (
-            sales.pricing_summary(lineitem)
-            .writeStream.foreachBatch(keep)
-            .outputMode("complete")
-            .option("checkpointLocation", checkpoint)
-            .trigger(availableNow=True)
-            .start()
-        )
-    finally:
-        conf.set(setting, usual)
+    return (
+        sales.pricing_summary(lineitem)
+        .writeStream.foreachBatch(keep)
+        .outputMode("complete")
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )
 
 
 def newest_batch(spark: SparkSession, path: str) -> DataFrame:

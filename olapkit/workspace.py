@@ -8,6 +8,7 @@ import uuid
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 CHECKPOINT_SETTING = "spark.checkpoint.dir"
+_own_roots: dict[str, str] = {}
 
 
 def local_session(cores: str = "*", memory: str = "8g") -> SparkSession:
@@ -26,25 +27,27 @@ def local_session(cores: str = "*", memory: str = "8g") -> SparkSession:
 
 
 def configured(spark: SparkSession) -> SparkSession:
-    """Turn on what the plans rely on: runtime re-planning, splitting of oversized join
-    partitions even where the split costs one more shuffle, and times read as UTC."""
-    spark.conf.set("spark.sql.adaptive.enabled", "true")
-    spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "true")
+    """Split oversized join partitions even where that costs one more shuffle, and read times as UTC.
+
+    For sessions of one's own; the library changes no setting of a session it is given.
+    """
     spark.conf.set("spark.sql.adaptive.forceOptimizeSkewedJoin", "true")
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     return spark
 
 
 def shared_root(spark: SparkSession) -> str:
-    """The folder named by the session. Only a local session may fall back to its own."""
+    """The folder named by the session. Only a local session may fall back to its own, one for an application."""
     root = spark.conf.get(CHECKPOINT_SETTING, None)
     if root:
         return root.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError(f"set {CHECKPOINT_SETTING} to a folder every executor can reach")
-    root = tempfile.mkdtemp(prefix="olapkit-")
-    spark.conf.set(CHECKPOINT_SETTING, root)
-    return root
+    # The setting is fixed once a session runs, so the folder is remembered here.
+    application = spark.sparkContext.applicationId
+    if application not in _own_roots:
+        _own_roots[application] = tempfile.mkdtemp(prefix="olapkit-")
+    return _own_roots[application]
 
 
 def new_path(spark: SparkSession, label: str) -> str:
