@@ -86,6 +86,16 @@ def widen(base: DataFrame, changes: DataFrame, extra: Sequence[str] = ()) -> Dat
     return base.withColumns({f.name: F.lit(None).cast(f.dataType) for f in new})
 
 
+ARRIVAL = "_arrival"
+
+
+def in_arrival_order(changes: DataFrame, seq: str | None) -> tuple[DataFrame, str]:
+    """The batch with a column that orders it: its own, or the order in which rows come."""
+    if seq is not None:
+        return changes, seq
+    return changes.withColumn(ARRIVAL, F.monotonically_increasing_id()), ARRIVAL
+
+
 def last_changes(
     changes: DataFrame, keys: Sequence[str], seq: str | None, ignore_null: bool = False
 ) -> DataFrame:
@@ -411,7 +421,11 @@ def auto_increment(
     """
     highest = existing.groupBy(*within).agg(F.max(name).alias("_highest"))
     numbered = number_rows(rows, order_by, name, within=within)
-    hot = hot_keys(numbered, within)
-    return salted_join(numbered, highest, within, "left", hot).select(
+    # A null partition is one partition, as it is for the numbering.
+    match = F.lit(True)
+    for i, c in enumerate(within):
+        highest = highest.withColumnRenamed(c, f"_within{i}")
+        match = match & numbered[c].eqNullSafe(F.col(f"_within{i}"))
+    return numbered.join(highest, match, "left").select(
         *rows.columns, (F.col(name) + F.coalesce(F.col("_highest"), F.lit(0))).alias(name)
     )

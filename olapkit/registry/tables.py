@@ -464,6 +464,37 @@ def restore_dropped_range(t):
     return backups.restore(t.spark, root, "orders")
 
 
+@query(
+    "restore_renamed",
+    BATCH_SQL
+    + """
+    SELECT * FROM base WHERE o_orderkey >= 300 AND o_orderkey NOT IN (SELECT o_orderkey FROM last)
+    UNION ALL SELECT * EXCLUDE seq FROM last
+    """,
+)
+def restore_renamed(t):
+    root = new_path(t.spark, "backups")
+    table = orders_table(t)
+    backups.backup(table, root)
+    table.drop_range("o_orderkey", None, 300)
+    table.describe(name="renamed")
+    table.write("upsert", batch(t), seq="seq")
+    backups.backup(table, root)
+    return backups.restore_table(t.spark, root, "renamed", new_path(t.spark, "table")).latest()
+
+
+@query(
+    "ctas_repeated_keys",
+    "SELECT * FROM orders",
+)
+def ctas_repeated_keys(t):
+    repeated = t.orders.withColumn("o_totalprice", F.col("o_totalprice") + 1).unionByName(t.orders)
+    table = KeyedTable.create_as(repeated.limit(0), new_path(t.spark, "table"), ["o_orderkey"])
+    # The later of two rows with one key counts.
+    table.write("upsert", repeated)
+    return table.latest()
+
+
 @query(
     "restore_names",
     """

@@ -21,6 +21,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from olapkit.operators import rowops
+from olapkit.operators.partitions import Bound, PartitionSpec
 from olapkit.operators.rowops import PUT, REMOVE
 from olapkit.sources.keyed_table import KeyedTable
 from olapkit.workspace import materialize, materialize_counted
@@ -250,8 +251,10 @@ def backup(
         "format": "parquet",
         "keys": meta["keys"],
         "columns": [
-            {k: c[k] for k in ("id", "name", "type", "read_default")} for c in meta["columns"]
+            {k: c[k] for k in ("id", "name", "type", "read_default", "nullable", "default", "immutable")}
+            for c in meta["columns"]
         ],
+        "partition": meta.get("partition"),
         "dropped_ranges": meta.get("dropped_ranges", []),
         "action": action,
     }
@@ -294,7 +297,7 @@ def _adjusted(spark: SparkSession, row, last: dict) -> tuple[DataFrame, dict]:
     for gap in last["dropped_ranges"]:
         # Rows saved before the range was dropped are not brought back.
         if document["to_ts"] <= gap["ts"]:
-            inside = (F.col(gap["column"]) >= gap["lower"]) & (F.col(gap["column"]) < gap["upper"])
+            inside = Bound(gap["lower"], gap["upper"]).holds(F.col(gap["column"]))
             rows = rows.filter(~F.coalesce(inside, F.lit(False)))
     return rows, document
 
@@ -302,8 +305,37 @@ def _adjusted(spark: SparkSession, row, last: dict) -> tuple[DataFrame, dict]:
 def restore(
     spark: SparkSession, root: str, table_name: str, until: int | None = None
 ) -> DataFrame:
-    """The table as the newest usable chain holds it, in one pass over the chain."""
-    own = manifests(spark, root).filter(F.col("table_name") == table_name)
+    """The table as the newest usable chain holds it, in one pass over the chain.
+
+    A name stands for the tables that have it or once had it, so a chain outlives a rename.
+    """
+    return _restored(spark, root, table_name, until)[0]
+
+
+def restore_table(
+    spark: SparkSession, root: str, table_name: str, path: str, until: int | None = None
+) -> KeyedTable:
+    """A new keyed table with the restored rows, key, partitions and column attributes."""
+    state, last = _restored(spark, root, table_name, until)
+    columns, keys = last["columns"], last["keys"]
+    spec = last.get("partition")
+    return KeyedTable.create_as(
+        state,
+        path,
+        keys,
+        name=last["table_name"],
+        required=[c["name"] for c in columns if not c["nullable"] and c["name"] not in keys],
+        defaults={c["name"]: c["default"] for c in columns if c["default"] is not None},
+        immutable=[c["name"] for c in columns if c["immutable"]],
+        partition=PartitionSpec.from_json(spec) if spec else None,
+    )
+
+
+def _restored(spark: SparkSession, root: str, table_name: str, until: int | None) -> tuple[DataFrame, dict]:
+    """The restored rows and the document of the chain's last backup."""
+    found = manifests(spark, root)
+    named = found.filter(F.col("table_name") == table_name).select("table_id").distinct()
+    own = found.join(named, "table_id", "left_semi")
     best = restore_paths(own, until).first()
     if best is None:
         raise ValueError(f"no backup of {table_name}")
@@ -312,13 +344,13 @@ def restore(
     last = json.loads(chain[-1]["document"])
     state = _adjusted(spark, chain[0], last)[0].drop("_op")
     if len(chain) == 1:
-        return state
+        return state, last
     increments = [
         _adjusted(spark, row, last)[0].withColumn("_step", F.lit(i))
         for i, row in enumerate(chain[1:])
     ]
     changes = reduce(DataFrame.unionByName, increments)
-    return rowops.merge(state, rowops.last_changes(changes, last["keys"], "_step"), last["keys"])
+    return rowops.merge(state, rowops.last_changes(changes, last["keys"], "_step"), last["keys"]), last
 
 
 def delete_backups(spark: SparkSession, expired: DataFrame, dry_run: bool = False) -> list[str]:

@@ -203,7 +203,7 @@ class KeyedTable:
             cells.append(cell.alias(c["name"]))
         df = df.select(*cells, *CONTROL)
         for gap in meta.get("dropped_ranges", []):
-            inside = (F.col(gap["column"]) >= gap["lower"]) & (F.col(gap["column"]) < gap["upper"])
+            inside = Bound(gap["lower"], gap["upper"]).holds(F.col(gap["column"]))
             df = df.filter(~((F.col("_ts") <= gap["ts"]) & F.coalesce(inside, F.lit(False))))
         return df if control else df.drop(*CONTROL)
 
@@ -326,6 +326,8 @@ class KeyedTable:
     ) -> int:
         """Apply one batch and return its commit time.
 
+        Of several changes to one key those later in ``seq`` count, without ``seq`` those
+        that come later in the batch; a table never holds a key twice.
         ``source`` names the stream and batch number; a batch that was already
         committed is skipped. ``drift`` adds unknown incoming columns first.
         """
@@ -334,6 +336,7 @@ class KeyedTable:
             return self.last_commit(meta)
         if drift:
             meta = self._widen(meta, changes, [seq] if seq else [])
+        changes, seq = rowops.in_arrival_order(changes, seq)
         ts = self._next_ts(meta, ts)
         base = self._state(meta, self.last_commit(meta))
         spec = self.spec(meta)
@@ -351,19 +354,28 @@ class KeyedTable:
         """The rows ``write`` would refuse against the current state."""
         meta = self.meta()
         base, spec = self._state(meta, self.last_commit(meta)), self.spec(meta)
+        given = seq
+        changes, seq = rowops.in_arrival_order(changes, seq)
+        hidden = [] if given else [seq]
         if spec is None:
-            return rowops.row_errors(base, changes, self.rules(meta), op, seq)
+            return rowops.row_errors(base, changes, self.rules(meta), op, seq).drop(*hidden)
         stored, outside = partitions.split_covered(changes, spec)
-        refused = rowops.row_errors(base, stored, self.rules(meta), op, seq)
-        shown = [*meta["keys"], *([seq] if seq else [])]
+        refused = rowops.row_errors(base, stored, self.rules(meta), op, seq).drop(*hidden)
+        shown = [*meta["keys"], *([given] if given else [])]
         return refused.unionByName(outside.select(*shown, F.lit(NOT_COVERED).alias("error")))
 
     def write_feed(
         self, feed: DataFrame, action: str, seq: str, ts: int | None = None
     ) -> int:
-        """Apply a feed whose rows carry their own action (0 or null put, 1 delete)."""
+        """Apply a feed whose rows carry their own action (0 or null put, 1 delete).
+
+        Rows with a null key, and rows outside every range, are not stored.
+        """
         meta = self.meta()
         ts = self._next_ts(meta, ts)
+        feed = feed.dropna(subset=meta["keys"])
+        if self.spec(meta) is not None:
+            feed = feed.filter(partitions.covered(self.spec(meta)))
         names = [c["name"] for c in meta["columns"]]
         last = rowops.last_changes(feed, meta["keys"], seq)
         op = F.coalesce(F.col(action), F.lit(PUT)).alias("_op")
@@ -383,10 +395,18 @@ class KeyedTable:
     def update_where(
         self, predicate: Column, values: Mapping[str, Column], ts: int | None = None
     ) -> int:
-        """Set columns on the rows that meet the predicate; only those rows are logged."""
+        """Set columns on the rows that meet the predicate; only those rows are logged.
+
+        An immutable column can't be set; a row whose required column would become null stays as it is.
+        """
         meta = self.meta()
+        rules = self.rules(meta)
+        if set(values) & set(rules.immutable):
+            raise ValueError("immutable columns cannot be updated")
         hit = self._state(meta, self.last_commit(meta)).filter(predicate)
         changed = rowops.update_where(hit, F.lit(True), values, meta["keys"])
+        if rules.required:
+            changed = changed.dropna(subset=list(rules.required))
         return self._log_rows(meta, changed, PUT, ts)
 
     def delete_where(self, predicate: Column, ts: int | None = None) -> int:
@@ -541,6 +561,7 @@ class StagedBatch:
         spec = self.table.spec(self.meta)
         if spec is not None:
             changes = changes.filter(partitions.covered(spec))
+        changes, seq = rowops.in_arrival_order(changes, seq)
         delta = rowops.plan_change(base, changes, self.table.rules(self.meta), op, seq)
         self.commits.append(self.table._store(self.meta, delta, self.ts, len(self.commits)))
 
