@@ -289,13 +289,17 @@ class Splitter:
         self.cut = re.compile("(" + "|".join(map(re.escape, names)) + ")") if special else None
         # Patterns of more code points are slower; few texts need the last.
         self.plain, self.wide, self.all = (word_pattern(classes, top) for top in (0x80, 0x10000, 0x110000))
+        self.marked = re.compile("[\u0300-\U0010ffff]").search
+        self.composed = normalizers.NFC().normalize_str
         self.beyond = re.compile("[\U00010000-\U0010ffff]").search
 
     def words(self, text: str) -> list[str]:
         if text.isascii():
             return self.plain.findall(text.lower())
+        # Beyond the Latin letters the library's tables of marks differ from Python's.
+        text = self.composed(text) if self.marked(text) else unicodedata.normalize("NFC", text)
         # Small letters come one by one: a capital sigma never becomes a final one.
-        text = unicodedata.normalize("NFC", text).replace("Σ", "σ").lower()
+        text = text.replace("Σ", "σ").lower()
         if self.newer is not None and self.newer.search(text):
             text = text.translate(self.small)
         return (self.all if self.beyond(text) else self.wide).findall(text)

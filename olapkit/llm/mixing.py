@@ -65,7 +65,10 @@ def targets(sizes: DataFrame) -> DataFrame:
 
 
 def seats(sources: DataFrame) -> DataFrame:
-    """(seat, shard, rank, k): the source of each seat and which of its seats it is, stored."""
+    """(seat, shard, rank, k): the source of each seat and which of its seats it is, stored.
+
+    The targets add up to the words of all sources, as ``targets`` shares them.
+    """
     facts = sources.agg(F.sum("source_size"), F.count(F.lit(1))).first()
     total, many = facts[0] or 0, facts[1]
     wanted = max(1, round(total / BLOCK_WORDS)) if total else 0

@@ -6,8 +6,8 @@ they are the capacities to the two terminals. Neighbouring blocks, and blocks of
 are joined by edges whose capacity falls with their distance in the tree of tags. The blocks on
 the source's side of a minimum cut are the main text.
 
-The classifier is fitted on the driver, by a bounded number of pages (``SAMPLE_PAGES``, the least by a hash
-of their address), to blocks whose place in the markup tells what they are:
+The classifier is fitted on the driver, by a bounded number of different pages (``SAMPLE_PAGES``, the least
+by a hash), to blocks whose place in the markup tells what they are:
 inside an article and nothing else, or inside a menu, a footer and so on. Half of them are shown without
 what the markup tells, so that pages without such markup can be read too. A
 normal prior around ``PRIOR`` holds the weights where the sample says nothing.
@@ -272,12 +272,18 @@ def main_text(page: str, w: np.ndarray) -> str:
 
 
 def train(pages: DataFrame) -> np.ndarray:
-    sample = pages.where("html is not null").orderBy(F.xxhash64("url", "page_id"), F.xxhash64("html")).limit(SAMPLE_PAGES)
+    hashed = pages.where("html is not null").select("html", F.xxhash64("html").alias("h"))
+    # Hashes alone are put in order; then only the pages of the least ones come, equal pages once.
+    least = [r["h"] for r in hashed.select("h").distinct().orderBy("h").limit(SAMPLE_PAGES).collect()]
+    if not least:
+        return PRIOR.copy()
     # A page of the sample counts with its first and last 20,000 characters.
     ends = F.when(F.length("html") <= 40_000, F.col("html")).otherwise(
         F.concat(F.substring("html", 1, 20_000), F.substring("html", -20_000, 20_000))
     )
-    return fit([r["html"] for r in sample.select(ends.alias("html")).collect()])
+    sample = hashed.where(F.col("h") <= least[-1]).select("h", ends.alias("html"))
+    rows = sample.groupBy("h").agg(F.any_value("html").alias("html")).orderBy("h").collect()
+    return fit([r["html"] for r in rows])
 
 
 def extractor(w: np.ndarray):

@@ -68,7 +68,7 @@ def chunk_bytes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndar
     """The chunks as rows of byte numbers, padded beyond the end of their text."""
     at = start[:, None] + np.arange(CHUNK)
     inside = at < end[:, None]
-    return np.where(inside, data[np.minimum(at, len(data) - 1)], PAD).astype(np.int16)
+    return np.where(inside, data[np.minimum(at, len(data) - 1)].astype(np.int16), np.int16(PAD))
 
 
 def windows(chunks: np.ndarray, w: Weights) -> np.ndarray:
