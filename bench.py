@@ -21,7 +21,7 @@ HEADLINE = [
     *[f"flat_q{i}" for i in range(1, 6)],
     *[f"kv_q{i}" for i in range(1, 6)],
     *["store_q1", "count_all", "count_quantity", "count_key"],
-    *["flat_line_item", "sparse_order", "op_upsert", "add_row_id", "latest", "diff_scan", "metric_resample"],
+    *["flat_line_item", "sparse_order", "op_insert", "op_update", "op_upsert", "add_row_id", "latest", "diff_scan", "metric_resample"],
 ]
 
 

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from olapkit.operators.skew import hot_keys, salted_join
+from olapkit.operators.skew import salted_join
 
 SERIES = ["host", "metric"]
 DAY = 86_400
@@ -94,21 +94,23 @@ def infer_step(points: DataFrame) -> DataFrame:
     )
 
 
-def resample(points: DataFrame, steps: DataFrame) -> DataFrame:
+def resample(points: DataFrame, steps: DataFrame | int) -> DataFrame:
     """Each series on a grid of its step, from its first point on.
 
     A slot shows the newest value since the slot before it, else null: a value is
-    used once. ``steps`` is (host, metric, step).
+    used once. ``steps`` is (host, metric, step), or one step in seconds for all.
+    The points are read twice: for the spans, one row for each series, and for the values.
     """
     t = F.col("timestamp").cast("long")
     spans = points.groupBy(*SERIES).agg(F.min(t).alias("start"), F.max(t).alias("end"))
-    hot = hot_keys(points, SERIES)
-    grids = spans.join(steps, SERIES).withColumn(
-        "slots", F.ceil((F.col("end") - F.col("start")) / F.col("step")) + 1
-    )
+    if isinstance(steps, DataFrame):
+        stepped = spans.join(steps, SERIES)
+    else:
+        stepped = spans.withColumn("step", F.lit(steps).cast("long"))
+    grids = stepped.withColumn("slots", F.ceil((F.col("end") - F.col("start")) / F.col("step")) + 1)
     slot = F.ceil((t - F.col("start")) / F.col("step"))
     values = (
-        salted_join(points, grids.select(*SERIES, "start", "step"), SERIES, hot=hot)
+        salted_join(points, grids.select(*SERIES, "start", "step"), SERIES)
         .withColumn("slot", slot)
         .groupBy(*SERIES, "slot")
         .agg(F.max_by("value", t).alias("value"))

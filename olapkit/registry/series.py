@@ -111,9 +111,7 @@ SELECT host, metric, a + slot * 3600 AS timestamp, value FROM grid LEFT JOIN v U
 
 @query("metric_resample", HOUR_SQL)
 def metric_resample(t):
-    pts = points(t)
-    hourly = metrics.metric_ids(pts).withColumn("step", F.lit(3600).cast("long"))
-    return metrics.resample(pts, hourly)
+    return metrics.resample(points(t), 3600)
 
 
 TREE_SQL = """

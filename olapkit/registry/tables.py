@@ -227,6 +227,26 @@ def ctas(t):
     return table.latest()
 
 
+@query(
+    "write_reported",
+    BATCH_SQL
+    + """
+    SELECT 'stored' AS part, o_orderkey, seq, o_totalprice, NULL AS error FROM (
+      SELECT o_orderkey, NULL::INT AS seq, o_totalprice FROM base
+      UNION ALL SELECT o_orderkey, NULL, o_totalprice FROM first WHERE o_orderkey NOT IN (FROM keys))
+    UNION ALL SELECT 'refused', o_orderkey, seq, NULL, 'ALREADY_PRESENT' FROM batch
+              WHERE o_orderkey IN (FROM keys) OR seq > 1
+    """,
+)
+def write_reported(t):
+    table = orders_table(t)
+    written = table.write_reported("insert", batch(t), seq="seq")
+    # Read after the write: the rows are judged against the state before it.
+    stored = table.latest().select(F.lit("stored").alias("part"), "o_orderkey", "o_totalprice")
+    refused = written.refused.select(F.lit("refused").alias("part"), "*")
+    return stored.unionByName(refused, allowMissingColumns=True)
+
+
 @query(
     "copy_table",
     BATCH_SQL

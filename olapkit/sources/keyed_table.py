@@ -2,8 +2,8 @@
 
 ``<path>/meta/version=N`` holds one small JSON document per version: columns, key,
 and the list of commits. A version becomes visible when its document is written,
-which is the last step of every change. One writer per table at a time; a second
-one finds its version taken and fails.
+which is the last step of every change. One writer per table at a time: of two that
+publish the same version one usually fails, but a plain file store can't promise it.
 
 ``<path>/log/...`` holds the rows of a commit: full row images with ``_op`` (0 put,
 1 delete), ``_ts`` (commit time in microseconds) and ``_seq``. ``<path>/snapshot/...``
@@ -20,6 +20,7 @@ import time
 import uuid
 from collections.abc import Mapping, Sequence
 from contextlib import contextmanager
+from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -47,6 +48,14 @@ def _type_of(value) -> DataType:
     )["x"].dataType
 
 
+@dataclass(frozen=True)
+class Written:
+    """Commit time of a write, and (keys, seq if one was named, error) of each row it refused."""
+
+    ts: int
+    refused: DataFrame
+
+
 class KeyedTable:
     def __init__(self, spark: SparkSession, path: str):
         self.spark = spark
@@ -136,9 +145,10 @@ class KeyedTable:
             return False
 
     def meta(self) -> dict:
-        versions = self.spark.read.text(f"{self.path}/meta")
-        row = versions.orderBy(F.col("version").cast("long").desc()).first()
-        return json.loads(row["value"])
+        """The newest document; the names of the files tell which, so that only it is read."""
+        files = self.spark.read.text(f"{self.path}/meta").inputFiles()
+        newest = max(int(f.rsplit("/version=", 1)[1].split("/")[0]) for f in files)
+        return json.loads(self.spark.read.text(f"{self.path}/meta/version={newest}").first()["value"])
 
     def _change(self, meta: dict, **values) -> dict:
         changed = {**meta, **values, "version": meta["version"] + 1}
@@ -350,6 +360,17 @@ class KeyedTable:
         self._change(meta, **values)
         return ts
 
+    def write_reported(
+        self, op: str, changes: DataFrame, ts: int | None = None, seq: str | None = None
+    ) -> "Written":
+        """``write``, with the rows that it refused.
+
+        They are judged against the state before the write, whose files stay, so they
+        can be read at any time after it. ``changes`` must give the same rows each time.
+        """
+        refused = self.errors(op, changes, seq)
+        return Written(self.write(op, changes, ts, seq), refused)
+
     def errors(self, op: str, changes: DataFrame, seq: str | None = None) -> DataFrame:
         """The rows ``write`` would refuse against the current state."""
         meta = self.meta()

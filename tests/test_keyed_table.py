@@ -210,3 +210,24 @@ def test_partitioned_table(spark):
     assert table.latest().count() == want.count()
     with pytest.raises(ValueError):
         KeyedTable.create(spark, new_path(spark, "t"), df.schema, ["k"], partition=spec)
+
+
+def test_write_reports_what_it_refused(spark, tmp_path):
+    first = spark.createDataFrame([(1, "a"), (2, "b")], "k int, v string")
+    table = KeyedTable.create_as(first, str(tmp_path / "t"), ["k"])
+    more = spark.createDataFrame([(2, "c", 1), (3, "d", 2), (3, "e", 3), (None, "f", 4)], "k int, v string, n int")
+    written = table.write_reported("insert", more, seq="n")
+    assert sorted(map(tuple, table.latest().collect())) == [(1, "a"), (2, "b"), (3, "d")]
+    # Read after the write, and again after another one.
+    table.write("delete", spark.createDataFrame([(2,), (3,)], "k int"))
+    got = {(r["k"], r["n"]): r["error"] for r in written.refused.collect()}
+    assert got == {(2, 1): "ALREADY_PRESENT", (3, 3): "ALREADY_PRESENT", (None, 4): "NULL_KEY"}
+    assert table.last_commit(table.meta()) > written.ts
+
+
+def test_the_newest_of_many_versions_is_read(spark, tmp_path):
+    table = KeyedTable.create(spark, str(tmp_path / "t"), spark.createDataFrame([], "k int").schema, ["k"])
+    for k in range(12):
+        table.write("insert", spark.createDataFrame([(k,)], "k int"))
+    assert table.meta()["version"] == 12
+    assert table.latest().count() == 12

@@ -11,7 +11,11 @@ from olapkit.operators import metrics, verify
 from olapkit.operators.numbering import number_rows, split_batches, unique_ids
 from olapkit.operators.scan import table_difference
 from olapkit.operators.skew import hot_keys, salted_join
-from olapkit.registry.series import ALL_TYPES
+
+ALL_TYPES = (
+    "key INT, c_bool BOOLEAN, c_byte TINYINT, c_short SMALLINT, c_int INT, c_long BIGINT, c_float FLOAT,"
+    " c_double DOUBLE, c_decimal DECIMAL(20,4), c_string STRING, c_binary BINARY, c_time TIMESTAMP, c_date DATE"
+)
 
 
 def series(spark, data):
@@ -51,7 +55,9 @@ def test_resample(spark, step, monkeypatch):
         data = {h: data[h] for h in ("cold", "one")}
     points = series(spark, data)
     steps = metrics.metric_ids(points).withColumn("step", F.lit(step).cast("long"))
-    got = {(r["host"], r["timestamp"]): r["value"] for r in metrics.resample(points, steps).collect()}
+    grids = [metrics.resample(points, s).collect() for s in (steps, step)]
+    got, same = ({(r["host"], r["timestamp"]): r["value"] for r in rows} for rows in grids)
+    assert got == same
     want = {}
     for host, values in data.items():
         first, last, used = min(values), max(values), -1
