@@ -11,13 +11,14 @@ coordinate with the probability of their weighted Jaccard similarity.
 
 Equal texts are one node from the start. Nodes whose signatures agree in all
 coordinates of a band meet in a bucket. A bucket of at most ``PAIRED`` nodes gives all its
-pairs. The members of a larger one are dealt again by further coordinates, so
-that texts that share only a passage part; after ``DEPTH`` deals the
-members of what is still large, thousands of copies of one text with small
-changes, are paired with the bucket's least members in two hashed orders. Every
-pair is then checked on the exact element sets: it is a link if the
-weighted or the plain Jaccard similarity is ``SIMILARITY`` or more. Classes are the connected
-components of the links.
+pairs. The members of a larger one are paired with a lead, the member that meets
+most nodes; rounds of leads go on for what is outside the bucket's largest
+component, until the pairs left are few or a round no longer halves them. Then all pairs
+left, those of different components, are taken: every pair of a bucket is checked or
+already in one class. The last step costs the members outside the largest component
+times the members of the bucket. Every pair is checked on the exact element
+sets: it is a link if the weighted or the plain Jaccard similarity is
+``SIMILARITY`` or more. Classes are the connected components of the links.
 
 Defined results: a null text counts as empty; equal texts, empty ones too, form a
 class; a text of fewer than five words is one element; a text without words is
@@ -27,6 +28,8 @@ the least id in it (null only if it has no other).
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
@@ -40,8 +43,9 @@ SHINGLE_WORDS, SIMILARITY = 5, 0.8
 #: Coordinates of a signature and of a band: at a similarity of 0.8 a pair meets in
 #: none of the twenty bands with a probability of 3 in 100,000.
 COORDINATES, BAND = 80, 4
-#: Nodes of a bucket up to which all its pairs are taken, and how often larger ones are dealt again.
-PAIRED, DEPTH, CHILDREN = 8, 2, 2
+#: Nodes of a bucket up to which all its pairs are taken at once, and how many pairs for each
+#: member of larger ones are few enough to be checked without another round of leads.
+PAIRED, FEW = 8, 4
 
 _GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 
@@ -141,25 +145,6 @@ def _bands(signature: Column, seed: int) -> Column:
     )
 
 
-def _deeper(bucket: Column, signature: Column, depth: int) -> Column:
-    """Keys of a further deal of a bucket: coordinates chosen by the bucket's hash."""
-
-    def child(c: Column) -> Column:
-        chosen = [
-            F.element_at(signature, (F.pmod(F.xxhash64(bucket, c, F.lit(depth * BAND + i)), F.lit(COORDINATES)) + 1).cast("int"))
-            for i in range(BAND)
-        ]
-        return F.xxhash64(bucket, c, *chosen)
-
-    return F.transform(F.sequence(F.lit(0), F.lit(CHILDREN - 1)), child)
-
-
-def _bucket_facts(members: DataFrame) -> DataFrame:
-    """Buckets of two and more nodes: their size and their least nodes in two hashed orders."""
-    leads = [F.min(F.struct(F.xxhash64(F.lit(i), "key"), "key"))["key"].alias(f"lead{i}") for i in (0, 1)]
-    return materialize(members.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), *leads).where("n > 1"), "buckets")
-
-
 def _all_pairs(members: DataFrame) -> DataFrame:
     """The pairs of buckets of at most PAIRED nodes."""
     nodes = members.groupBy("bucket").agg(F.sort_array(F.collect_list("key")).alias("keys"))
@@ -168,26 +153,60 @@ def _all_pairs(members: DataFrame) -> DataFrame:
     ).select("a", F.explode(F.slice("keys", F.col("i") + 2, PAIRED)).alias("b"))
 
 
-def candidate_pairs(nodes: DataFrame) -> DataFrame:
-    """(a, b) of nodes (key, signature) that agree in a band, a below b, each pair once."""
-    found = []
+def _pair(a: str, b: str) -> list[Column]:
+    return [F.least(a, b).alias("a"), F.greatest(a, b).alias("b")]
+
+
+def _lead_pairs(members: DataFrame, choice: DataFrame) -> DataFrame:
+    """Pairs of each bucket's lead with its members of other roots.
+
+    The lead is the node of ``choice`` that meets most nodes over all buckets: an original meets
+    its copies in more bands than they meet each other.
+    """
+    lead = F.max(F.struct("met", F.xxhash64("key").alias("h"), "key", "root")).alias("lead")
+    leads = materialize(choice.groupBy("bucket").agg(lead).select("bucket", "lead.key", "lead.root"), "leads")
+    leads = leads.select("bucket", F.col("key").alias("lead"), F.col("root").alias("lead_root"))
+    return members.join(leads, "bucket").where("root != lead_root").select(*_pair("key", "lead"))
+
+
+def _rest_pairs(members: DataFrame, rest: DataFrame) -> DataFrame:
+    """All pairs of a bucket's nodes that have different roots; one of them is in the rest."""
+    others = members.select("bucket", F.col("key").alias("other"), F.col("root").alias("other_root"))
+    return rest.join(others, "bucket").where("root != other_root").select(*_pair("key", "other"))
+
+
+def _banded(nodes: DataFrame) -> DataFrame:
+    """(bucket, key, n) of the buckets of two and more nodes, stored."""
     members = nodes.where("signature is not null").select("key", F.explode(_bands(F.col("signature"), 0)).alias("bucket"))
-    for depth in range(DEPTH + 1):
-        facts = _bucket_facts(members)
-        # An explicit join of two stored tables, which Spark can split where a bucket is hot.
-        known = materialize(members.join(facts, "bucket"), "members")
-        found.append(_all_pairs(known.where(F.col("n") <= PAIRED)))
-        large = known.where(F.col("n") > PAIRED)
-        if depth == DEPTH:
-            leads = large.select("key", F.explode(F.array("lead0", "lead1")).alias("lead")).where("key != lead")
-            found.append(leads.select(F.least("key", "lead").alias("a"), F.greatest("key", "lead").alias("b")))
-        elif depth < DEPTH:
-            dealt = large.select("key", "bucket").join(nodes.select("key", "signature"), "key")
-            members = dealt.select("key", F.explode(_deeper(F.col("bucket"), F.col("signature"), depth + 1)).alias("bucket"))
-    pairs = found[0]
-    for more in found[1:]:
-        pairs = pairs.unionByName(more)
-    return pairs.distinct()
+    sizes = materialize(members.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "buckets")
+    # An explicit join of two stored tables, which Spark can split where a bucket is hot.
+    return materialize(members.join(sizes, "bucket"), "members")
+
+
+def _joined_buckets(large: DataFrame, links: DataFrame, check: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """The links, and more until every pair of a large bucket is checked or in one component.
+
+    Each round joins a bucket's rest, what is outside its largest component, through one more
+    lead. When few pairs are left, or a round no longer halves them, all of them are checked.
+    """
+    before = None
+    while True:
+        roots = connected_components(links).select(F.col("node").alias("key"), "root")
+        members = materialize(large.join(roots, "key", "left").withColumn("root", F.coalesce("root", "key")), "rooted")
+        top = F.max(F.struct(F.col("count").alias("n"), "root")).alias("top")
+        parts = members.groupBy("bucket", "root").count().groupBy("bucket").agg(F.sum("count").alias("n"), top)
+        parts = materialize(parts.where("top.n < n"), "parts")
+        left = parts.agg(F.sum((F.col("n") - F.col("top.n")) * F.col("n"))).first()[0]
+        if not left:
+            return links
+        met = members.join(parts.select("bucket", "top"), "bucket")
+        rest = materialize(met.where("root != top.root or top.n = 1").drop("top"), "rest")
+        last = left <= FEW * members.count() or (before is not None and 2 * left > before)
+        pairs = _rest_pairs(members, rest) if last else _lead_pairs(members, rest)
+        links = materialize(links.unionByName(check(pairs.distinct())).distinct(), "links")
+        if last:
+            return links
+        before = left
 
 
 def similarity(a: Column, b: Column) -> Column:
@@ -208,8 +227,12 @@ def near_links(documents: DataFrame) -> tuple[DataFrame, DataFrame]:
         ),
         "nodes",
     )
-    pairs = materialize(candidate_pairs(nodes), "candidates")
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("key")).distinct().join(nodes.select("key", "least_id"), "key")
+    members = _banded(nodes)
+    small, large = members.where(F.col("n") <= PAIRED), members.where(F.col("n") > PAIRED)
+    large = materialize(large.join(large.groupBy("key").agg(F.sum("n").alias("met")), "key").drop("n"), "large")
+    alone = large.withColumn("root", F.col("key"))
+    pairs = materialize(_all_pairs(small).unionByName(_lead_pairs(alone, alone)).distinct(), "candidates")
+    wanted = members.select("key").distinct().join(nodes.select("key", "least_id"), "key")
     # One row of each text is enough for its elements: the copies of a hot text leave before the shuffle.
     same_id = F.col("doc_id").eqNullSafe(F.col("least_id"))
     texts = (
@@ -220,13 +243,16 @@ def near_links(documents: DataFrame) -> tuple[DataFrame, DataFrame]:
         .dropDuplicates(["key"])
     )
     sets = materialize(texts, "elements")
-    checked = (
-        pairs.join(sets.select(F.col("key").alias("a"), F.col("elements").alias("_a")), "a")
-        .join(sets.select(F.col("key").alias("b"), F.col("elements").alias("_b")), "b")
-        .select("a", "b", similarity(F.col("_a"), F.col("_b")).alias("similarity"))
-        .where(F.col("similarity") >= SIMILARITY)
-    )
-    return nodes, materialize(checked, "links")
+
+    def check(pairs: DataFrame) -> DataFrame:
+        return (
+            pairs.join(sets.select(F.col("key").alias("a"), F.col("elements").alias("_a")), "a")
+            .join(sets.select(F.col("key").alias("b"), F.col("elements").alias("_b")), "b")
+            .select("a", "b", similarity(F.col("_a"), F.col("_b")).alias("similarity"))
+            .where(F.col("similarity") >= SIMILARITY)
+        )
+
+    return nodes, _joined_buckets(large, materialize(check(pairs), "links"), check)
 
 
 def near_duplicate_classes(documents: DataFrame) -> DataFrame:

@@ -202,6 +202,20 @@ def test_near_duplicates(documents, rows, empty):
     assert near_duplicates.near_duplicates(empty).count() == 0
 
 
+@pytest.mark.parametrize("copies", [50, 300, 1000])
+def test_an_original_joins_all_its_edited_copies(spark, copies):
+    rng = random.Random(copies)
+    words = [f"w{i}" for i in range(204)]
+    texts = [" ".join(words)]
+    for i in range(copies):
+        edited = list(words)
+        for j in range(4):  # four words far apart: 20 of 200 runs differ, 0.82 with the original
+            edited[51 * j + rng.randint(5, 45)] = f"x{i}y{j}"
+        texts.append(" ".join(edited))
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id BIGINT, text STRING")
+    assert bag(near_duplicates.near_duplicates(df), "class_id", "class_rows") == {(0, copies + 1): copies + 1}
+
+
 def test_signatures_estimate_weighted_similarity():
     owner = np.repeat([0, 1], 300)
     element = np.r_[np.arange(300), np.arange(300)].astype(np.uint64)
