@@ -216,6 +216,16 @@ def test_an_original_joins_all_its_edited_copies(spark, copies):
     assert bag(near_duplicates.near_duplicates(df), "class_id", "class_rows") == {(0, copies + 1): copies + 1}
 
 
+def test_pairs_near_the_limit_meet_beside_a_shared_passage(spark):
+    passage, texts = [f"w{i}" for i in range(150)], []
+    for i in range(200):
+        own = [f"a{i}y{j}" for j in range(36)]
+        texts += [passage + own, passage + [f"b{i}" + w if j % 9 == 4 else w for j, w in enumerate(own)]]
+    df = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], "doc_id BIGINT, text STRING")
+    # 0.802 within a pair, 0.67 or less between pairs.
+    assert bag(near_duplicates.near_duplicates(df), "doc_id", "class_id") == Counter((i, i - i % 2) for i in range(400))
+
+
 def test_signatures_estimate_weighted_similarity():
     owner = np.repeat([0, 1], 300)
     element = np.r_[np.arange(300), np.arange(300)].astype(np.uint64)
