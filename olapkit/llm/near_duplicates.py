@@ -7,7 +7,9 @@ dart counts for a text if it lies below the element's weight there. Each dart
 names one of ``COORDINATES`` coordinates; the dart of least rank is kept for
 each. Ranks are thrown up to a limit that leaves a coordinate without a dart in
 about two of a hundred texts, whose limit is then doubled. Two texts agree in a
-coordinate with the probability of their weighted Jaccard similarity.
+coordinate with the probability of their weighted Jaccard similarity. A text that
+repeats elements has a second signature of the same elements with weight 1, which
+agrees with the probability of the plain similarity; one without repeats has both in one.
 
 Equal texts are one node from the start. Nodes whose signatures agree in all
 coordinates of a band meet in a bucket. A bucket of at most ``PAIRED`` nodes gives all its
@@ -108,15 +110,21 @@ def _listed(values: np.ndarray, sizes: np.ndarray, kind: pa.DataType, present: n
 
 @F.arrow_udf(T.ArrayType(T.IntegerType()))
 def signature(texts: pa.Array) -> pa.Array:
-    """The signature of a text, cut to 32 bits a coordinate; null for a text without words."""
+    """The signature of a text, cut to 32 bits a coordinate; null for a text without words.
+
+    A text that repeats an element has a second one after it, of its elements with weight 1.
+    """
     rows = []
     for _, raw, begins in text_blocks(texts):
-        elements = weighted_elements(*shingles(*word_hashes(raw, begins), SHINGLE_WORDS))
-        rows.append(dart_signatures(*elements, len(begins) - 1))
-    found = np.concatenate(rows) if rows else np.zeros((0, COORDINATES), np.uint64)
-    present = found.any(axis=1)
-    sizes = np.where(present, COORDINATES, 0)
-    return _listed((found[present] >> np.uint64(32)).astype(np.uint32).view(np.int32).ravel(), sizes, pa.int32(), present)
+        owner, element, weight = weighted_elements(*shingles(*word_hashes(raw, begins), SHINGLE_WORDS))
+        many = len(begins) - 1
+        again = (np.bincount(owner, weights=weight > 1, minlength=many) > 0)[owner]
+        plain = dart_signatures(owner[again], element[again], np.ones(again.sum()), many)
+        rows.append(np.hstack([dart_signatures(owner, element, weight, many), plain]))
+    found = np.concatenate(rows) if rows else np.zeros((0, 2 * COORDINATES), np.uint64)
+    halves = np.stack([found[:, :COORDINATES].any(axis=1), found[:, COORDINATES:].any(axis=1)], axis=1)
+    values = found[np.repeat(halves, COORDINATES, axis=1)]
+    return _listed((values >> np.uint64(32)).astype(np.uint32).view(np.int32), halves.sum(axis=1) * COORDINATES, pa.int32(), halves[:, 0])
 
 
 @F.arrow_udf(T.ArrayType(T.LongType()))
@@ -138,10 +146,10 @@ def text_key(text: Column) -> Column:
 
 
 def _bands(signature: Column, seed: int) -> Column:
-    """Keys of the first deal: consecutive groups of coordinates."""
-    return F.transform(
-        F.sequence(F.lit(0), F.lit(COORDINATES // BAND - 1)),
-        lambda b: F.xxhash64(F.lit(seed), b, F.slice(signature, b * BAND + 1, BAND)),
+    """Keys of consecutive groups of coordinates, alike for both signatures of a text."""
+    bands = F.sequence(F.lit(0), (F.size(signature) / BAND).cast("int") - 1)
+    return F.array_distinct(
+        F.transform(bands, lambda b: F.xxhash64(F.lit(seed), b % (COORDINATES // BAND), F.slice(signature, b * BAND + 1, BAND)))
     )
 
 

@@ -226,6 +226,17 @@ def test_pairs_near_the_limit_meet_beside_a_shared_passage(spark):
     assert bag(near_duplicates.near_duplicates(df), "doc_id", "class_id") == Counter((i, i - i % 2) for i in range(400))
 
 
+def test_texts_that_repeat_a_passage_meet(spark):
+    rng, rows = random.Random(12), []
+    for i in range(12):
+        w = prose(rng, 300).split()
+        rows += [(2 * i, " ".join(w), "s"), (2 * i + 1, " ".join(w + w[100:164] * 20), "s")]
+    df = spark.createDataFrame([r[:2] for r in rows], "doc_id BIGINT, text STRING")
+    want = brute_classes(rows)
+    assert want == Counter((i, i - i % 2) for i in range(24))
+    assert bag(near_duplicates.near_duplicates(df), "doc_id", "class_id") == want
+
+
 def test_signatures_estimate_weighted_similarity():
     owner = np.repeat([0, 1], 300)
     element = np.r_[np.arange(300), np.arange(300)].astype(np.uint64)
