@@ -1,18 +1,19 @@
 """Personal data: patterns, and terms that reveal a protected value by their co-occurrence with it.
 
 The patterns (mail and network addresses, card and telephone numbers) give the
-base spans. Every value found is a protected entity. For each term in the
-context of an entity (``CONTEXT_CHARS`` characters to either side) the corpus
-tells how much of the entity's information the term gives away:
+base spans. Every value found is a protected entity. For each term of a text with
+an entity, wherever it stands outside the spans, the corpus tells how much of the
+entity's information the term gives away:
 
     disclosure(t, e) = log2(n(t, e) * n / (n(t) * n(e))) / log2(n / n(e))
 
-with n documents, n(e) of them with the entity, n(t) with the term, and n(t, e)
-with the term in the entity's context. It is 1 if the term occurs nowhere else.
-A term is sanitised in the contexts of an entity if it discloses ``GENERALISE`` of it or
-more, on at least ``SUPPORT`` different contexts, so that copies
-of a text prove nothing; from ``REMOVE`` on it is removed, below that
-it is generalised to the kind of word it is.
+with n different texts, n(e) of them with the entity, n(t) with the term, and n(t, e)
+with both; copies of a text prove nothing. It is 1 if the term occurs nowhere else.
+A term is sanitised in all texts of an entity, wherever it occurs there, if it discloses
+``GENERALISE`` of it or more and rarity rules out chance: the bits of all meetings,
+n(t, e) * log2(n(t, e) * n / (n(t) * n(e))), must exceed log2 of the number of pairs that were
+tried, or of n if that is more, which a single text never does. From ``REMOVE`` on
+a term is removed, below that it is generalised to the kind of word it is.
 
 Everything runs as DataFrame expressions. Positions come from the lengths of
 matches and of what lies between them.
@@ -24,12 +25,14 @@ extra columns are kept.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from olapkit.llm.common import let, text_of
 from olapkit.workspace import materialize
 
-CONTEXT_CHARS, SUPPORT, GENERALISE, REMOVE = 80, 3, 0.9, 0.99
+GENERALISE, REMOVE = 0.9, 0.99
 TERM = r"[\p{L}\p{N}]++"
 
 # The kinds in their order, and their patterns. The look-behinds and
@@ -72,8 +75,8 @@ def _valid(kind: str, match: Column) -> Column:
     return F.lit(True)
 
 
-def located(text: Column, pattern: str, shift: Column) -> Column:
-    """All matches as array<struct<start, end, match>>, in code points, moved by ``shift``."""
+def located(text: Column, pattern: str, keep: Callable[[Column], Column] | None = None) -> Column:
+    """All matches, or those to keep, as array<struct<start, end, match>>, in code points."""
     empty = F.array().cast("array<struct<start:int,end:int,match:string>>")
 
     def walk(pieces: Column) -> Column:
@@ -84,9 +87,10 @@ def located(text: Column, pattern: str, shift: Column) -> Column:
             start = state["at"] + F.length(F.element_at(gaps, i))
             end = start + F.length(match)
             found = F.array(F.struct(start.alias("start"), end.alias("end"), match.alias("match")))
-            return F.struct(end.alias("at"), F.concat(state["found"], found).alias("found"))
+            more = F.concat(state["found"], found)
+            return F.struct(end.alias("at"), (F.when(keep(match), more).otherwise(state["found"]) if keep else more).alias("found"))
 
-        start = F.struct(shift.cast("int").alias("at"), empty.alias("found"))
+        start = F.struct(F.lit(0).alias("at"), empty.alias("found"))
         walked = F.aggregate(F.sequence(F.lit(1), F.size(matches)), start, step, lambda state: state["found"])
         return F.when(F.size(matches) > 0, walked).otherwise(empty)
 
@@ -102,7 +106,7 @@ def _spans_of(kind: str, text: Column) -> Column:
         order, name = F.lit(KINDS.index(kind)).alias("order"), F.lit(kind).alias("kind")
         return F.struct(found["start"].alias("start"), order, found["end"].alias("end"), name, found["match"].alias("match"))
 
-    found = F.filter(located(text, PATTERNS[kind], F.lit(0)), lambda s: _valid(kind, s["match"]))
+    found = F.filter(located(text, PATTERNS[kind]), lambda s: _valid(kind, s["match"]))
     sign = {"email": "@", "phone": "+", "ip": "."}.get(kind)
     spans = F.transform(found, span).cast(_SPANS)
     return F.when(F.contains(text, F.lit(sign)), spans).otherwise(F.array().cast(_SPANS)) if sign else spans
@@ -119,77 +123,66 @@ def _entity(span: Column) -> Column:
     return F.concat(span["kind"], F.lit(":"), F.when(number, _digits(span["match"])).otherwise(F.lower(span["match"])))
 
 
-def _context_terms(text: Column, spans: Column, span: Column) -> Column:
-    """array<struct<start, end, match>> of the whole terms around a span, outside all spans."""
-    left = F.greatest(span["start"] - CONTEXT_CHARS, F.lit(0))
-    before = F.substring(text, left + 1, span["start"] - left)
-    after = F.substring(text, span["end"] + 1, F.lit(CONTEXT_CHARS))
-    # A term that the context cuts in two is left out.
-    cut = F.when(left > 0, F.regexp_replace(before, r"^[\p{L}\p{N}]+", "")).otherwise(before)
-    trimmed = F.when(F.length(after) == CONTEXT_CHARS, F.regexp_replace(after, r"[\p{L}\p{N}]++$", "")).otherwise(after)
-    terms = F.concat(
-        let(cut, lambda c: located(c, TERM, span["start"] - F.length(c))), let(trimmed, lambda t: located(t, TERM, span["end"]))
-    )
-    return F.filter(
-        terms,
-        lambda t: (F.length(t["match"]) > 2)
-        & ~F.exists(spans, lambda s: (s["start"] < t["end"]) & (t["start"] < s["end"])),
-    )
+def _words(text: Column) -> Column:
+    return F.filter(F.array_distinct(F.split(F.lower(text), r"[^\p{L}\p{N}]+")), lambda w: w != "")
+
+
+def _terms(text: Column, spans: Column) -> Column:
+    """The different terms of a text outside its spans, in small letters."""
+    blank = F.transform(spans, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), F.lit(" ").alias("label")))
+    return F.array_intersect(_words(let(blank, lambda b: sanitised(text, b))), _words(text))
 
 
 def find_base(documents: DataFrame) -> DataFrame:
-    """(doc_id, key, spans) of every document, stored; ``key`` stands for the text."""
+    """(doc_id, key, spans) of every document, stored, with text, entities and terms if it has spans; ``key`` stands for the text."""
     text = text_of()
     rows = documents.select("doc_id", text.alias("text"), base_spans(text).alias("spans"))
-    contexts = F.transform(
-        "spans",
-        lambda s: F.struct(_entity(s).alias("entity"), _context_terms(F.col("text"), F.col("spans"), s).alias("terms")),
+    some = F.size("spans") > 0
+    return materialize(
+        rows.select(
+            "doc_id",
+            F.unhex(F.md5("text")).alias("key"),
+            "spans",
+            F.when(some, F.col("text")).alias("text"),
+            F.when(some, F.array_distinct(F.transform("spans", _entity))).alias("entities"),
+            F.when(some, _terms(F.col("text"), F.col("spans"))).alias("terms"),
+        ),
+        "found",
     )
-    some = F.when(F.size("spans") > 0, contexts)
-    return materialize(rows.select("doc_id", F.unhex(F.md5("text")).alias("key"), "spans", some.alias("contexts")), "found")
 
 
-def disclosing_terms(documents: DataFrame, found: DataFrame) -> DataFrame:
+def disclosing_terms(documents: DataFrame, found: DataFrame, texts: DataFrame) -> DataFrame:
     """(entity, term, disclosure) of the terms that give away GENERALISE of an entity or more."""
-    # Copies of a text are counted before anything is joined or exploded further.
-    contexts = (
-        found.where(F.size("spans") > 0)
-        .select("key", F.explode("contexts").alias("c"))
-        .select("key", "c.entity", F.transform("c.terms", lambda t: F.lower(t["match"])).alias("terms"))
-        .groupBy("key", "entity", "terms")
-        .agg(F.count(F.lit(1)).alias("_places"))
-    )
-    copies = found.where(F.size("spans") > 0).groupBy("key").agg(F.count(F.lit(1)).alias("rows"))
-    contexts = materialize(contexts.drop("_places").join(copies, "key"), "contexts")
-    by_entity = contexts.groupBy("entity", "key").agg(F.max("rows").alias("rows")).groupBy("entity").agg(F.sum("rows").alias("n_e"))
-    pairs = contexts.select("entity", "key", "rows", F.xxhash64("terms").alias("context"), F.explode(F.array_distinct("terms")).alias("term"))
-    # The support counts different contexts, the rate counts documents.
-    support = pairs.select("entity", "term", "context").distinct().groupBy("entity", "term").agg(F.count(F.lit(1)).alias("support"))
-    rates = pairs.groupBy("entity", "term", "key").agg(F.max("rows").alias("rows")).groupBy("entity", "term").agg(F.sum("rows").alias("n_te"))
-    # A term is in at least as many documents as it is in contexts: what falls short with
-    # these counts falls short with all, and needn't be counted over the corpus.
-    in_contexts = pairs.groupBy("term", "key").agg(F.max("rows").alias("rows")).groupBy("term").agg(F.sum("rows").alias("n_c"))
-    n = F.lit(found.count())
-
-    def disclosure(n_t: str) -> Column:
-        return F.log2(F.col("n_te") * n / (F.col(n_t) * F.col("n_e"))) / F.log2(n / F.col("n_e"))
-
-    candidates = materialize(
-        support.where(F.col("support") >= SUPPORT)
-        .join(rates, ["entity", "term"])
-        .join(by_entity.where(F.col("n_e") < n), "entity")
-        .join(in_contexts, "term")
-        .where(disclosure("n_c") >= GENERALISE),
-        "candidates",
-    )
-    terms = candidates.select("term").distinct()
-    own = F.array_distinct(F.split(F.lower(text_of()), r"[^\p{L}\p{N}]+"))
-    by_term = documents.select(F.explode(own).alias("term")).join(terms, "term", "left_semi").groupBy("term").agg(F.count(F.lit(1)).alias("n_t"))
-    return (
-        candidates.join(by_term, "term")
-        .select("entity", "term", disclosure("n_t").alias("disclosure"))
-        .where(F.col("disclosure") >= GENERALISE)
-    )
+    n = found.select("key").distinct().count()
+    tried = texts.agg(F.sum(F.size("entities").cast("long") * F.size("terms"))).first()[0] or 0
+    # One text proves nothing, so what is in one text only needn't be joined.
+    holders = texts.select("key", F.explode("entities").alias("entity"))
+    by_entity = holders.groupBy("entity").agg(F.count(F.lit(1)).alias("n_e")).where((F.col("n_e") > 1) & (F.col("n_e") < n))
+    inside = texts.select("key", F.explode("terms").alias("term"))
+    by_term = inside.groupBy("term").agg(F.count(F.lit(1)).alias("n_c")).where("n_c > 1")
+    held = materialize(holders.join(by_entity, "entity"), "held")
+    known = materialize(inside.join(by_term, "term"), "terms")
+
+    def bits(n_t: str) -> Column:
+        return F.log2(F.col("n_te") * n / (F.col(n_t) * F.col("n_e")))
+
+    def told(n_t: str) -> Column:
+        enough = F.col("n_te") * bits(n_t) > F.log2(F.lit(float(max(n, tried, 1))))
+        return enough & (bits(n_t) / F.log2(n / F.col("n_e")) >= GENERALISE)
+
+    # A term is in at least as many texts as in those with spans: what falls short with
+    # that count falls short with all, and needn't be counted over the corpus.
+    met = held.join(known, "key").where(F.col("n_c") <= F.col("n_e") * F.pow(n / F.col("n_e"), F.lit(1 - GENERALISE)) + 1)
+    rates = met.groupBy("entity", "term", "n_e", "n_c").agg(F.count(F.lit(1)).alias("n_te"))
+    candidates = materialize(rates.where(told("n_c")), "candidates")
+    key = F.unhex(F.md5(text_of()))
+    # The key goes through the explode, or else it would be hashed again for every word.
+    pairs = let(key, lambda k: F.transform(_words(text_of()), lambda w: F.struct(k.alias("key"), w.alias("term"))))
+    words = documents.select(F.explode(pairs).alias("p")).select("p.key", "p.term")
+    own = words.join(candidates.select("term").distinct(), "term", "left_semi").distinct()
+    everywhere = own.groupBy("term").agg(F.count(F.lit(1)).alias("n_t"))
+    rated = candidates.join(everywhere, "term").where(told("n_t"))
+    return rated.select("entity", "term", (bits("n_t") / F.log2(n / F.col("n_e"))).alias("disclosure"))
 
 
 def find_personal_data(documents: DataFrame) -> DataFrame:
@@ -198,15 +191,24 @@ def find_personal_data(documents: DataFrame) -> DataFrame:
     A span is a struct of start, order, end, kind and label, what stands for it in a sanitised text.
     """
     found = find_base(documents)
-    bad = materialize(disclosing_terms(documents, found), "disclosing")
+    # Equal texts have equal spans: one row for each text.
+    firsts = [F.any_value(c).alias(c) for c in ("spans", "text", "entities", "terms")]
+    texts = materialize(found.where(F.size("spans") > 0).groupBy("key").agg(*firsts), "texts")
+    bad = materialize(disclosing_terms(documents, found, texts), "disclosing")
+    by_text = (
+        texts.select("key", "terms", F.explode("entities").alias("entity"))
+        .join(bad, "entity")
+        .where(F.array_contains("terms", F.col("term")))
+        .groupBy("key", "term")
+        .agg(F.max("disclosure").alias("disclosure"))
+    )
+    told = by_text.groupBy("key").agg(F.map_from_entries(F.collect_list(F.struct("term", "disclosure"))).alias("told"))
+    places = located(F.col("text"), TERM, lambda m: F.map_contains_key("told", F.lower(m)))
     occurrences = (
-        found.where(F.size("spans") > 0)
-        .select("key", F.explode("contexts").alias("c"))
-        .select("key", "c.entity", F.explode("c.terms").alias("t"))
-        .select("key", "entity", F.lower("t.match").alias("term"), "t.start", "t.end", F.col("t.match").alias("match"))
-        .join(bad, ["entity", "term"])
-        .groupBy("key", "start", "end")
-        .agg(F.max("disclosure").alias("disclosure"), F.min("match").alias("match"))
+        texts.join(materialize(told, "told"), "key")
+        .select("key", "spans", "told", F.explode(places).alias("t"))
+        .where(~F.exists("spans", lambda s: (s["start"] < F.col("t.end")) & (F.col("t.start") < s["end"])))
+        .select("key", "t.start", "t.end", "t.match", F.col("told")[F.lower("t.match")].alias("disclosure"))
     )
     label = (
         F.when(F.col("disclosure") >= REMOVE, "")
@@ -215,7 +217,6 @@ def find_personal_data(documents: DataFrame) -> DataFrame:
         .otherwise("[WORD]")
     )
     span = F.struct("start", F.lit(4).alias("order"), "end", F.lit("term").alias("kind"), label.alias("label"))
-    # A text has a bounded number of contexts, each of bounded length.
     added = occurrences.groupBy("key").agg(F.collect_list(span).alias("added"))
     base = F.transform(
         "spans",

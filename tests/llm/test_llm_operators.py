@@ -436,6 +436,18 @@ def test_personal_data(spark, documents, rows, empty):
     assert personal_data.sanitise(empty).count() == 0
 
 
+def test_a_disclosing_term_goes_wherever_it_stands(spark):
+    rng = random.Random(13)
+    far = [f"Qx {prose(rng, 60)} write to who{i // 2}@plan.org {prose(rng, 60)} Vimbor{i // 2} again" for i in range(6)]
+    texts = [t.replace("Qx", f"Vimbor{i // 2} {'xyz'[i // 2]}") for i, t in enumerate(far)] + [prose(rng, 90) for _ in range(300)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id BIGINT, text STRING")
+    clean = {r["doc_id"]: r["text"] for r in personal_data.sanitise(df).collect()}
+    # Two texts of an entity suffice, at any distance and length; words of one text stay.
+    assert all("Vimbor" not in clean[i] and not re.search(r"\b[xyz]\b", clean[i]) for i in range(6))
+    assert all(len(clean[i]) > 0.9 * len(texts[i]) for i in range(6))
+    assert all(clean[i] == texts[i] for i in range(6, 306))
+
+
 # 10
 
 
