@@ -11,12 +11,15 @@ from olapkit.llm import (
     bottom_k,
     bpe,
     chat,
+    hidden_markov,
     mixing,
     near_duplicates,
     page_text,
+    periodic_runs,
     personal_data,
     quality_cnn,
     shard_tree,
+    token_alignment,
     weak_rules,
 )
 from olapkit.llm.common import table
@@ -32,6 +35,8 @@ def query(fn: Callable[[SparkSession, str], DataFrame]):
 
 #: The tokenizer file of the encoding queries.
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
+#: The two that are aligned.
+ALIGNED = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
 
 
 @query
@@ -116,3 +121,22 @@ def op10_weak_rules(spark: SparkSession, folder: str) -> DataFrame:
     return judged.select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "quality"
     )
+
+
+@query
+def op11_token_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    done = token_alignment.align(table(spark, folder, "documents"), *ALIGNED).documents
+    return done.select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")
+
+
+@query
+def op12_hidden_markov(spark: SparkSession, folder: str) -> DataFrame:
+    return hidden_markov.score_documents(table(spark, folder, "documents"))
+
+
+@query
+def op13_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
+    done = periodic_runs.runs_of_documents(table(spark, folder, "documents"), alter=True)
+    return done.select(
+        "doc_id", "n_runs", "start", "length", "period", "exponent_milli", "runs_sha256", "collapsed_sha256"
+    )
