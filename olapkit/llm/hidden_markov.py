@@ -7,8 +7,9 @@ through the states, which the forward recursion gives exactly, rescaled at every
 States emit classes of tokens. The end is a class; so is every word that makes up at least one in
 ``FREQUENT`` of all training tokens, at most ``FREQUENT`` words by arithmetic. All other words, whose number grows
 with the corpus, share ``RARE`` classes by their last two bytes; such a word's share of its class is its
-smoothed count over the training documents, with one more word for all unseen ones, and is
-joined to the documents by a shuffle in which no word has a larger share.
+smoothed count over the training documents, with one more word for all unseen ones. Words that make up at least one in
+``LISTED`` tokens, at most ``LISTED`` of them, are sent to all tasks with their counts; the counts of all others
+are joined to the documents by a shuffle, in which no word has a larger share.
 
 Training is incremental Baum-Welch: the training documents are dealt into ``PARTS``; a round takes one
 part's expected counts under the present model, puts them in the place of that part's earlier ones, and
@@ -37,7 +38,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 from olapkit.llm.common import text_of
 from olapkit.workspace import materialize
 
-FREQUENT, RARE, STATES = 16384, 64, 16
+FREQUENT, RARE, STATES = 1 << 14, 64, 16
+LISTED = 1 << 19
 PARTS, PASSES = 8, 2
 #: Added to each count of the base model and of the words of a class.
 ADDED = 0.1
@@ -106,7 +108,7 @@ def word_counts(training: DataFrame) -> DataFrame:
 
 @dataclass(frozen=True)
 class Vocabulary:
-    """Totals over the training documents, the frequent words, and the rare classes' totals.
+    """Totals over the training documents, the listed words and their counts, and the rare classes' totals.
 
     Class 0 is the end, then come the frequent words, then the rare classes.
     """
@@ -114,22 +116,25 @@ class Vocabulary:
     total: int
     distinct: int
     ends: int
-    frequent: dict[bytes, int]
+    words: list[bytes]
+    times: np.ndarray
+    frequent: np.ndarray  # whether each listed word is a class of its own
     rare: dict[int, tuple[int, int]]
 
     @classmethod
     def of(cls, words: DataFrame, documents: int) -> "Vocabulary":
         met = words.agg(F.coalesce(F.sum("times"), F.lit(0)).alias("n"), F.count(F.lit(1)).alias("v")).first()
         total, distinct = met["n"] + documents, met["v"] + (documents > 0)
-        often = F.col("times") >= total / FREQUENT
-        frequent = {r["word"].encode(): r["times"] for r in words.where(often).sort("word").collect()}
-        others = words.where(~often).groupBy(rare_class_of("word").alias("c"))
+        listed = words.where(F.col("times") >= total / LISTED).toArrow()
+        pairs = sorted(zip(binary(listed.column("word").combine_chunks()), listed.column("times").to_pylist(), strict=True))
+        others = words.where(F.col("times") < total / FREQUENT).groupBy(rare_class_of("word").alias("c"))
         rare = {r["c"]: (r["n"], r["v"]) for r in others.agg(F.sum("times").alias("n"), F.count("*").alias("v")).collect()}
-        return cls(total, distinct, documents, frequent, rare)
+        times = np.array([n for _, n in pairs], np.int64)
+        return cls(total, distinct, documents, [w for w, _ in pairs], times, times >= total / FREQUENT, rare)
 
     @property
     def classes(self) -> int:
-        return 1 + len(self.frequent) + RARE
+        return 1 + int(self.frequent.sum()) + RARE
 
     @property
     def scale(self) -> float:
@@ -139,11 +144,40 @@ class Vocabulary:
     def class_counts(self) -> np.ndarray:
         out = np.zeros(self.classes)
         out[0] = self.ends
-        out[1 : 1 + len(self.frequent)] = list(self.frequent.values())
+        out[1 : -RARE] = self.times[self.frequent]
         for c, (n, _) in self.rare.items():
-            out[1 + len(self.frequent) + c] = n
+            out[c - RARE] = n
         return out
 
+    def rare_scales(self) -> list[float]:
+        """What the counts of the words of each rare class are divided by."""
+        return [n + ADDED * (kinds + 1) for n, kinds in (self.rare.get(c, (0, 0)) for c in range(RARE))]
+
+
+@dataclass(frozen=True)
+class Entries:
+    """What is known of the end (entry 0), the listed words, and other words by rare class (the last ``RARE``)."""
+
+    kind: np.ndarray  # class
+    known: np.ndarray
+    base: np.ndarray  # log10 under the base model; 0 for other words, whose counts come by a join
+    within: np.ndarray  # log10 of the share of the class
+
+    @classmethod
+    def of(cls, v: Vocabulary) -> "Entries":
+        own = v.frequent
+        rare = np.array([rare_class(w) for w in v.words], np.int64)
+        first_rare, none = v.classes - RARE, np.zeros(RARE)
+        kind = np.r_[0, np.where(own, np.cumsum(own), first_rare + rare), first_rare + np.arange(RARE)]
+        counts = np.r_[v.ends, v.times] + ADDED
+        share = np.where(own, 1.0, counts[1:] / np.array(v.rare_scales())[rare])
+        return cls(
+            kind.astype(np.int32),
+            np.r_[float(v.ends > 0), np.ones(len(rare)), none],
+            np.r_[np.log10(counts / v.scale), none],
+            np.r_[0.0, np.log10(share), none],
+        )
+
 
 # The model
 
@@ -260,6 +294,7 @@ _SEQUENCE = pa.schema(
         ("n_tokens", pa.int64()),
         ("known", pa.int64()),
         ("base", pa.float64()),
+        ("within", pa.float64()),
         ("classes", pa.list_(pa.int32())),
         ("rare", pa.list_(pa.struct([("word", pa.string()), ("n", pa.int32())]))),
     ]
@@ -267,18 +302,14 @@ _SEQUENCE = pa.schema(
 
 
 def sequences(documents: DataFrame, v: Vocabulary) -> DataFrame:
-    """Per document its classes, its rare words, and what the other tokens add to the base score."""
+    """Per document its classes, its unlisted words, and what the other tokens add to the scores."""
     shared = documents.sparkSession.sparkContext.broadcast(v)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        v = shared.value
-        number = {w: 1 + i for i, w in enumerate(v.frequent)}
-        first_rare = 1 + len(number)
-        base = np.log10((v.class_counts() + ADDED) / v.scale)
-        known = np.ones(v.classes)
-        known[0] = v.ends > 0
-        base[first_rare:], known[first_rare:] = 0, 0
+        number, e = None, Entries.of(shared.value)
+        other = len(shared.value.words) + 1
         for batch in batches:
+            number = number or {w: 1 + i for i, w in enumerate(shared.value.words)}
             texts = binary(batch.column(2))
             for first, last in slices(texts):
                 codes: list[int] = []
@@ -286,14 +317,12 @@ def sequences(documents: DataFrame, v: Vocabulary) -> DataFrame:
                 for t in texts[first:last]:
                     words = tokens(t)
                     own = list(map(number.get, words))
-                    if None in own:
-                        seen = Counter(w for w, c in zip(words, own, strict=True) if c is None)
-                        other = {w: first_rare + rare_class(w) for w in seen}
-                        own = [other[w] if c is None else c for w, c in zip(words, own, strict=True)]
+                    seen = Counter(w for w, c in zip(words, own, strict=True) if c is None) if None in own else {}
+                    if seen:
+                        unlisted = {w: other + rare_class(w) for w in seen}
+                        own = [unlisted[w] if c is None else c for w, c in zip(words, own, strict=True)]
                         rare += seen.items()
-                        rare_sizes.append(len(seen))
-                    else:
-                        rare_sizes.append(0)
+                    rare_sizes.append(len(seen))
                     codes += own
                     codes.append(0)
                     sizes.append(len(own) + 1)
@@ -312,16 +341,17 @@ def sequences(documents: DataFrame, v: Vocabulary) -> DataFrame:
                         batch.column(0).slice(first, last - first),
                         batch.column(1).slice(first, last - first),
                         pa.array(size),
-                        pa.array(np.bincount(owner, known[code], len(size)).astype(np.int64)),
-                        pa.array(np.bincount(owner, base[code], len(size))),
-                        pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(code.astype(np.int32))),
+                        pa.array(np.bincount(owner, e.known[code], len(size)).astype(np.int64)),
+                        pa.array(np.bincount(owner, e.base[code], len(size))),
+                        pa.array(np.bincount(owner, e.within[code], len(size))),
+                        pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(e.kind[code])),
                         pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(rare_sizes)], pa.int32()), listed),
                     ],
                     schema=_SEQUENCE,
                 )
 
     kind = (
-        "doc_id bigint, held_out boolean, n_tokens bigint, known bigint, base double, "
+        "doc_id bigint, held_out boolean, n_tokens bigint, known bigint, base double, within double, "
         "classes array<int>, rare array<struct<word string, n int>>"
     )
     return documents.select(
@@ -403,9 +433,7 @@ def score_documents(documents: DataFrame) -> DataFrame:
     model = train(stored, v)
 
     # At most RARE rows.
-    totals = spark.createDataFrame(
-        [(c, float(n + ADDED * (k + 1))) for c in range(RARE) for n, k in [v.rare.get(c, (0, 0))]], "c bigint, of double"
-    )
+    totals = spark.createDataFrame(list(enumerate(v.rare_scales())), "c bigint, of double")
     times = F.coalesce("times", F.lit(0)) + ADDED
     met = stored.select("_row", F.explode("rare").alias("r")).select("_row", "r.word", "r.n").join(words, "word", "left")
     seldom = (
@@ -420,15 +448,15 @@ def score_documents(documents: DataFrame) -> DataFrame:
     )
     whole = stored.drop("classes", "rare", "_part").join(forward_scores(stored, model), "_row").join(seldom, "_row", "left")
 
-    def both(first: str, more: str) -> Column:
-        return F.col(first) + F.coalesce(more, F.lit(0))
+    def both(first: Column, more: str) -> Column:
+        return first + F.coalesce(more, F.lit(0))
 
     return whole.select(
         "doc_id",
         "held_out",
         "n_tokens",
-        both("known", "more_known").alias("n_known"),
+        both(F.col("known"), "more_known").alias("n_known"),
         F.lit(v.total).cast("long").alias("train_tokens"),
-        both("base", "more_base").alias("base_score"),
-        both("forward", "more_score").alias("score"),
+        both(F.col("base"), "more_base").alias("base_score"),
+        both(F.col("forward") + F.col("within"), "more_score").alias("score"),
     )

@@ -244,10 +244,12 @@ def test_a_round_over_all_parts_raises_the_likelihood():
         before, model = now, hm.Model.estimate(counts, np.full(6, 1e-9))
 
 
-@pytest.fixture(scope="module")
-def scored(spark, folder):
+@pytest.fixture(scope="module", params=[(1 << 14, 1 << 19), (4, 1 << 19), (4, 30), (1, 1)], ids=str)
+def scored(spark, folder, request):
+    """The query's rows and its model, with most words frequent, listed, or joined."""
     kept = {}
-    train = hm.train
+    train, sizes = hm.train, (hm.FREQUENT, hm.LISTED)
+    hm.FREQUENT, hm.LISTED = request.param
 
     def spy(stored, v):
         kept["v"], kept["model"] = v, train(stored, v)
@@ -256,9 +258,10 @@ def scored(spark, folder):
     hm.train = spy
     try:
         done = [r.asDict() for r in QUERIES["op12_hidden_markov"](spark, folder).collect()]
+        yield done, kept["v"], kept["model"]
     finally:
         hm.train = train
-    return done, kept["v"], kept["model"]
+        hm.FREQUENT, hm.LISTED = sizes
 
 
 def test_model_query_is_brute_force(scored, rows):
@@ -268,8 +271,8 @@ def test_model_query_is_brute_force(scored, rows):
     total, distinct = sum(counts.values()) + len(training), len(counts) + 1
     assert (v.total, v.distinct) == (total, distinct)
     frequent = sorted((w for w, n in counts.items() if n * hm.FREQUENT >= total), key=str.encode)
-    assert [w.decode() for w in v.frequent] == frequent or set(w.decode() for w in v.frequent) == set(frequent)
-    number = {w.decode(): 1 + k for k, w in enumerate(v.frequent)}
+    assert [w.decode() for w, own in zip(v.words, v.frequent, strict=True) if own] == frequent
+    number = {w: 1 + k for k, w in enumerate(frequent)}
     rare = Counter()
     kinds = Counter()
     for w, n in counts.items():
@@ -299,20 +302,6 @@ def test_model_query_is_brute_force(scored, rows):
         assert g[5] == pytest.approx(w[5], rel=1e-9) and g[6] == pytest.approx(w[6], rel=1e-7)
 
 
-def test_rare_words_meet_their_counts_in_a_join(spark, folder, monkeypatch, rows):
-    monkeypatch.setattr(hm, "FREQUENT", 4)
-    training = [t for i, t in rows if not out_of_training(i)]
-    counts = Counter(w for t in training for w in tokens_of(t))
-    done = {r["doc_id"]: r for r in QUERIES["op12_hidden_markov"](spark, folder).where("doc_id > 3").collect()}
-    scale = sum(counts.values()) + len(training) + 0.1 * (len(counts) + 2)
-    for i, t in rows:
-        if i is not None and i > 3:
-            words = tokens_of(t)
-            assert done[i]["n_known"] == 1 + sum(w in counts for w in words)
-            base = sum(math.log10((counts[w] + 0.1) / scale) for w in words) + math.log10((len(training) + 0.1) / scale)
-            assert done[i]["base_score"] == pytest.approx(base, rel=1e-9)
-
-
 def test_probabilities_of_a_model_sum_to_one(scored):
     _, v, model = scored
     assert model.start.sum() == pytest.approx(1) and (model.emit > 0).all()
