@@ -38,7 +38,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from olapkit.llm.common import text_of
 from olapkit.workspace import materialize
 
-FREQUENT, RARE, STATES = 1 << 14, 64, 16
+FREQUENT, RARE, STATES = 1 << 14, 64, 12
 LISTED = 1 << 19
 PARTS, PASSES = 8, 2
 #: Added to each count of the base model and of the words of a class.
@@ -47,7 +47,7 @@ ADDED = 0.1
 SMOOTH_MOVES, SMOOTH_EMITS = 0.1, 10.0
 SEED = 7
 #: Bytes of text that are cut at once, and tokens that are walked at once; a longer text is alone.
-BLOCK_BYTES, BLOCK_TOKENS = 1 << 22, 1 << 19
+BLOCK_BYTES, BLOCK_TOKENS = 1 << 22, 1 << 18
 HELD_OUT_OF = 10
 
 
@@ -234,14 +234,19 @@ class Walk:
 
     def forward(self, m: Model) -> tuple[np.ndarray, np.ndarray]:
         """State probabilities after each token, and the probability of each token given those before it."""
-        given = np.empty(len(self.token))
+        given, ones = np.empty(len(self.token)), np.ones(STATES)
         alpha = m.emit[self.token]
-        for t, n in enumerate(self.live.tolist()):
-            here = alpha[self.at[t] : self.at[t] + n]
-            here *= m.start if t == 0 else alpha[self.at[t - 1] : self.at[t - 1] + n] @ m.move
-            s = here.sum(axis=1)
-            here /= s[:, None]
-            given[self.at[t] : self.at[t] + n] = s
+        moved = np.empty((len(self.lengths), STATES))
+        moved[:] = m.start
+        at = self.at.tolist()
+        for t in range(len(self.live)):
+            first, end = at[t], at[t + 1]
+            here, n = alpha[first:end], end - first
+            if t:
+                np.matmul(alpha[at[t - 1] : at[t - 1] + n], m.move, out=moved[:n])
+            np.multiply(here, moved[:n], out=here)
+            s = np.matmul(here, ones, out=given[first:end])
+            np.divide(here, s[:, None], out=here)
         return alpha, given
 
     def log10(self, m: Model) -> np.ndarray:
@@ -253,21 +258,21 @@ class Walk:
         """Add the expected counts of these texts."""
         alpha, given = self.forward(m)
         back = m.move.T.copy()
-        beta = np.ones((len(self.lengths), STATES))
-        move = np.zeros((STATES, STATES))
-        for t in range(len(self.live) - 1, -1, -1):
-            n, a = int(self.live[t]), int(self.at[t])
-            here = beta[:n]
-            if t:
-                later = m.emit[self.token[a : a + n]] * here / given[a : a + n, None]
-                before = int(self.at[t - 1])
-                move += alpha[before : before + n].T @ later
-                alpha[a : a + n] *= here
-                beta[:n] = later @ back
-            else:
-                alpha[:n] *= here
+        # What a token says of the state that emits it, then with all tokens after it.
+        later = m.emit[self.token]
+        later /= given[:, None]
+        beta = np.ones_like(alpha)
+        at = self.at.tolist()
+        for t in range(len(self.live) - 1, 0, -1):
+            first, end, before = at[t], at[t + 1], at[t - 1]
+            np.multiply(later[first:end], beta[first:end], out=later[first:end])
+            np.matmul(later[first:end], back, out=beta[before : before + end - first])
+        second = at[1] if len(at) > 1 else 0
+        # The same text's token one step before: as many rows up as texts were live then.
+        earlier = self.at[:-1][np.repeat(np.arange(len(self.live)) - 1, self.live)[second:]] + self.text[second:]
+        into.move += (alpha[earlier].T @ later[second:]) * m.move
+        alpha *= beta
         into.start += alpha[: self.live[0]].sum(axis=0)
-        into.move += move * m.move
         for s in range(STATES):
             into.emit[:, s] += np.bincount(self.token, alpha[:, s], len(into.emit))
 
