@@ -1,12 +1,15 @@
 """Row operations on a table with a unique key, as joins.
 
-``plan_change`` turns a batch of incoming rows into a *delta*: at most one row per
-key, a full row image plus ``_op`` (0 put, 1 delete). ``merge`` folds a delta into
-a table. A batch may hold a key many times; it is collapsed per key before any
-join, so both join sides have unique keys and a hot key is one row per map task.
+``judge`` groups a batch with the stored rows it touches and says of each key what came,
+whether the table has it, and what becomes of it. From that follow the *delta* (at most one row per
+key, a full row image plus ``_op``: 0 put, 1 delete), the refused rows and the counts.
+``merge`` folds a delta into a table. A batch may hold a key many times; it is summed up per key
+in the tasks first, so a hot key is one row per map task.
 
-The incoming side of every join against the table is reduced to the touched keys
-first, so Spark can broadcast a small batch and leave a large table in place.
+Stored rows are picked by a semi join with the touched keys, so Spark can broadcast a small batch and
+leave a large table in place; they are read once. ``apply_ops`` writes the batch and the judged keys once
+each, and everything else reads those: of its inputs the batch is evaluated once, the table
+twice (to judge, and for the new state).
 
 A column an operation does not set is a column the incoming frame does not have.
 """
@@ -16,11 +19,13 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, Observation, functions as F
 from pyspark.sql.types import DataType
 
 from olapkit.operators.numbering import number_rows
-from olapkit.operators.skew import hot_keys, salted_join
+from olapkit.operators.skew import HOT_ROWS, salted_join
+from olapkit.workspace import materialize
 
 PUT, REMOVE = 0, 1
 
@@ -89,11 +94,35 @@ def widen(base: DataFrame, changes: DataFrame, extra: Sequence[str] = ()) -> Dat
 ARRIVAL = "_arrival"
 
 
+def file_position(df: DataFrame) -> Column | None:
+    """Where the rows of a frame stand in the files they were read from; None if no files show.
+
+    File time, file name, and the row's number in its file, or the start of its block in formats without
+    row numbers. Filters, projections and shuffles keep it, joins and groupings don't.
+    """
+    try:
+        place = df.metadataColumn("_metadata")
+        names = df.select(place.alias("place")).schema["place"].dataType.names
+    except AnalysisException:
+        return None
+    inside = "row_index" if "row_index" in names else "file_block_start"
+    return F.struct(*[place[n].alias(n) for n in ("file_modification_time", "file_path", inside)])
+
+
 def in_arrival_order(changes: DataFrame, seq: str | None) -> tuple[DataFrame, str]:
-    """The batch with a column that orders it: its own, or the order in which rows come."""
+    """The batch with a column that orders it: its own, or the order in which its rows came.
+
+    Rows of files are ordered by their place there, which a replay after a shuffle or a lost executor
+    finds again. Rows of one place, and batches not read from files, are ordered as Spark hands
+    them over, which is only as repeatable as their plan.
+    """
     if seq is not None:
         return changes, seq
-    return changes.withColumn(ARRIVAL, F.monotonically_increasing_id()), ARRIVAL
+    place = F.col(ARRIVAL) if ARRIVAL in changes.columns else file_position(changes)
+    order = F.monotonically_increasing_id()
+    if place is not None:
+        order = F.struct(place.alias("place"), order.alias("turn"))
+    return changes.withColumn(ARRIVAL, order), ARRIVAL
 
 
 def last_changes(
@@ -118,17 +147,6 @@ def last_changes(
     return changes.groupBy(*keys).agg(row).select(*keys, "_row.*")
 
 
-def first_changes(changes: DataFrame, keys: Sequence[str], seq: str | None) -> DataFrame:
-    """One row per key: the first of the batch."""
-    values = [c for c in changes.columns if c not in keys and c != seq]
-    if seq is None:
-        return changes
-    if not values:
-        return changes.select(*keys).distinct()
-    row = F.min_by(F.struct(*values), F.col(seq)).alias("_row")
-    return changes.groupBy(*keys).agg(row).select(*keys, "_row.*")
-
-
 def present_keys(base: DataFrame, touched: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Touched keys the table has; reads only the table's key columns."""
     return base.select(*keys).join(touched.select(*keys), list(keys), "left_semi")
@@ -138,17 +156,6 @@ def _typed(value: object, kind: DataType) -> Column:
     return F.lit(value).cast(kind)
 
 
-def _filled(df: DataFrame, base: DataFrame, rules: Rules) -> DataFrame:
-    """All table columns; unset ones get their default, else null."""
-    cells = []
-    for f in base.schema:
-        if f.name in df.columns:
-            cells.append(F.col(f.name))
-        else:
-            cells.append(_typed(rules.defaults.get(f.name), f.dataType).alias(f.name))
-    return df.select(*cells)
-
-
 def _unset_required(changes: DataFrame, rules: Rules) -> list[str]:
     return [c for c in rules.required if c not in changes.columns and c not in rules.defaults]
 
@@ -192,30 +199,18 @@ def _sets_immutable(changes: DataFrame, rules: Rules) -> bool:
     return any(c in changes.columns for c in rules.immutable)
 
 
-def _merged_images(
-    base: DataFrame,
-    last: DataFrame,
-    rules: Rules,
-    ignore_null: bool,
-    keep_immutable: bool,
-) -> DataFrame:
-    """New images of the touched rows the table has."""
-    renamed = last.select(
-        *[F.col(c) if c in rules.keys else F.col(c).alias(f"_new_{c}") for c in last.columns]
-    )
-    hits = base.join(renamed, list(rules.keys))
-    cells = []
-    for c in base.columns:
-        if c in rules.keys or c not in last.columns or (keep_immutable and c in rules.immutable):
-            cells.append(F.col(c))
-        elif ignore_null:
-            cells.append(F.coalesce(F.col(f"_new_{c}"), F.col(c)).alias(c))
-        else:
-            cells.append(F.col(f"_new_{c}").alias(c))
-    return hits.select(*cells)
+def _takes_first(changes: DataFrame, rules: Rules, op: str) -> bool:
+    """Whether only a key's first row counts, as the table may not have the key before it."""
+    return op.startswith("insert") or (op == "upsert" and _sets_immutable(changes, rules))
 
 
-def plan_change(
+def _replaces(base: DataFrame, changes: DataFrame, rules: Rules, op: str, ignore_null: bool) -> bool:
+    """Whether the batch alone says what is stored."""
+    whole = not ignore_null and set(base.columns) <= set(changes.columns)
+    return op.startswith("upsert") and whole and not _sets_immutable(changes, rules)
+
+
+def judge(
     base: DataFrame,
     changes: DataFrame,
     rules: Rules,
@@ -223,48 +218,109 @@ def plan_change(
     seq: str | None = None,
     ignore_null: bool = False,
 ) -> DataFrame:
-    """The delta of one batch: full rows plus ``_op``, one per key that changes."""
+    """One row per key of the batch, null keys too.
+
+    ``_all`` rows came, of which ``_n`` aren't refused on their own account, the first of those at ``_first``.
+    ``_present`` tells whether the table has the key (false if the operation need not know), ``_old`` holds its stored values,
+    ``_new`` the values that count, ``_carried`` the immutable values a new row keeps.
+    Without ``seq`` the keys of the batch must be unique.
+    """
     changes = align(base, changes, extra=[seq] if seq else [])
     _check(base, changes, rules, op, seq)
     keys = list(rules.keys)
-    valid = changes.filter(_row_error(changes, rules, op, ignore_null).isNull())
-    ignore = op.endswith("_ignore")
-    put = F.lit(PUT).cast("byte").alias("_op")
+    values = [c for c in changes.columns if c not in keys and c != seq]
+    carried = [c for c in rules.immutable if c in values] if op.startswith("upsert") else []
+    order = F.col(seq) if seq else F.lit(0)
+    came = changes.select(
+        *keys,
+        F.lit(True).alias("_came"),
+        F.when(_row_error(changes, rules, op, ignore_null).isNull(), order).alias("_order"),
+        *[F.col(c).alias(f"_new_{c}") for c in values],
+    )
+    old: list[str] = []
+    if not _replaces(base, changes, rules, op, ignore_null):
+        if not _takes_first(changes, rules, op):
+            old = [c for c in base.columns if c not in keys]
+        touched = came.filter(F.col("_order").isNotNull()).select(*keys).distinct()
+        stored = base.select(*keys, *old).join(touched, keys, "left_semi")
+        stored = stored.select(*keys, *[F.struct(*old).alias("_old")] * bool(old), F.lit(False).alias("_came"))
+        came = came.unionByName(stored, allowMissingColumns=True)
+
+    ordered = F.col("_order")
+
+    def picked(pick, names: Sequence[str]) -> Column:
+        return pick(F.struct(*[F.col(f"_new_{c}").alias(c) for c in names]), ordered)
+
+    parts = [
+        F.count(F.when(F.col("_came"), 1)).alias("_all"),
+        F.count(ordered).alias("_n"),
+        F.min(ordered).alias("_first"),
+        (F.count(F.when(~F.col("_came"), 1)) > 0).alias("_present"),
+    ]
+    if old:
+        parts.append(F.first("_old", ignorenulls=True).alias("_old"))
+    if values and ignore_null and not _takes_first(changes, rules, op):
+        # The last value of each column that is not null.
+        last = [F.max_by(f"_new_{c}", F.when(F.col(f"_new_{c}").isNotNull(), ordered)).alias(c) for c in values]
+        parts.append(F.struct(*last).alias("_new"))
+    elif values:
+        parts.append(picked(F.min_by if _takes_first(changes, rules, op) else F.max_by, values).alias("_new"))
+    if carried:
+        parts.append(picked(F.min_by, carried).alias("_carried"))
+    return came.groupBy(*keys).agg(*parts)
+
+
+def _delta(
+    base: DataFrame, changes: DataFrame, judged: DataFrame, rules: Rules, op: str, ignore_null: bool = False
+) -> DataFrame:
+    """The full rows plus ``_op`` that judged keys come to."""
+    present, lacks = F.col("_present"), bool(_unset_required(changes, rules))
+    valid = judged.filter(F.col("_n") > 0)
+    given = [c for c in changes.columns if c in base.columns and c not in rules.keys]
+    frozen = rules.immutable if op.endswith("_ignore") else ()
+
+    def merged(c: str) -> Column:
+        if c not in given or c in frozen:
+            return F.col("_old")[c]
+        return F.coalesce(F.col("_new")[c], F.col("_old")[c]) if ignore_null else F.col("_new")[c]
+
+    def fresh(f) -> Column:
+        if f.name not in given:
+            return _typed(rules.defaults.get(f.name), f.dataType)
+        kept = "_carried" if op.startswith("upsert") and f.name in rules.immutable else "_new"
+        return F.col(kept)[f.name]
+
+    def rows(df: DataFrame, cell, kind: int) -> DataFrame:
+        cells = [F.col(f.name) if f.name in rules.keys else cell(f).alias(f.name) for f in base.schema]
+        return df.select(*cells, F.lit(kind).cast("byte").alias("_op"))
 
     if op.startswith("delete"):
-        gone = F.lit(REMOVE).cast("byte").alias("_op")
-        touched = valid.select(*keys).distinct() if seq else valid.select(*keys)
-        return base.join(touched, keys, "left_semi").select(*base.columns, gone)
-
-    refuses_change = op == "upsert" and _sets_immutable(changes, rules)
-    if op.startswith("insert") or refuses_change:
-        first = first_changes(valid, keys, seq)
-        if refuses_change and _unset_required(changes, rules):
-            first = first.limit(0)
-        fresh = first.join(present_keys(base, first, keys), keys, "left_anti")
-        return _filled(fresh, base, rules).select("*", put)
-
-    last = last_changes(valid, keys, seq, ignore_null)
+        return rows(valid.filter(present), lambda f: F.col("_old")[f.name], REMOVE)
+    if _takes_first(changes, rules, op):
+        refuses = op == "upsert" and lacks
+        return rows(valid.filter(~present & F.lit(not refuses)), fresh, PUT)
     if op.startswith("update"):
-        if op == "update" and _sets_immutable(changes, rules):
-            return base.limit(0).select("*", put)
-        return _merged_images(base, last, rules, ignore_null, ignore).select("*", put)
-
-    whole = not ignore_null and set(base.columns) <= set(last.columns)
-    if whole and not _sets_immutable(changes, rules):
-        return last.select(*base.columns, put)
-    images = _merged_images(base, last, rules, ignore_null, ignore)
-    if _unset_required(changes, rules):
-        return images.select("*", put)
-    fresh = last.join(present_keys(base, last, keys), keys, "left_anti")
+        refuses = op == "update" and _sets_immutable(changes, rules)
+        return rows(valid.filter(present & F.lit(not refuses)), lambda f: merged(f.name), PUT)
+    if _replaces(base, changes, rules, op, ignore_null):
+        return rows(valid, lambda f: F.col("_new")[f.name], PUT)
+    whole = F.lit(not lacks)
     for c in rules.required if ignore_null else ():
-        fresh = fresh.filter(F.col(c).isNotNull()) if c in changes.columns else fresh
-    carried = [c for c in rules.immutable if c in changes.columns]
-    if carried and seq is not None:
-        # A key new to the table keeps the immutable cells of its first row.
-        firsts = first_changes(valid.select(*keys, *carried, seq), keys, seq)
-        fresh = fresh.drop(*carried).join(firsts, keys)
-    return images.unionByName(_filled(fresh, base, rules)).select("*", put)
+        whole = whole & F.col("_new")[c].isNotNull() if c in given else whole
+    return rows(valid.filter(present | whole), lambda f: F.when(present, merged(f.name)).otherwise(fresh(f)), PUT)
+
+
+def plan_change(
+    base: DataFrame,
+    changes: DataFrame,
+    rules: Rules,
+    op: str,
+    seq: str | None = None,
+    ignore_null: bool = False,
+) -> DataFrame:
+    """The delta of one batch: full rows plus ``_op``, one per key that changes."""
+    judged = judge(base, changes, rules, op, seq, ignore_null)
+    return _delta(base, changes, judged, rules, op, ignore_null)
 
 
 def merge(base: DataFrame, delta: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -273,26 +329,15 @@ def merge(base: DataFrame, delta: DataFrame, keys: Sequence[str]) -> DataFrame:
     return kept.unionByName(delta.filter(F.col("_op") == PUT).drop("_op"))
 
 
-def _marks(base: DataFrame, valid: DataFrame, rules: Rules, seq: str | None) -> DataFrame:
-    """Per touched key: rows in the batch, first sequence number, whether the table has it."""
-    keys = list(rules.keys)
-    first = F.min(seq) if seq else F.lit(None).cast("long")
-    touched = valid.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), first.alias("_first"))
-    known = present_keys(base, touched, keys).withColumn("_present", F.lit(True))
-    return touched.join(known, keys, "left").fillna(False, ["_present"])
-
-
-def row_errors(
-    base: DataFrame,
+def refused_rows(
     changes: DataFrame,
+    judged: DataFrame,
     rules: Rules,
     op: str,
     seq: str | None = None,
     ignore_null: bool = False,
 ) -> DataFrame:
-    """(keys, seq, error) of each refused row; the ``_ignore`` forms refuse only bad rows."""
-    changes = align(base, changes, extra=[seq] if seq else [])
-    _check(base, changes, rules, op, seq)
+    """(keys, seq, error) of the rows of a batch that its judged keys refuse."""
     shown = [*rules.keys, *([seq] if seq else [])]
     own = _row_error(changes, rules, op, ignore_null)
     bad = changes.select(*shown, own.alias("error")).filter(F.col("error").isNotNull())
@@ -323,45 +368,97 @@ def row_errors(
         error, suspect = F.when(F.col("_lacks") & ~present, MISSING_VALUE), ~present
     else:
         return bad
-    # Only keys with a refused row are marked. The batch may hold one of them very often.
-    marks = _marks(base, valid, rules, seq).filter(suspect)
+    # Only keys with a refused row are marked. The batch may hold one of them very often; the number of
+    # its rows is known, and at most one key per HOT_ROWS of them is hot.
+    known = judged.filter(F.col("_n") > 0)
+    marks = known.filter(suspect).select(*rules.keys, "_n", "_first", "_present")
+    hot = known.filter(F.col("_n") > HOT_ROWS).select(*rules.keys)
     refused = (
-        salted_join(valid, marks, rules.keys, hot=hot_keys(valid, rules.keys))
+        salted_join(valid, marks, rules.keys, hot=hot)
         .select(*shown, error.alias("error"))
         .filter(F.col("error").isNotNull())
     )
     return bad.unionByName(refused)
 
 
-def op_counts(
-    base: DataFrame, changes: DataFrame, rules: Rules, op: str, seq: str | None = None
+def row_errors(
+    base: DataFrame,
+    changes: DataFrame,
+    rules: Rules,
+    op: str,
+    seq: str | None = None,
+    ignore_null: bool = False,
 ) -> DataFrame:
-    """One row: operation, incoming rows, rows that took effect."""
+    """(keys, seq, error) of each refused row; the ``_ignore`` forms refuse only bad rows."""
     changes = align(base, changes, extra=[seq] if seq else [])
-    _check(base, changes, rules, op, seq)
-    valid = changes.filter(_row_error(changes, rules, op).isNull())
+    judged = judge(base, changes, rules, op, seq, ignore_null)
+    return refused_rows(changes, judged, rules, op, seq, ignore_null)
+
+
+def _effect(changes: DataFrame, rules: Rules, op: str) -> Column:
+    """How many rows of a judged key took effect."""
     present, n = F.col("_present"), F.col("_n")
-    immutable = _sets_immutable(changes, rules)
-    one = F.lit(1)
-    if op.startswith("insert") or (op == "upsert" and immutable):
-        effect = F.when(~present, one)
+    one, some = F.lit(1).cast("long"), n > 0
+    if _takes_first(changes, rules, op):
+        effect = F.when(some & ~present, one)
     elif op.startswith("delete"):
-        effect = F.when(present, one)
+        effect = F.when(some & present, one)
     elif op.startswith("update"):
-        effect = F.when(present & F.lit(not (op == "update" and immutable)), n)
+        refuses = op == "update" and _sets_immutable(changes, rules)
+        effect = F.when(present & F.lit(not refuses), n)
     else:
         effect = n
     if op.startswith("upsert") and _unset_required(changes, rules):
         effect = F.when(present, effect)
-    applied = _marks(base, valid, rules, seq).agg(
-        F.coalesce(F.sum(effect), F.lit(0)).cast("long").alias("applied")
-    )
-    rows = changes.agg(F.count(F.lit(1)).alias("incoming"))
-    both = rows.select("incoming", F.lit(0).cast("long").alias("applied")).unionByName(
-        applied.select(F.lit(0).cast("long").alias("incoming"), "applied")
-    )
-    return both.agg(F.sum("incoming").alias("incoming"), F.sum("applied").alias("applied")).select(
-        F.lit(op).alias("op"), "incoming", "applied"
+    return F.coalesce(effect, F.lit(0).cast("long"))
+
+
+def _tally(changes: DataFrame, rules: Rules, op: str) -> list[Column]:
+    """Incoming rows and rows that took effect, summed over judged keys."""
+    return [
+        F.coalesce(F.sum("_all"), F.lit(0).cast("long")).alias("incoming"),
+        F.coalesce(F.sum(_effect(changes, rules, op)), F.lit(0).cast("long")).alias("applied"),
+    ]
+
+
+def op_counts(
+    base: DataFrame, changes: DataFrame, rules: Rules, op: str, seq: str | None = None
+) -> DataFrame:
+    """One row: operation, incoming rows, rows that took effect."""
+    judged = judge(base, changes, rules, op, seq)
+    return judged.agg(*_tally(changes, rules, op)).select(F.lit(op).alias("op"), "incoming", "applied")
+
+
+@dataclass(frozen=True)
+class Outcome:
+    """What one batch comes to: its delta, its refused rows, and its counts by name."""
+
+    delta: DataFrame
+    errors: DataFrame
+    counts: Mapping[str, int]
+
+
+def carry_out(
+    base: DataFrame,
+    changes: DataFrame,
+    rules: Rules,
+    op: str,
+    seq: str | None = None,
+    ignore_null: bool = False,
+) -> Outcome:
+    """Judge one batch. The batch and its judged keys are written once; counts are taken while writing."""
+    given = seq
+    changes = align(base, changes, extra=[seq] if seq else [])
+    changes, seq = in_arrival_order(changes, seq)
+    arrived = materialize(changes, "arrived")
+    counted = Observation()
+    judged = judge(base, arrived, rules, op, seq, ignore_null)
+    judged = materialize(judged.observe(counted, *_tally(arrived, rules, op)), "judged")
+    errors = refused_rows(arrived, judged, rules, op, seq, ignore_null)
+    return Outcome(
+        _delta(base, arrived, judged, rules, op, ignore_null),
+        errors if given else errors.drop(seq),
+        {"incoming": counted.get["incoming"], "applied": counted.get["applied"]},
     )
 
 
@@ -374,12 +471,11 @@ def apply_ops(
     ignore_null: bool = False,
 ) -> Applied:
     """One batch against a table. Refused rows never undo the rest of the batch."""
-    delta = plan_change(base, changes, rules, op, seq, ignore_null)
-    return Applied(
-        merge(base, delta, rules.keys),
-        row_errors(base, changes, rules, op, seq, ignore_null),
-        op_counts(base, changes, rules, op, seq),
+    done = carry_out(base, changes, rules, op, seq, ignore_null)
+    counts = base.sparkSession.createDataFrame(
+        [(op, done.counts["incoming"], done.counts["applied"])], "op string, incoming bigint, applied bigint"
     )
+    return Applied(merge(base, done.delta, rules.keys), done.errors, counts)
 
 
 def apply_feed(

@@ -247,6 +247,41 @@ def write_reported(t):
     return stored.unionByName(refused, allowMissingColumns=True)
 
 
+@query(
+    "write_counts",
+    BATCH_SQL
+    + """
+    SELECT 'insert' AS op, count(*) AS incoming, count(DISTINCT o_orderkey) FILTER (o_orderkey NOT IN (FROM keys)) AS applied FROM batch
+    UNION ALL SELECT 'update', count(*), count(*) FROM batch
+    UNION ALL SELECT 'delete', count(*), count(DISTINCT o_orderkey) FROM batch
+    """,
+)
+def write_counts(t):
+    table, rows = orders_table(t), []
+    for op, changes in (("insert", batch(t)), ("update", batch(t)), ("delete", batch(t).select("o_orderkey", "seq"))):
+        counts = table.write_reported(op, changes, seq="seq").counts
+        rows.append((op, counts["incoming"], counts["applied"]))
+    return t.spark.createDataFrame(rows, "op string, incoming bigint, applied bigint")
+
+
+@query(
+    "arrival_order",
+    BATCH_SQL
+    + """
+    SELECT * FROM base WHERE o_orderkey NOT IN (SELECT o_orderkey FROM last)
+    UNION ALL SELECT * EXCLUDE seq FROM last
+    """,
+)
+def arrival_order(t):
+    # Keys repeat across the files of two deliveries; the shuffle mixes them before the write.
+    table, path = orders_table(t), new_path(t.spark, "deliveries")
+    for n in (1, 2):
+        delivery = batch(t).filter(F.col("seq") == n).drop("seq")
+        delivery.repartition(3, "o_custkey").write.mode("append").parquet(path)
+    table.write("upsert", t.spark.read.parquet(path).repartition(7, "o_totalprice"))
+    return table.latest()
+
+
 @query(
     "copy_table",
     BATCH_SQL

@@ -23,12 +23,13 @@ from contextlib import contextmanager
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 from pyspark.sql.types import DataType, StructField, StructType
 
 from olapkit.operators import partitions, rowops
 from olapkit.operators.partitions import Bound, PartitionSpec
 from olapkit.operators.rowops import PUT, REMOVE, Rules, merge
+from olapkit.workspace import materialize
 
 CONTROL = ["_op", "_ts", "_seq"]
 NOT_COVERED = "NOT_COVERED"
@@ -50,10 +51,14 @@ def _type_of(value) -> DataType:
 
 @dataclass(frozen=True)
 class Written:
-    """Commit time of a write, and (keys, seq if one was named, error) of each row it refused."""
+    """Commit time of a write, (keys, seq if one was named, error) of each row it refused, and its counts.
+
+    ``incoming`` rows came, ``applied`` took effect, ``outside`` belong to no partition.
+    """
 
     ts: int
     refused: DataFrame
+    counts: Mapping[str, int]
 
 
 class KeyedTable:
@@ -337,16 +342,16 @@ class KeyedTable:
         """Apply one batch and return its commit time.
 
         Of several changes to one key those later in ``seq`` count, without ``seq`` those
-        that come later in the batch; a table never holds a key twice.
+        that came later (see ``rowops.in_arrival_order``); a table never holds a key twice.
         ``source`` names the stream and batch number; a batch that was already
         committed is skipped. ``drift`` adds unknown incoming columns first.
         """
         meta = self.meta()
         if source is not None and meta["sources"].get(source[0], -1) >= source[1]:
             return self.last_commit(meta)
-        if drift:
-            meta = self._widen(meta, changes, [seq] if seq else [])
         changes, seq = rowops.in_arrival_order(changes, seq)
+        if drift:
+            meta = self._widen(meta, changes, [seq])
         ts = self._next_ts(meta, ts)
         base = self._state(meta, self.last_commit(meta))
         spec = self.spec(meta)
@@ -361,15 +366,34 @@ class KeyedTable:
         return ts
 
     def write_reported(
-        self, op: str, changes: DataFrame, ts: int | None = None, seq: str | None = None
+        self, op: str, changes: DataFrame, ts: int | None = None, seq: str | None = None, ignore_null: bool = False
     ) -> "Written":
-        """``write``, with the rows that it refused.
+        """``write``, with the rows that it refused and its counts, all from one pass.
 
-        They are judged against the state before the write, whose files stay, so they
-        can be read at any time after it. ``changes`` must give the same rows each time.
+        The batch is evaluated once, the table is read once. Refused rows are read from what the write stored
+        beside the table, at any time after it.
         """
-        refused = self.errors(op, changes, seq)
-        return Written(self.write(op, changes, ts, seq), refused)
+        meta = self.meta()
+        ts = self._next_ts(meta, ts)
+        given, spec = seq, self.spec(meta)
+        base = self._state(meta, self.last_commit(meta))
+        outside, counts = None, {"outside": 0}
+        if spec is not None:
+            changes, seq = rowops.in_arrival_order(rowops.align(base, changes, extra=[seq] if seq else []), seq)
+            seen = Observation()
+            inside = F.coalesce(partitions.covered(spec), F.lit(False))
+            arrived = materialize(changes.observe(seen, F.count(F.when(~inside, 1)).alias("outside")), "arrived")
+            changes, outside = partitions.split_covered(arrived, spec)
+            counts = {"outside": seen.get["outside"]}
+        done = rowops.carry_out(base, changes, self.rules(meta), op, seq, ignore_null)
+        shown = [*meta["keys"], *([given] if given else [])]
+        refused = done.errors.select(*shown, "error")
+        if outside is not None:
+            refused = refused.unionByName(outside.select(*shown, F.lit(NOT_COVERED).alias("error")))
+        commit = self._store(meta, done.delta, ts, 0)
+        self._change(meta, commits=[*meta["commits"], commit])
+        counts |= {"incoming": done.counts["incoming"] + counts["outside"], "applied": done.counts["applied"]}
+        return Written(ts, refused, counts)
 
     def errors(self, op: str, changes: DataFrame, seq: str | None = None) -> DataFrame:
         """The rows ``write`` would refuse against the current state."""

@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from olapkit.operators.metrics import SERIES, parse_metric_lines
+from olapkit.operators import rowops
+from olapkit.operators.metrics import parse_metric_lines
 from olapkit.plans import sales
 from olapkit.sources.encode import json_fields
 from olapkit.sources.keyed_table import KeyedTable
@@ -34,18 +35,26 @@ def upsert_stream(
     seq: str | None = None,
     prepare: Callable[[DataFrame], DataFrame] | None = None,
     every: str | None = None,
+    drift: bool = False,
 ) -> StreamingQuery:
     """Write each micro-batch with ``op``; a replayed batch changes nothing.
 
+    Without ``seq`` the changes of a micro-batch to one key count in the order in which they stand in
+    their files, so that a batch that is read again comes to the same rows. ``drift`` adds
+    columns that the table doesn't know yet, at the micro-batch that first brings them.
     The table records the last batch number under ``name``, which must stay the
     same for the same checkpoint. Runs until the available input is used up, or for good, with a
     micro-batch ``every`` so often (``"10 seconds"``).
     """
     trigger = {"processingTime": every} if every else {"availableNow": True}
 
+    place = rowops.file_position(stream) if seq is None else None
+    if place is not None:
+        stream = stream.withColumn(rowops.ARRIVAL, place)
+
     def apply(batch: DataFrame, number: int) -> None:
         rows = prepare(batch) if prepare else batch
-        table.write(op, rows, seq=seq, source=(name, number))
+        table.write(op, rows, seq=seq, source=(name, number), drift=drift)
 
     return (
         stream.writeStream.foreachBatch(apply)
@@ -61,18 +70,11 @@ def metric_stream(
 ) -> StreamingQuery:
     """Metric lines into a table keyed by host, metric and time; repeats are ignored.
 
-    A point may be as late as it likes: repeats are dropped in the micro-batch and by the
-    insert, which knows all stored keys, so the stream keeps no state.
+    A point may be as late as it likes: the insert knows all stored keys, and of repeats in a
+    micro-batch takes the first, so the stream keeps no state.
     """
     points, _ = parse_metric_lines(lines, "value")
-    return upsert_stream(
-        points,
-        table,
-        name,
-        checkpoint,
-        op="insert_ignore",
-        prepare=lambda batch: batch.dropDuplicates([*SERIES, "timestamp"]),
-    )
+    return upsert_stream(points, table, name, checkpoint, op="insert_ignore")
 
 
 def json_stream(

@@ -231,3 +231,16 @@ def test_the_newest_of_many_versions_is_read(spark, tmp_path):
         table.write("insert", spark.createDataFrame([(k,)], "k int"))
     assert table.meta()["version"] == 12
     assert table.latest().count() == 12
+
+
+def test_a_reported_write_counts_and_needs_its_batch_once(spark, tmp_path):
+    spec = PartitionSpec(range_column="k", bounds=(Bound(0, 10),))
+    rows = spark.createDataFrame([(1, "a"), (2, "b")], "k INT, v STRING")
+    table = KeyedTable.create_as(rows, str(tmp_path / "t"), ["k"], partition=spec)
+    more = spark.createDataFrame([(2, "x", 1), (3, "c", 2), (3, "d", 3), (50, "e", 4), (None, "f", 5)], "k INT, v STRING, n INT")
+    done = table.write_reported("insert", more.withColumn("v", F.concat("v", F.uuid().substr(1, 0))), seq="n")
+    assert done.counts == {"incoming": 5, "applied": 1, "outside": 2}
+    refused = sorted((r["n"], r["error"]) for r in done.refused.collect())
+    assert [n for n, _ in refused] == [1, 3, 4, 5]
+    assert dict(refused)[4] == "NOT_COVERED"
+    assert {r["k"]: r["v"] for r in table.latest().collect()} == {1: "a", 2: "b", 3: "c"}

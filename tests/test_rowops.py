@@ -138,3 +138,50 @@ def test_small_batch_leaves_the_table_in_place(spark):
         delta = rowops.plan_change(base, changes, Rules(keys=("k",)), op)
         plan = rowops.merge(base, delta, ["k"])._jdf.queryExecution().executedPlan().toString()
         assert "SortMergeJoin" not in plan, op
+
+
+def test_file_rows_count_in_file_order_after_any_shuffle(spark, tmp_path):
+    path = str(tmp_path / "deliveries")
+    for turn in range(3):
+        rows = spark.range(400).selectExpr("CAST(id % 37 AS INT) k", f"concat('{turn}-', id) a", "CAST(id AS INT) b")
+        rows.coalesce(1).write.mode("append").parquet(path)
+    base = spark.createDataFrame([], SCHEMA)
+    last = {k: f"2-{max(i for i in range(400) if i % 37 == k)}" for k in range(37)}
+    first = {k: f"0-{k}" for k in range(37)}
+    for pieces, by in ((1, "a"), (7, "b"), (5, "k")):
+        batch = spark.read.parquet(path).repartition(pieces, by).filter("b >= 0")
+        for op, want in (("upsert", last), ("insert_ignore", first)):
+            ordered, seq = rowops.in_arrival_order(batch, None)
+            delta = rowops.plan_change(base, ordered, Rules(keys=("k",)), op, seq)
+            assert {r["k"]: r["a"] for r in delta.collect()} == want
+
+
+def test_rows_without_files_come_as_spark_hands_them_over(spark):
+    batch = spark.createDataFrame([(1, "x", 1), (1, "y", 2)], SCHEMA)
+    assert rowops.file_position(batch) is None
+    done = rowops.apply_ops(batch.limit(0), batch, Rules(keys=("k",)), "upsert")
+    assert rows_of(done.state) == {1: ("y", 2)}
+
+
+@pytest.mark.parametrize("op", ["insert", "update", "upsert_ignore", "delete"])
+def test_inputs_are_read_at_most_twice(spark, tmp_path, op):
+    """What follows from a judged batch reads neither the batch again, nor the table but for the new state."""
+    stored, batch = str(tmp_path / "stored"), str(tmp_path / "batch")
+    spark.range(50).selectExpr("CAST(id AS INT) k", "'s' a", "1 b").write.parquet(stored)
+    spark.range(30, 90).selectExpr("CAST(id AS INT) k", "'n' a", "2 b", "id seq").write.parquet(batch)
+    changes = spark.read.parquet(batch)
+    changes = changes.select("k", "seq") if op == "delete" else changes
+    done = rowops.apply_ops(spark.read.parquet(stored), changes, Rules(keys=("k",), immutable=("a",)), op, "seq")
+    for frame, of_table in ((done.state, 1), (done.errors, 0)):
+        plan = frame._jdf.queryExecution().executedPlan().toString()
+        assert plan.count(f"[file:{stored}]") == of_table and f"[file:{batch}]" not in plan, plan
+
+
+def test_a_hot_key_of_refused_rows(spark, monkeypatch):
+    monkeypatch.setattr(rowops, "HOT_ROWS", 10)
+    base = spark.createDataFrame([(1, "x", 1)], SCHEMA)
+    batch = spark.createDataFrame([(1 if i % 3 else i, "n", i, i) for i in range(300)], "k INT, a STRING, b INT, seq INT")
+    done = rowops.apply_ops(base, batch, Rules(keys=("k",)), "insert", "seq")
+    want = sorted(i for i in range(300) if i % 3)
+    assert sorted(r["seq"] for r in done.errors.collect()) == want
+    assert done.counts.first().asDict() == {"op": "insert", "incoming": 300, "applied": 100}
