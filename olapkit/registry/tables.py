@@ -164,13 +164,12 @@ def import_upsert(t):
 
 @query(
     "export_roundtrip",
-    BATCH_SQL
-    + """
-    SELECT fmt, o_orderkey, o_totalprice FROM base, (VALUES ('csv'), ('parquet')) f(fmt)
+    """
+    SELECT fmt, o_orderkey, o_totalprice FROM orders, (VALUES ('csv'), ('parquet')) f(fmt)
     """,
 )
 def export_roundtrip(t):
-    table, columns = orders_table(t), ["o_totalprice", "o_orderkey"]
+    table, columns = all_orders(t), ["o_totalprice", "o_orderkey"]
     text, binary = new_path(t.spark, "out-csv"), new_path(t.spark, "out-parquet")
     kt.export_table(table, text, "csv", columns, header=True)
     kt.export_table(table, binary, "parquet", columns)
@@ -187,6 +186,11 @@ def orders_table(t, **options):
     return KeyedTable.create_as(base(t), path, ["o_orderkey"], ts=100, name="orders", **options)
 
 
+def all_orders(t, path=None):
+    path = path or new_path(t.spark, "table")
+    return KeyedTable.create_as(t.orders.select(*COLUMNS), path, ["o_orderkey"], name="orders")
+
+
 def of_priority(t, priority):
     return t.orders.filter(F.col("o_orderpriority") == priority)
 
@@ -387,13 +391,12 @@ def staged_commit(t):
     "catalog",
     """
     SELECT 'sales_orders' AS name, 'night shift' AS owner, count(*) AS rows FROM orders
-    WHERE o_orderdate < DATE '2000-01-01'
     UNION ALL SELECT 'sales_parts', '', count(*) FROM part
     """,
 )
 def catalog(t):
     root = new_path(t.spark, "catalog")
-    orders = KeyedTable.create_as(base(t), f"{root}/a", ["o_orderkey"], name="orders")
+    orders = all_orders(t, f"{root}/a")
     parts = KeyedTable.create_as(t.part, f"{root}/b", ["p_partkey"], name="sales_parts")
     other = KeyedTable.create(t.spark, f"{root}/c", t.part.schema, ["p_partkey"], name="sales_old")
     orders.describe(name="sales_orders", owner="night shift")
@@ -578,14 +581,13 @@ def restore_names(t):
     "backup_many",
     """
     SELECT 'orders' AS table_name, 'ok' AS status, count(*) AS rows FROM orders
-    WHERE o_orderdate < DATE '2000-01-01'
     UNION ALL SELECT 'part', 'ok', count(*) FROM part
     UNION ALL SELECT 'missing', 'AnalysisException', 0
     """,
 )
 def backup_many(t):
     root = new_path(t.spark, "backups")
-    orders = orders_table(t)
+    orders = all_orders(t)
     missing = KeyedTable(t.spark, new_path(t.spark, "missing"))
     parts = KeyedTable.create_as(t.part, new_path(t.spark, "table"), ["p_partkey"], name="part")
     statuses = [s for _, s in backups.backup_many([orders, missing, parts], root)]
@@ -598,6 +600,36 @@ def backup_many(t):
     return out
 
 
+@query(
+    "restore_many",
+    """
+    SELECT 'orders' AS table_name, o_orderkey AS id, o_totalprice AS price FROM orders
+    UNION ALL SELECT 'part', p_partkey, p_retailprice FROM part
+    UNION ALL SELECT 'customer', c_custkey, c_acctbal + 1 FROM customer
+    """,
+)
+def restore_many(t):
+    root, spark = new_path(t.spark, "backups"), t.spark
+    customers = KeyedTable.create_as(t.customer, new_path(spark, "table"), ["c_custkey"], name="customer")
+    parts = KeyedTable.create_as(t.part, new_path(spark, "table"), ["p_partkey"], name="part")
+    tables = [all_orders(t), parts, customers]
+    backups.backup_many(tables, root)
+    customers.update_where(F.lit(True), {"c_acctbal": F.col("c_acctbal") + 1})
+    backups.backup_many(tables[2:], root)
+    targets = {name: new_path(spark, name) for name in ("orders", "part", "customer")}
+    statuses = dict(backups.restore_many(spark, root, targets))
+    out = None
+    for name, key, price in (
+        ("orders", "o_orderkey", "o_totalprice"),
+        ("part", "p_partkey", "p_retailprice"),
+        ("customer", "c_custkey", "c_acctbal"),
+    ):
+        rows = KeyedTable(spark, targets[name]).latest().filter(F.lit(statuses[name] == "ok"))
+        rows = rows.select(F.lit(name).alias("table_name"), F.col(key).alias("id"), F.col(price).alias("price"))
+        out = rows if out is None else out.unionAll(rows)
+    return out
+
+
 # Chain choice over many tables: each customer is a table, each of its orders a backup.
 
 MANIFEST_SQL = """
@@ -651,7 +683,7 @@ def order_manifests(t):
     """,
 )
 def chain_base(t):
-    return backups.chain_bases(order_manifests(t))
+    return backups.chain_bases(order_manifests(t)).drop("root_to")
 
 
 @query(

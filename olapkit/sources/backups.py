@@ -5,29 +5,40 @@ A backup is a folder ``<root>/<table id>/<end time>-<id>`` with Parquet rows und
 metadata does not exist. A full backup starts at time 0; an increment starts where
 its predecessor ended and carries ``row_action`` (0 or null put, 1 delete).
 
+Every backup's document names the chain it was made on: its predecessor, the full backup at the root,
+and its weight, the number of increments since. So the base of the next increment, the newest
+state to restore and the list of latest backups are aggregates over the documents.
+
 The chain functions work on a frame of manifest rows for any number of tables:
-``table_name, table_id, backup_id, from_ts, to_ts``. They advance all tables one
-increment per round, so the number of rounds is the longest chain.
+``table_name, table_id, backup_id, from_ts, to_ts``, and the links if they are known. Links that are not
+known, and the backups on a path, are found by doubling: a round doubles the steps it looks back,
+so a chain of 500 increments takes nine.
 """
 
 from __future__ import annotations
 
 import json
 import uuid
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass
 from functools import reduce
 
+from pyspark import inheritable_thread_target
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql.types import ByteType, StructField, StructType
 
 from olapkit.operators import rowops
 from olapkit.operators.partitions import Bound, PartitionSpec
 from olapkit.operators.rowops import PUT, REMOVE
-from olapkit.sources.keyed_table import KeyedTable
-from olapkit.workspace import materialize, materialize_counted
+from olapkit.sources.keyed_table import KeyedTable, column_type
+from olapkit.workspace import materialize
 
 ACTION = "row_action"
 MANIFEST = "table_name STRING, table_id STRING, backup_id STRING, from_ts BIGINT, to_ts BIGINT"
+#: Predecessor, full backup, its end, increments since; a root of "" means that the backup is on no chain.
+LINKS = {"prev_id": "STRING", "root_id": "STRING", "root_to": "BIGINT", "weight": "INT"}
 
 
 def action_column(columns: Sequence[str]) -> str:
@@ -41,97 +52,143 @@ def action_column(columns: Sequence[str]) -> str:
 # Chains
 
 
-def reached(manifests: DataFrame) -> DataFrame:
-    """Points in time each full backup leads to: (table_id, root_id, root_to, to_ts, weight, path).
+def linked(manifests: DataFrame) -> DataFrame:
+    """The backups that lead back to a full one, each with its links.
 
-    ``weight`` is the number of increments, ``path`` the backup ids in order; one
-    row per table, full backup, end time and number of increments.
+    Stored links are taken as they are if every backup has them and none lost its predecessor. Else all are found
+    anew: the predecessor of an increment is the backup that ends where it starts; of several the
+    one with the fewest increments, then the newest full backup, then the least id.
     """
-    increments = manifests.filter(F.col("from_ts") > 0).select(
-        F.col("table_id").alias("_table"),
-        F.col("backup_id").alias("_next"),
-        F.col("from_ts").alias("_from"),
-        F.col("to_ts").alias("_to"),
+    for name, kind in LINKS.items():
+        if name not in manifests.columns:
+            manifests = manifests.withColumn(name, F.lit(None).cast(kind))
+    known = materialize(manifests, "manifests")
+    ids = known.select("table_id", F.col("backup_id").alias("prev_id"))
+    lost = known.filter(F.col("prev_id").isNotNull()).join(ids, ["table_id", "prev_id"], "left_anti")
+    unlinked = known.filter(F.col("root_id").isNull())
+    if unlinked.isEmpty() and lost.isEmpty():
+        return known.filter(F.col("root_id") != "")
+    return _linked_anew(known.drop(*LINKS))
+
+
+def _linked_anew(known: DataFrame) -> DataFrame:
+    """Links from the times alone. An increment ends after it starts, so no chain returns to an earlier point."""
+    full = F.col("from_ts") == 0
+    ends = known.select("table_id", F.col("to_ts").alias("from_ts"), F.col("backup_id").alias("prev_id"))
+    increments = known.filter(~full & (F.col("to_ts") > F.col("from_ts"))).select("table_id", "backup_id", "from_ts")
+    candidates = materialize(increments.join(ends, ["table_id", "from_ts"]).drop("from_ts"), "predecessors")
+    sizes = known.select("table_id", F.col("backup_id").alias("prev_id"), full.alias("_full"), F.col("from_ts").alias("_start"))
+    first = F.struct(~F.col("_full"), F.col("_start"), F.col("prev_id"))
+    chosen = (
+        candidates.join(sizes, ["table_id", "prev_id"])
+        .groupBy("table_id", "backup_id")
+        .agg(F.min_by("prev_id", first).alias("prev_id"))
     )
-    # An increment ends after it starts, so no path returns to an earlier point.
-    increments = materialize(increments.filter(F.col("_to") > F.col("_from")), "increments")
-    level = materialize(
-        manifests.filter(F.col("from_ts") == 0).select(
-            "table_id",
-            F.col("backup_id").alias("root_id"),
-            F.col("to_ts").alias("root_to"),
-            "to_ts",
-            F.lit(0).alias("weight"),
-            F.array("backup_id").alias("path"),
-        ),
-        "chains",
+    roots = known.filter(full).select("table_id", F.col("backup_id").alias("root_id"), F.col("to_ts").alias("root_to"))
+    while True:
+        chosen = materialize(chosen, "chosen")
+        found = _weighed(known.filter(full), chosen).join(roots, ["table_id", "root_id"])
+        found = materialize(found, "weighed")
+        # Is a lighter predecessor known now? Weights only fall, so this ends.
+        weights = found.select("table_id", F.col("backup_id").alias("prev_id"), "weight", "root_to", "root_id")
+        light = F.struct("weight", (-F.col("root_to")).alias("newest"), "prev_id")
+        better = candidates.join(weights, ["table_id", "prev_id"]).groupBy("table_id", "backup_id")
+        better = better.agg(F.min_by("prev_id", light).alias("_better"), F.min("weight").alias("_least"))
+        now = chosen.join(weights.select("table_id", "prev_id", "weight"), ["table_id", "prev_id"], "left")
+        changed = now.join(better, ["table_id", "backup_id"]).filter(
+            F.col("weight").isNull() | (F.col("_least") < F.col("weight"))
+        )
+        if changed.isEmpty():
+            break
+        chosen = chosen.join(better, ["table_id", "backup_id"], "left").select(
+            "table_id", "backup_id", F.coalesce("_better", "prev_id").alias("prev_id")
+        )
+    return known.join(found, ["table_id", "backup_id"]).join(chosen, ["table_id", "backup_id"], "left")
+
+
+def _weighed(fulls: DataFrame, chosen: DataFrame) -> DataFrame:
+    """(table_id, backup_id, root_id, weight) of the backups whose predecessors lead to a full one."""
+    root = fulls.select("table_id", "backup_id", F.col("backup_id").alias("up"), F.lit(0).alias("weight"), F.lit(True).alias("done"))
+    state = root.unionByName(
+        chosen.select("table_id", "backup_id", F.col("prev_id").alias("up"), F.lit(1).alias("weight"), F.lit(False).alias("done"))
     )
-    levels = [level]
     while True:
-        step = level.join(
-            increments, (F.col("table_id") == F.col("_table")) & (F.col("to_ts") == F.col("_from"))
+        state = materialize(state, "chains")
+        if state.filter(~F.col("done")).isEmpty():
+            return state.select("table_id", "backup_id", F.col("up").alias("root_id"), "weight")
+        # Everyone looks as far back as the one it looks back to; who looks at nothing is on no chain.
+        further = state.select(
+            "table_id",
+            F.col("backup_id").alias("up"),
+            F.col("up").alias("_up"),
+            F.col("weight").alias("_weight"),
+            F.col("done").alias("_done"),
         )
-        level, rows = materialize_counted(
-            step.groupBy("table_id", "root_id", "root_to", F.col("_to").alias("to_ts"))
-            .agg(
-                (F.min("weight") + 1).alias("weight"),
-                F.min_by(F.array_append("path", F.col("_next")), F.col("_next")).alias("path"),
-            )
-            .select("table_id", "root_id", "root_to", "to_ts", "weight", "path"),
-            "chains",
+        state = state.join(further, ["table_id", "up"]).select(
+            "table_id",
+            "backup_id",
+            F.col("_up").alias("up"),
+            (F.col("weight") + F.col("_weight")).alias("weight"),
+            F.col("_done").alias("done"),
         )
-        if not rows:
-            break
-        levels.append(level)
-    return reduce(DataFrame.unionByName, levels)
 
 
-def _best(paths: DataFrame) -> DataFrame:
-    """Per table the path that ends last; among those the lightest, then the newest full."""
+def path_to(links: DataFrame, ends: DataFrame) -> DataFrame:
+    """(table_id, backup_id) of the backups on the paths to some ends: themselves and all before them."""
+    longest = links.join(ends, ["table_id", "backup_id"], "left_semi").agg(F.max("weight")).first()[0] or 0
+    prev = links.filter(F.col("prev_id").isNotNull()).select("table_id", "backup_id", F.col("prev_id").alias("up"))
+    jumps = [prev] if longest else []
+    while 1 << len(jumps) <= longest:
+        step = jumps[-1] if len(jumps) == 1 else materialize(jumps[-1], "jumps")
+        jumps[-1] = step
+        onward = step.select("table_id", F.col("backup_id").alias("up"), F.col("up").alias("_up"))
+        jumps.append(step.join(onward, ["table_id", "up"]).select("table_id", "backup_id", F.col("_up").alias("up")))
+    marked = ends.select("table_id", "backup_id")
+    for jump in reversed(jumps):
+        more = jump.join(marked, ["table_id", "backup_id"], "left_semi").select("table_id", F.col("up").alias("backup_id"))
+        marked = materialize(marked.unionByName(more).distinct(), "marked")
+    return marked
+
+
+def _best(links: DataFrame) -> DataFrame:
+    """Per table the backup that ends last; among those the lightest, then the newest full."""
     order = F.struct(
-        F.col("to_ts"), (-F.col("weight")).alias("w"), F.col("root_to"), F.col("root_id")
+        F.col("to_ts"), (-F.col("weight")).alias("w"), F.col("root_to"), F.col("root_id"), F.col("backup_id")
     )
-    best = F.max_by(F.struct("root_id", "to_ts", "weight", "path"), order).alias("best")
-    return paths.groupBy("table_id").agg(best).select("table_id", "best.*")
+    best = F.max_by(F.struct("backup_id", "root_id", "root_to", "to_ts", "weight"), order).alias("best")
+    return links.groupBy("table_id").agg(best).select("table_id", "best.*")
 
 
-def restore_paths(manifests: DataFrame, until: int | None = None) -> DataFrame:
-    """Per table the backups to restore, oldest first, as ``path``; ``until`` looks back in time."""
-    known = manifests if until is None else manifests.filter(F.col("to_ts") <= until)
-    return _best(reached(known))
+def restore_steps(manifests: DataFrame, until: int | None = None) -> DataFrame:
+    """The backups to restore of each table, with their links; ``weight`` numbers them from 0.
+
+    ``until`` looks back in time.
+    """
+    links = linked(manifests if until is None else manifests.filter(F.col("to_ts") <= until))
+    return links.join(path_to(links, _best(links)), ["table_id", "backup_id"], "left_semi")
 
 
 def chain_bases(manifests: DataFrame) -> DataFrame:
     """Per table the backup the next increment continues: on the newest full, the latest
     increment, by the fewest steps."""
-    paths = reached(manifests)
+    links = linked(manifests)
     newest = (
-        paths.filter(F.col("weight") == 0)
+        links.filter(F.col("weight") == 0)
         .groupBy("table_id")
-        .agg(F.max_by("root_id", F.struct("root_to", "root_id")).alias("_newest"))
-        .select(F.col("table_id").alias("_table"), "_newest")
-    )
-    on_newest = paths.join(
-        newest,
-        (F.col("table_id") == F.col("_table")) & (F.col("root_id") == F.col("_newest")),
-        "left_semi",
-    )
-    return _best(on_newest).select(
-        "table_id", "root_id", F.element_at("path", -1).alias("base_id"), "to_ts", "weight"
+        .agg(F.max_by("root_id", F.struct("root_to", "root_id")).alias("root_id"))
     )
+    best = _best(links.join(newest, ["table_id", "root_id"], "left_semi"))
+    return best.select("table_id", "root_id", F.col("backup_id").alias("base_id"), "root_to", "to_ts", "weight")
 
 
 def backup_list(manifests: DataFrame, kind: str = "all") -> DataFrame:
     """Backups as (name, id, end time, from, to, type): ``all``, the ``latest`` of each
     table, or the restore ``sequence``."""
     rows = manifests
-    if kind in ("latest", "sequence"):
-        paths = restore_paths(manifests)
-        if kind == "latest":
-            wanted = paths.select("table_id", F.element_at("path", -1).alias("backup_id"))
-        else:
-            wanted = paths.select("table_id", F.explode("path").alias("backup_id"))
-        rows = rows.join(wanted, ["table_id", "backup_id"], "left_semi")
+    if kind == "latest":
+        rows = rows.join(_best(linked(manifests)), ["table_id", "backup_id"], "left_semi")
+    elif kind == "sequence":
+        rows = rows.join(restore_steps(manifests), ["table_id", "backup_id"], "left_semi")
     elif kind != "all":
         raise ValueError("kind is all, latest or sequence")
     end = F.date_format(F.timestamp_micros("to_ts"), "yyyy-MM-dd'T'HH:mm:ss.SSSZ")
@@ -147,38 +204,14 @@ def backup_list(manifests: DataFrame, kind: str = "all") -> DataFrame:
 
 def backup_expired(manifests: DataFrame, now: int, age: int) -> DataFrame:
     """Backups on a path whose newest backup is older than ``age``, off the restore path."""
-    paths = reached(manifests)
-    points = paths.select("table_id", "to_ts").distinct()
-    increments = manifests.filter(F.col("from_ts") > 0)
-    onward = increments.select(F.col("table_id"), F.col("from_ts").alias("to_ts"))
-    # Ends of paths that are old, then every point that leads to one.
-    level = materialize(
-        points.join(onward, ["table_id", "to_ts"], "left_anti").filter(
-            F.col("to_ts") + age < now
-        ),
-        "expired",
-    )
-    old = [level]
-    while True:
-        level, rows = materialize_counted(
-            increments.join(level, ["table_id", "to_ts"], "left_semi")
-            .select("table_id", F.col("from_ts").alias("to_ts"))
-            .distinct()
-            .join(points, ["table_id", "to_ts"], "left_semi"),
-            "expired",
-        )
-        if not rows:
-            break
-        old.append(level)
-    leading = reduce(DataFrame.unionByName, old).distinct()
-    starts = points.select("table_id", F.col("to_ts").alias("from_ts"))
-    usable = manifests.filter(F.col("from_ts") == 0).unionByName(
-        increments.join(starts, ["table_id", "from_ts"], "left_semi")
-    )
-    needed = _best(paths).select("table_id", F.explode("path").alias("backup_id"))
-    return usable.join(leading, ["table_id", "to_ts"], "left_semi").join(
-        needed, ["table_id", "backup_id"], "left_anti"
-    )
+    links = linked(manifests)
+    onward = links.filter(F.col("from_ts") > 0).select("table_id", F.col("from_ts").alias("to_ts"))
+    # Ends of paths that are old, then every backup that leads to one.
+    old = links.join(onward, ["table_id", "to_ts"], "left_anti").filter(F.col("to_ts") + age < now)
+    leading = path_to(links, old)
+    needed = path_to(links, _best(links))
+    gone = leading.join(needed, ["table_id", "backup_id"], "left_anti")
+    return manifests.join(gone, ["table_id", "backup_id"], "left_semi")
 
 
 def restore_name(
@@ -200,14 +233,18 @@ def restore_name(
 # Backups on disk
 
 
+def _links() -> str:
+    return ", ".join(f"{name} {kind}" for name, kind in LINKS.items())
+
+
 def manifests(spark: SparkSession, root: str) -> DataFrame:
     """One row per finished backup, with its path and its whole document."""
     try:
         documents = spark.read.text(f"{root.rstrip('/')}/*/*/metadata")
     except AnalysisException:
-        return spark.createDataFrame([], f"{MANIFEST}, path STRING, document STRING")
+        return spark.createDataFrame([], f"{MANIFEST}, {_links()}, path STRING, document STRING")
     return documents.select(
-        F.from_json("value", MANIFEST).alias("m"),
+        F.from_json("value", f"{MANIFEST}, {_links()}").alias("m"),
         F.regexp_extract("_metadata.file_path", "^(.*)/metadata/", 1).alias("path"),
         F.col("value").alias("document"),
     ).select("m.*", "path", "document")
@@ -226,14 +263,21 @@ def backup(
     """
     meta = table.meta()
     end = to_ts if to_ts is not None else table.last_commit(meta)
-    start = 0
-    if from_ts is not None:
-        start = from_ts
-    elif not full:
-        own = manifests(table.spark, root).filter(F.col("table_id") == meta["id"])
-        if not own.isEmpty():
-            start = chain_bases(own).first()["to_ts"]
     backup_id = f"{end}-{uuid.uuid4().hex[:8]}"
+    start, base = 0, None
+    if not full and from_ts != 0:
+        own = manifests(table.spark, root).filter(F.col("table_id") == meta["id"])
+        if from_ts is not None:
+            own = own.filter(F.col("to_ts") <= from_ts)
+        base = chain_bases(own).first() if not own.isEmpty() else None
+        start = from_ts if from_ts is not None else base["to_ts"] if base else 0
+        base = base if base and base["to_ts"] == start else None
+    if start == 0:
+        links = {"prev_id": None, "root_id": backup_id, "root_to": end, "weight": 0}
+    elif base is None:
+        links = {"prev_id": None, "root_id": "", "root_to": 0, "weight": 0}
+    else:
+        links = {"prev_id": base["base_id"], "root_id": base["root_id"], "root_to": base["root_to"], "weight": base["weight"] + 1}
     path = f"{root.rstrip('/')}/{meta['id']}/{backup_id}"
     action = action_column([c["name"] for c in meta["columns"]])
     if start == 0:
@@ -248,6 +292,7 @@ def backup(
         "backup_id": backup_id,
         "from_ts": start,
         "to_ts": end,
+        **links,
         "format": "parquet",
         "keys": meta["keys"],
         "columns": [
@@ -263,49 +308,98 @@ def backup(
     return document
 
 
-def backup_many(
-    tables: Sequence[KeyedTable], root: str, fail_fast: bool = False
-) -> list[tuple[str, str]]:
-    """(path, ``ok`` or the error) per table; one failure stops the rest only if asked."""
-    results = []
-    for table in tables:
+@dataclass(frozen=True)
+class Done:
+    """What came of one table of several: ``ok`` or the name of the error."""
+
+    name: str
+    status: str
+    result: object = None
+
+
+def run_many(
+    spark: SparkSession, work: Sequence[tuple[str, Callable[[], object]]], parallel: int = 4, fail_fast: bool = False
+) -> list[Done]:
+    """Named pieces of work as concurrent Spark jobs, at most ``parallel`` at a time; results in the order given.
+
+    Each runs in a scheduler pool of its own, so that under fair scheduling a large table doesn't hold up a small one,
+    and shows its name as the job description. One failure stops what has not begun only if asked, and is then raised.
+    """
+
+    def run(name: str, body: Callable[[], object]) -> Done:
+        spark.sparkContext.setLocalProperty("spark.scheduler.pool", name)
+        spark.sparkContext.setLocalProperty("spark.job.description", name)
         try:
-            backup(table, root)
-            results.append((table.path, "ok"))
+            return Done(name, "ok", body())
         except Exception as error:
             if fail_fast:
                 raise
-            results.append((table.path, f"{type(error).__name__}"))
-    return results
+            return Done(name, type(error).__name__)
+
+    if parallel < 1:
+        raise ValueError("at least one piece of work runs at a time")
+    with ThreadPoolExecutor(parallel) as pool:
+        begun = [pool.submit(inheritable_thread_target(spark)(run), name, body) for name, body in work]
+        try:
+            return [b.result() for b in begun]
+        except BaseException:
+            for b in begun:
+                b.cancel()
+            raise
+
+
+def backup_many(
+    tables: Sequence[KeyedTable], root: str, fail_fast: bool = False, parallel: int = 4
+) -> list[tuple[str, str]]:
+    """(path, ``ok`` or the error) per table, several at a time; one failure stops the rest only if asked."""
+    if not tables:
+        return []
+    work = [(t.path, lambda t=t: backup(t, root)) for t in tables]
+    return [(d.name, d.status) for d in run_many(tables[0].spark, work, parallel, fail_fast)]
+
+
+def restore_many(
+    spark: SparkSession,
+    root: str,
+    names: dict[str, str],
+    until: int | None = None,
+    fail_fast: bool = False,
+    parallel: int = 4,
+) -> list[tuple[str, str]]:
+    """Restore tables by name into new paths, several at a time: (name, ``ok`` or the error) per table."""
+    work = [(n, lambda n=n, p=p: restore_table(spark, root, n, p, until)) for n, p in names.items()]
+    return [(d.name, d.status) for d in run_many(spark, work, parallel, fail_fast)]
 
 
-def _adjusted(spark: SparkSession, row, last: dict) -> tuple[DataFrame, dict]:
-    """A backup's rows under the newest column names, matched by column id."""
-    document = json.loads(row["document"])
+def _adjusted(spark: SparkSession, rows: Sequence, last: dict) -> DataFrame:
+    """Rows of backups with the same columns under the newest column names, matched by column id, with ``_to``, the
+    end of their backup. One scan, however many backups."""
+    document = json.loads(rows[0]["document"])
     names = {c["id"]: c["name"] for c in document["columns"]}
-    stored = spark.read.parquet(f"{row['path']}/data")
     action = document["action"]
-    op = F.col(action) if action in stored.columns else F.lit(None)
-    cells = [F.coalesce(op.cast("byte"), F.lit(PUT).cast("byte")).alias("_op")]
+    fields = [StructField(c["name"], column_type(c["type"])) for c in document["columns"]]
+    # A full backup has no action; its rows are put.
+    schema = StructType([*fields, StructField(action, ByteType())])
+    stored = spark.read.schema(schema).parquet(*[f"{r['path']}/data" for r in rows])
+    end = F.regexp_extract("_metadata.file_path", "/([0-9]+)-[0-9a-f]+/data/", 1).cast("long")
+    cells = [F.coalesce(F.col(action), F.lit(PUT).cast("byte")).alias("_op"), end.alias("_to")]
     for c in last["columns"]:
-        kind = json.dumps(c["type"]).strip('"')
         if c["id"] in names:
-            cells.append(F.col(names[c["id"]]).alias(c["name"]))
+            cells.append(F.col(f"`{names[c['id']]}`").alias(c["name"]))
         else:
-            cells.append(F.lit(c["read_default"]).cast(kind).alias(c["name"]))
-    rows = stored.select(*cells)
+            cells.append(F.lit(c["read_default"]).cast(column_type(c["type"])).alias(c["name"]))
+    rows_now = stored.select(*cells)
     for gap in last["dropped_ranges"]:
         # Rows saved before the range was dropped are not brought back.
-        if document["to_ts"] <= gap["ts"]:
-            inside = Bound(gap["lower"], gap["upper"]).holds(F.col(gap["column"]))
-            rows = rows.filter(~F.coalesce(inside, F.lit(False)))
-    return rows, document
+        inside = Bound(gap["lower"], gap["upper"]).holds(F.col(gap["column"]))
+        rows_now = rows_now.filter(~((F.col("_to") <= gap["ts"]) & F.coalesce(inside, F.lit(False))))
+    return rows_now
 
 
 def restore(
     spark: SparkSession, root: str, table_name: str, until: int | None = None
 ) -> DataFrame:
-    """The table as the newest usable chain holds it, in one pass over the chain.
+    """The table as the newest usable chain holds it: the full backup, and one scan of all increments alike.
 
     A name stands for the tables that have it or once had it, so a chain outlives a rename.
     """
@@ -336,21 +430,25 @@ def _restored(spark: SparkSession, root: str, table_name: str, until: int | None
     found = manifests(spark, root)
     named = found.filter(F.col("table_name") == table_name).select("table_id").distinct()
     own = found.join(named, "table_id", "left_semi")
-    best = restore_paths(own, until).first()
-    if best is None:
+    # A name may have stood for several tables: the one with the newest state counts.
+    best = _best(linked(own if until is None else own.filter(F.col("to_ts") <= until)))
+    end = best.orderBy(F.desc("to_ts"), "table_id").first()
+    if end is None:
         raise ValueError(f"no backup of {table_name}")
-    by_id = {r["backup_id"]: r for r in own.filter(F.col("backup_id").isin(best["path"])).collect()}
-    chain = [by_id[i] for i in best["path"]]
+    steps = restore_steps(own.filter(F.col("table_id") == end["table_id"]), until)
+    # The documents of one chain.
+    chain = steps.select("weight", "path", "document").orderBy("weight").collect()
     last = json.loads(chain[-1]["document"])
-    state = _adjusted(spark, chain[0], last)[0].drop("_op")
+    state = _adjusted(spark, chain[:1], last).drop("_op", "_to")
     if len(chain) == 1:
         return state, last
-    increments = [
-        _adjusted(spark, row, last)[0].withColumn("_step", F.lit(i))
-        for i, row in enumerate(chain[1:])
-    ]
+    alike: dict[str, list] = {}
+    for row in chain[1:]:
+        document = json.loads(row["document"])
+        alike.setdefault(json.dumps([document["columns"], document["action"]]), []).append(row)
+    increments = [_adjusted(spark, rows, last) for rows in alike.values()]
     changes = reduce(DataFrame.unionByName, increments)
-    return rowops.merge(state, rowops.last_changes(changes, last["keys"], "_step"), last["keys"]), last
+    return rowops.merge(state, rowops.last_changes(changes, last["keys"], "_to"), last["keys"]), last
 
 
 def delete_backups(spark: SparkSession, expired: DataFrame, dry_run: bool = False) -> list[str]:

@@ -43,7 +43,7 @@ def _type_json(kind: DataType):
     return kind.jsonValue()
 
 
-def _type_of(value) -> DataType:
+def column_type(value) -> DataType:
     return StructType.fromJson(
         {"type": "struct", "fields": [{"name": "x", "type": value, "nullable": True, "metadata": {}}]}
     )["x"].dataType
@@ -179,7 +179,7 @@ class KeyedTable:
     @property
     def schema(self) -> StructType:
         return StructType(
-            [StructField(c["name"], _type_of(c["type"]), c["nullable"]) for c in self.meta()["columns"]]
+            [StructField(c["name"], column_type(c["type"]), c["nullable"]) for c in self.meta()["columns"]]
         )
 
     # Reading
@@ -188,7 +188,7 @@ class KeyedTable:
         self, meta: dict, paths: Sequence[str], control: bool, prune: Column | None = None
     ) -> DataFrame:
         """Stored rows under their current column names; ``prune`` picks partition folders."""
-        fields = [StructField(f"c{c['id']}", _type_of(c["type"])) for c in meta["columns"]]
+        fields = [StructField(f"c{c['id']}", column_type(c["type"])) for c in meta["columns"]]
         stored = StructType(
             [
                 *fields,
@@ -213,7 +213,7 @@ class KeyedTable:
         for c in meta["columns"]:
             cell = F.col(f"c{c['id']}")
             if c["read_default"] is not None:
-                old = F.lit(c["read_default"]).cast(_type_of(c["type"]))
+                old = F.lit(c["read_default"]).cast(column_type(c["type"]))
                 cell = F.when(F.col("_ts") < c["added"], old).otherwise(cell)
             cells.append(cell.alias(c["name"]))
         df = df.select(*cells, *CONTROL)

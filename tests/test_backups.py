@@ -1,5 +1,10 @@
 """Chain choice, restores and cleaning."""
 
+import json
+import subprocess
+import sys
+from pathlib import Path
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -17,7 +22,9 @@ def manifests(spark, *rows):
 
 
 def path_of(spark, *rows, until=None):
-    return backups.restore_paths(manifests(spark, *rows), until).first()["path"]
+    steps = backups.restore_steps(manifests(spark, *rows), until).orderBy("weight").collect()
+    assert [r["weight"] for r in steps] == list(range(len(steps)))
+    return [r["backup_id"] for r in steps]
 
 
 def base_of(spark, *rows):
@@ -54,7 +61,39 @@ def test_several_fulls(spark):
 
 
 def test_increment_without_full(spark):
-    assert backups.restore_paths(manifests(spark, (5, 6))).isEmpty()
+    assert backups.restore_steps(manifests(spark, (5, 6))).isEmpty()
+    # Nor does a later increment on it lead anywhere, or a chain whose middle is lost.
+    assert path_of(spark, (0, 1), (5, 6), (6, 7), (1, 2)) == ["0", "3"]
+    assert path_of(spark, (0, 1), (1, 2), (3, 4), (4, 5)) == ["0", "1"]
+
+
+def test_a_later_found_lighter_way_is_taken(spark):
+    # The point 9 is reached from 5 by one more step, or from 3 by two; 5 itself is far from the full.
+    rows = [(0, 1), (1, 2), (2, 3), (3, 4), (4, 5), (5, 9), (2, 8), (8, 9), (9, 10)]
+    assert path_of(spark, *rows) == ["0", "1", "6", "7", "8"]
+
+
+def test_a_chain_of_500_takes_no_job_per_link(spark):
+    rows = [(0, 1), *[(i, i + 1) for i in range(1, 501)], (250, 251), (0, 2)]
+    frame = manifests(spark, *rows)
+    jobs = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("chain", "a chain of 500")
+    steps = [r["backup_id"] for r in backups.restore_steps(frame).orderBy("weight").collect()]
+    base = backups.chain_bases(frame).first()
+    spark.sparkContext.setJobGroup("other", "other")
+    # The second full backup, at 2, starts the lighter chain.
+    assert steps == ["502", *[str(i) for i in range(2, 501)]]
+    assert (base["base_id"], base["weight"], base["root_id"]) == ("500", 499, "502")
+    assert len(jobs.getJobIdsForGroup("chain")) < 300
+
+
+def test_stored_links_are_used_and_lost_predecessors_seen(spark):
+    rows = [("t", "t", "a", 0, 1, None, "a", 1, 0), ("t", "t", "b", 1, 2, "a", "a", 1, 1), ("t", "t", "c", 2, 3, "b", "a", 1, 2)]
+    links = ", ".join(f"{n} {k}" for n, k in backups.LINKS.items())
+    frame = spark.createDataFrame(rows, f"{MANIFEST}, {links}")
+    assert [r["backup_id"] for r in backups.restore_steps(frame).orderBy("weight").collect()] == ["a", "b", "c"]
+    broken = frame.filter("backup_id <> 'b'")
+    assert [r["backup_id"] for r in backups.restore_steps(broken).collect()] == ["a"]
 
 
 def test_expired_paths(spark):
@@ -123,3 +162,60 @@ def test_names(spark):
     assert renamed() == names
     assert renamed(drop_prefix=True, suffix="_r") == ["db.t_r", "t_r", "db.t_r", "t_r", "a.b.c_r"]
     assert renamed(database="new") == ["ext::new.t", "ext::new.t", "new.t", "new.t", "new.b.c"]
+
+
+def test_a_long_chain_is_restored_in_two_scans(spark):
+    root, t = new_path(spark, "backups"), table(spark, "long")
+    backups.backup(t, root)
+    for i in range(1, 6):
+        t.write("upsert", spark.createDataFrame([(i, f"n{i}"), (20 + i, "new")], "k INT, v STRING"), ts=10 + i)
+        made = backups.backup(t, root)
+        assert (made["weight"], made["from_ts"]) == (i, 9 + i)
+    restored = backups.restore(spark, root, "long")
+    assert rows_of(restored) == rows_of(t.latest())
+    plan = restored._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Relation [") == 3, plan  # the full backup, and the increments for both sides of the merge
+
+
+def test_several_tables_at_once(spark):
+    root = new_path(spark, "backups")
+    tables = [table(spark, f"several{i}") for i in range(3)]
+    missing = KeyedTable(spark, new_path(spark, "missing"))
+    got = backups.backup_many([tables[0], missing, *tables[1:]], root, parallel=2)
+    assert [s for _, s in got] == ["ok", "AnalysisException", "ok", "ok"]
+    assert [p for p, _ in got] == [tables[0].path, missing.path, tables[1].path, tables[2].path]
+    with pytest.raises(Exception):
+        backups.backup_many([missing, tables[0]], root, fail_fast=True)
+    targets = {n: new_path(spark, n) for n in ("several0", "nobody", "several2")}
+    assert backups.restore_many(spark, root, targets) == [("several0", "ok"), ("nobody", "ValueError"), ("several2", "ok")]
+    assert rows_of(KeyedTable(spark, targets["several2"]).latest()) == rows_of(tables[2].latest())
+
+
+def test_jobs_of_several_tables_overlap(spark, tmp_path):
+    """From the event log of a session of its own: jobs of different tables run at the same time."""
+    code = f"""
+import sys
+sys.path.insert(0, {str(Path(__file__).parent.parent)!r})
+from pyspark.sql import SparkSession
+SparkSession.builder.master("local[4]").config("spark.ui.enabled", "false").config("spark.eventLog.enabled", "true") \\
+    .config("spark.eventLog.dir", "file://{tmp_path}").config("spark.eventLog.rolling.enabled", "false").config("spark.eventLog.compress", "false").getOrCreate()
+from olapkit.workspace import local_session, new_path
+from olapkit.sources import backups
+from olapkit.sources.keyed_table import KeyedTable
+spark = local_session("4")
+tables = [KeyedTable.create_as(spark.range(200000).selectExpr("id", "uuid() v"), new_path(spark, n), ["id"], name=n) for n in "abcd"]
+assert [s for _, s in backups.backup_many(tables, new_path(spark, "backups"), parallel=4)] == ["ok"] * 4
+spark.stop()
+"""
+    subprocess.run([sys.executable, "-c", code], check=True, timeout=240, capture_output=True)
+    (log,) = [p for p in tmp_path.iterdir() if p.is_file() and not p.name.startswith(".")]
+    events = [json.loads(line) for line in log.read_text().splitlines()]
+    named, end = {}, {}
+    for e in events:
+        if e["Event"] == "SparkListenerJobStart":
+            named[e["Job ID"]] = (e.get("Properties", {}).get("spark.scheduler.pool"), e["Submission Time"])
+        elif e["Event"] == "SparkListenerJobEnd":
+            end[e["Job ID"]] = e["Completion Time"]
+    spans = [(pool, start, end[i]) for i, (pool, start) in named.items() if pool]
+    assert len({pool for pool, _, _ in spans}) == 4
+    assert any(p != q and a < d and c < b for p, a, b in spans for q, c, d in spans)
