@@ -1,12 +1,14 @@
 """Partition layouts."""
 
 import datetime as dt
+from functools import reduce
 
-from pyspark.sql import functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from olapkit.operators import partitions as parts
 from olapkit.operators.partitions import Bound, HashLevel, PartitionSpec
 from olapkit.registry.base import query
+from olapkit.sources.keyed_table import KeyedTable
 from olapkit.workspace import new_path
 
 BY_YEAR = PartitionSpec(
@@ -153,3 +155,57 @@ def pruned_scan(t):
     return parts.pruned_scan(
         t.spark, path, LAYOUT, equals={"o_custkey": 7}, lower=dt.datetime(1997, 6, 1)
     )
+
+
+@query(
+    "scan_of_log",
+    """
+    SELECT o_custkey, o_orderkey, CASE WHEN o_orderpriority = '2-HIGH' THEN 'H' ELSE o_orderstatus END AS o_orderstatus, o_totalprice
+    FROM orders WHERE o_custkey % 50 = 7 AND o_orderkey >= 300 AND NOT (o_orderpriority = '1-URGENT' AND o_orderstatus = 'F')
+    """,
+)
+def scan_of_log(t):
+    # Three commits, none folded: each scan opens the folders of its bucket and ranges only.
+    spec = PartitionSpec(hash=(HashLevel(("o_custkey",), 8),), range_column="o_orderkey", bounds=parts.split_points([300, 9000]))
+    rows = t.orders.select("o_custkey", "o_orderkey", "o_orderstatus", "o_totalprice", "o_orderpriority")
+    table = KeyedTable.create_as(
+        rows.drop("o_orderpriority"), new_path(t.spark, "table"), ["o_custkey", "o_orderkey"], partition=spec
+    )
+    high = rows.filter(F.col("o_orderpriority") == "2-HIGH").drop("o_orderpriority")
+    table.write("upsert", high.withColumn("o_orderstatus", F.lit("H")))
+    gone = rows.filter((F.col("o_orderpriority") == "1-URGENT") & (F.col("o_orderstatus") == "F"))
+    table.write("delete", gone.select("o_custkey", "o_orderkey"))
+    customers = [r[0] for r in t.customer.filter(F.col("c_custkey") % 50 == 7).select("c_custkey").limit(3).collect()]
+    some = reduce(DataFrame.unionAll, [table.scan({"o_custkey": c}, lower=300) for c in customers])
+    rest = table.scan({}, lower=300).filter((F.col("o_custkey") % 50 == 7) & ~F.col("o_custkey").isin(customers))
+    return some.unionAll(rest)
+
+
+@query(
+    "partition_sorted_files",
+    """
+    SELECT CASE WHEN o_orderdate < DATE '1997-01-01' THEN 0 WHEN o_orderdate < DATE '1999-01-01' THEN 1 ELSE 2 END AS _range,
+           count(*) AS rows, 0 AS misplaced, 0 AS unsorted FROM orders GROUP BY 1
+    """,
+)
+def partition_sorted_files(t):
+    # Where each row stands in its file: in the folder of its partition, after the smaller keys.
+    path = new_path(t.spark, "partitioned")
+    parts.write_partitioned(orders(t), LAYOUT, ["o_orderkey"], path)
+    stored = t.spark.read.parquet(path).select(
+        "*", F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("at")
+    )
+    names = [F.col(c).alias(f"folder{c}") for c in LAYOUT.columns]
+    rows = parts.with_partition(stored.select("o_orderkey", "o_custkey", "o_orderdate", "file", "at", *names), LAYOUT)
+    placed = reduce(Column.__and__, [F.col(c) == F.col(f"folder{c}") for c in LAYOUT.columns])
+    # Files are split at row groups, so a file is a bounded group.
+    before = F.lag("o_orderkey").over(Window.partitionBy("file").orderBy("at"))
+    return (
+        rows.select("_range", placed.alias("placed"), (before > F.col("o_orderkey")).alias("falls"))
+        .groupBy("_range")
+        .agg(
+            F.count(F.lit(1)).alias("rows"),
+            F.count_if(~F.col("placed")).alias("misplaced"),
+            F.count_if("falls").alias("unsorted"),
+        )
+    )

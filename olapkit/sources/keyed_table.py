@@ -1,12 +1,14 @@
 """A table with a unique key, kept as Parquet files of changes.
 
 ``<path>/meta/version=N`` holds one small JSON document per version: columns, key,
-and the list of commits. A version becomes visible when its document is written,
-which is the last step of every change. One writer per table at a time: of two that
+and the commits it adds. Every so often a version lists all commits again, in steps that grow with the
+list, so that all documents together grow in proportion to the commits. A version becomes visible when
+its document is written, which is the last step of every change. One writer per table at a time: of two that
 publish the same version one usually fails, but a plain file store can't promise it.
 
 ``<path>/log/...`` holds the rows of a commit: full row images with ``_op`` (0 put,
-1 delete), ``_ts`` (commit time in microseconds) and ``_seq``. ``<path>/snapshot/...``
+1 delete), ``_ts`` (commit time in microseconds) and ``_seq``; in a partitioned table a folder for each
+partition the commit touches, so that a scan of some keys opens only theirs. ``<path>/snapshot/...``
 holds a folded state. Reading joins the newest snapshot with the log after it, so
 an upsert of whole rows costs one append and never reads the table.
 
@@ -21,6 +23,7 @@ import uuid
 from collections.abc import Mapping, Sequence
 from contextlib import contextmanager
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
@@ -32,6 +35,8 @@ from olapkit.operators.rowops import PUT, REMOVE, Rules, merge
 from olapkit.workspace import materialize
 
 CONTROL = ["_op", "_ts", "_seq"]
+#: A version lists all commits again after so many documents, and after a quarter of the commits it listed last.
+LEAST_DELTAS = 16
 NOT_COVERED = "NOT_COVERED"
 
 
@@ -150,14 +155,40 @@ class KeyedTable:
             return False
 
     def meta(self) -> dict:
-        """The newest document; the names of the files tell which, so that only it is read."""
+        """The newest document, with the commits that it and the ones before it added.
+
+        The names of the files tell which is newest; of the others only those since the last full list are read.
+        """
         files = self.spark.read.text(f"{self.path}/meta").inputFiles()
         newest = max(int(f.rsplit("/version=", 1)[1].split("/")[0]) for f in files)
-        return json.loads(self.spark.read.text(f"{self.path}/meta/version={newest}").first()["value"])
+        (head,) = self._documents(newest, newest)
+        if "added" not in head:
+            return {**head, "listed": [head["version"], len(head["commits"])]}
+        commits: list[dict] = []
+        for document in [*self._documents(head["listed"][0], newest - 1), head]:
+            commits = commits + document["added"] if "added" in document else document["commits"]
+        del head["added"]
+        return {**head, "commits": commits}
+
+    def _documents(self, first: int, last: int) -> list[dict]:
+        """The documents of some versions, in order."""
+        paths = [f"{self.path}/meta/version={n}" for n in range(first, last + 1)]
+        documents = [json.loads(r["value"]) for r in self.spark.read.text(paths).collect()] if paths else []
+        return sorted(documents, key=lambda d: d["version"])
 
     def _change(self, meta: dict, **values) -> dict:
         changed = {**meta, **values, "version": meta["version"] + 1}
-        self._publish(changed)
+        old, new = meta["commits"], changed["commits"]
+        version, size = meta.get("listed", [meta["version"], len(old)])
+        since = changed["version"] - version
+        document = {k: v for k, v in changed.items() if k != "listed"}
+        if new[: len(old)] == old and since <= max(LEAST_DELTAS, size // 4):
+            changed["listed"] = document["listed"] = [version, size]
+            document["added"] = new[len(old) :]
+            del document["commits"]
+        else:
+            changed["listed"] = [changed["version"], len(new)]
+        self._publish(document)
         return changed
 
     def rules(self, meta: dict | None = None) -> Rules:
@@ -185,9 +216,10 @@ class KeyedTable:
     # Reading
 
     def _files(
-        self, meta: dict, paths: Sequence[str], control: bool, prune: Column | None = None
+        self, meta: dict, paths: Sequence[str], control: bool, prune: Column | None = None, root: str | None = None
     ) -> DataFrame:
-        """Stored rows under their current column names; ``prune`` picks partition folders."""
+        """Stored rows under their current column names; ``prune`` picks partition folders, which
+        are those below ``root`` if several paths are given."""
         fields = [StructField(f"c{c['id']}", column_type(c["type"])) for c in meta["columns"]]
         stored = StructType(
             [
@@ -204,7 +236,10 @@ class KeyedTable:
             ]
         )
         if paths:
-            df = self.spark.read.schema(stored).parquet(*[f"{self.path}/{p}" for p in paths])
+            reader = self.spark.read.schema(stored)
+            if root is not None:
+                reader = reader.option("basePath", f"{self.path}/{root}")
+            df = reader.parquet(*[f"{self.path}/{p}" for p in paths])
         else:
             df = self.spark.createDataFrame([], stored)
         if prune is not None:
@@ -223,16 +258,23 @@ class KeyedTable:
         return df if control else df.drop(*CONTROL)
 
     @staticmethod
-    def _paths(meta: dict, kind: str, after: int, upto: int) -> list[str]:
-        return [
-            c["path"] for c in meta["commits"] if c["kind"] == kind and after < c["ts"] <= upto
-        ]
+    def _commits(meta: dict, kind: str, after: int, upto: int) -> list[dict]:
+        return [c for c in meta["commits"] if c["kind"] == kind and after < c["ts"] <= upto]
 
-    def _last_rows(self, meta: dict, after: int, upto: int) -> DataFrame:
+    def _last_rows(self, meta: dict, after: int, upto: int, prune: Column | None = None) -> DataFrame:
         """The last logged row of each key in (after, upto]."""
-        paths = self._paths(meta, "log", after, upto)
-        rows = self._files(meta, paths, control=True)
-        if len(paths) > 1:
+        commits = self._commits(meta, "log", after, upto)
+        # Folder numbers mean the present partitions only where the commit was placed by them.
+        placed = [c["path"] for c in commits if "layout" in c]
+        now = [c["path"] for c in commits if "layout" in c and c["layout"] == meta.get("layout", 0)]
+        if prune is None or len(now) < len(placed):
+            prune = None
+        plain = [c["path"] for c in commits if "layout" not in c]
+        parts = [self._files(meta, plain, control=True)] if plain or not placed else []
+        if placed:
+            parts.append(self._files(meta, placed, control=True, prune=prune, root="log"))
+        rows = reduce(DataFrame.unionByName, parts)
+        if len(commits) > 1:
             rest = [c for c in rows.columns if c not in meta["keys"]]
             newest = F.max_by(F.struct(*rest), F.struct("_ts", "_seq")).alias("_row")
             rows = rows.groupBy(*meta["keys"]).agg(newest).select(*meta["keys"], "_row.*")
@@ -242,12 +284,12 @@ class KeyedTable:
     def _state(self, meta: dict, upto: int, prune: Column | None = None) -> DataFrame:
         snapshots = [c for c in meta["commits"] if c["kind"] == "snapshot" and c["ts"] <= upto]
         newest = max(snapshots, key=lambda c: c["ts"], default={"ts": 0, "path": None})
-        tail = self._last_rows(meta, newest["ts"], upto)
+        tail = self._last_rows(meta, newest["ts"], upto, prune)
         if newest["path"] is None:
             return tail.filter(F.col("_op") == PUT).drop("_op")
         folders = prune if newest.get("partitioned") == meta.get("partition") else None
         base = self._files(meta, [newest["path"]], control=False, prune=folders)
-        if not self._paths(meta, "log", newest["ts"], upto):
+        if not self._commits(meta, "log", newest["ts"], upto):
             return base
         return merge(base, tail, meta["keys"])
 
@@ -265,7 +307,7 @@ class KeyedTable:
     ) -> DataFrame:
         """Latest rows with ``equals`` key values and the range column in ``[lower, upper)``.
 
-        Of a partitioned snapshot only the matching folders are read.
+        Of a partitioned table only the matching folders are read, of its log as of its snapshot.
         """
         meta = self.meta()
         spec = self.spec(meta) or PartitionSpec()
@@ -311,15 +353,22 @@ class KeyedTable:
 
     def _store(self, meta: dict, delta: DataFrame, ts: int, seq: int) -> dict:
         """Write the rows of one change; they are not visible until published."""
-        path = f"log/{ts}-{seq}-{uuid.uuid4().hex[:8]}"
+        spec, name = self.spec(meta), f"{ts}-{seq}-{uuid.uuid4().hex[:8]}"
+        commit = {"ts": ts, "seq": seq, "kind": "log", "path": f"log/{name}"}
         cells = [F.col(c["name"]).alias(f"c{c['id']}") for c in meta["columns"]]
-        delta.select(
-            *cells,
+        control = [
             F.col("_op").cast("byte").alias("_op"),
             F.lit(ts).cast("long").alias("_ts"),
             F.lit(seq).cast("int").alias("_seq"),
-        ).write.parquet(f"{self.path}/{path}")
-        return {"ts": ts, "seq": seq, "kind": "log", "path": path}
+        ]
+        if spec is None or not spec.columns:
+            delta.select(*cells, *control).write.parquet(f"{self.path}/{commit['path']}")
+            return commit
+        # A folder name that Spark can read as a partition of the log, so that many commits are one scan.
+        commit |= {"path": f"log/commit=c{name}", "layout": meta.get("layout", 0)}
+        placed = partitions.clustered(delta, spec, meta["keys"]).select(*cells, *control, *spec.columns)
+        placed.write.partitionBy(*spec.columns).parquet(f"{self.path}/{commit['path']}")
+        return commit
 
     def _next_ts(self, meta: dict, ts: int | None) -> int:
         last = self.last_commit(meta)
@@ -562,7 +611,7 @@ class KeyedTable:
     def add_range(self, bound: Bound) -> dict:
         """Accept rows of one more range."""
         meta = self.meta()
-        return self._change(meta, partition=self.spec(meta).with_range(bound).to_json())
+        return self._change(meta, partition=self.spec(meta).with_range(bound).to_json(), layout=meta.get("layout", 0) + 1)
 
     def drop_range(self, column: str, lower, upper) -> dict:
         """Drop the rows stored so far with ``lower <= column < upper``; later rows stay.
@@ -573,7 +622,7 @@ class KeyedTable:
         spec = self.spec(meta)
         if spec is not None and spec.bounds:
             smaller = spec.without_range(Bound(lower, upper))
-            meta = {**meta, "partition": smaller.to_json()}
+            meta = {**meta, "partition": smaller.to_json(), "layout": meta.get("layout", 0) + 1}
         gap = {"column": column, "lower": lower, "upper": upper, "ts": self.last_commit(meta)}
         return self._change(meta, dropped_ranges=[*meta.get("dropped_ranges", []), gap])
 

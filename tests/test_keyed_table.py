@@ -244,3 +244,65 @@ def test_a_reported_write_counts_and_needs_its_batch_once(spark, tmp_path):
     assert [n for n, _ in refused] == [1, 3, 4, 5]
     assert dict(refused)[4] == "NOT_COVERED"
     assert {r["k"]: r["v"] for r in table.latest().collect()} == {1: "a", 2: "b", 3: "c"}
+
+
+def test_a_scan_opens_only_the_folders_of_its_partition(spark, tmp_path):
+    spec = PartitionSpec(hash=(HashLevel(("k",), 4),), range_column="d", bounds=(Bound(0, 50), Bound(50, 100)))
+    rows = spark.range(100).selectExpr("CAST(id % 20 AS INT) k", "CAST(id AS INT) d", "CAST(id AS STRING) v")
+    table = KeyedTable.create_as(rows, str(tmp_path / "t"), ["k", "d"], partition=spec)
+    table.write("upsert", rows.filter("d % 3 = 0").selectExpr("k", "d", "'new' v"))
+    table.write("delete", rows.filter("d % 7 = 1").select("k", "d"))
+    want = {(r["k"], r["d"]): r["v"] for r in table.latest().filter("k = 5 AND d >= 50").collect()}
+    assert want
+    bucket = table.scan({"k": 5}, lower=50)
+    # Everything outside one range folder is spoilt; what is left is enough for the scan.
+    spoilt = 0
+    for file in tmp_path.glob("t/log/**/*.parquet"):
+        if "_range=1" not in str(file):
+            file.write_bytes(b"spoilt")
+            file.with_name(f".{file.name}.crc").unlink(missing_ok=True)
+            spoilt += 1
+    assert spoilt
+    assert {(r["k"], r["d"]): r["v"] for r in table.scan({"k": 5}, lower=50).collect()} == want
+    assert {(r["k"], r["d"]): r["v"] for r in bucket.collect()} == want
+    with pytest.raises(Exception):
+        table.scan({"k": 5}).collect()
+
+
+def test_scans_stay_right_after_ranges_change(spark, tmp_path):
+    spec = PartitionSpec(range_column="k", bounds=(Bound(0, 10), Bound(10, 20), Bound(20, 30)))
+    rows = spark.range(30).selectExpr("CAST(id AS INT) k", "'a' v")
+    table = KeyedTable.create_as(rows, str(tmp_path / "t"), ["k"], partition=spec)
+    table.drop_range("k", 0, 10)
+    table.add_range(Bound(30, 40))
+    table.write("upsert", spark.range(25, 35).selectExpr("CAST(id AS INT) k", "'b' v"))
+    got = {r["k"]: r["v"] for r in table.scan({}, lower=15, upper=33).collect()}
+    assert got == {**{k: "a" for k in range(15, 25)}, **{k: "b" for k in range(25, 33)}}
+
+
+def test_documents_grow_in_proportion_to_the_commits(spark, tmp_path):
+    table = KeyedTable.create(spark, str(tmp_path / "t"), StructType().add("k", IntegerType()), ["k"])
+    meta, written = table.meta(), []
+    table._publish = written.append
+    for i in range(1, 1001):
+        commit = {"ts": i, "seq": 0, "kind": "log", "path": f"log/{i}"}
+        meta = table._change(meta, commits=[*meta["commits"], commit])
+    entries = [len(d.get("added", d.get("commits"))) for d in written]
+    assert len(written) == 1000 and sum(entries) < 8 * 1000
+    # The last document and those since the last full list give all commits.
+    documents = {0: {"version": 0, "commits": []}} | {d["version"]: d for d in written}
+    table._documents = lambda first, last: [documents[v] for v in range(first, last + 1)]
+    for newest in (1, 16, 17, 40, 333, 1000):
+        head, commits = documents[newest], []
+        for d in table._documents(head["listed"][0] if "added" in head else newest, newest):
+            commits = commits + d["added"] if "added" in d else d["commits"]
+        assert [c["ts"] for c in commits] == list(range(1, newest + 1)), newest
+
+
+def test_many_versions_are_read_back(spark, tmp_path):
+    table = KeyedTable.create(spark, str(tmp_path / "t"), StructType().add("k", IntegerType()).add("v", StringType()), ["k"])
+    for i in range(20):
+        table.write("upsert", spark.createDataFrame([(i % 7, f"v{i}")], "k INT, v STRING"), ts=10 + i)
+    assert len(KeyedTable(spark, table.path).meta()["commits"]) == 20
+    assert {r["k"]: r["v"] for r in table.latest().collect()} == {i % 7: f"v{i}" for i in range(20)}
+    assert {r["k"]: r["v"] for r in table.as_of(14).collect()} == {i: f"v{i}" for i in range(5)}
