@@ -10,6 +10,8 @@ from olapkit.plans import store
 from olapkit.plans.tables import LINEITEM_DATES_SQL, ORDERS_PRIORITY_SQL
 from olapkit.registry.base import query, rounded
 from olapkit.sources.encode import from_hash_records, to_hash_records
+from olapkit.sources.stored_shapes import Shape, ShapeStore
+from olapkit.workspace import shared_root
 
 
 def flat(t):
@@ -353,18 +355,39 @@ RECORD_FIELDS = {
 }
 
 
-def records(t):
-    return to_hash_records(unique_ids(flat(t), "linenumber_id"), ["linenumber_id"])
+FLAT_INPUTS = ("lineitem", "orders", "customer", "part", "supplier", "nation", "region")
+
+
+def shape_store(t):
+    return ShapeStore(t.spark, f"{shared_root(t.spark)}/olapkit/shapes")
+
+
+def flat_shape(t):
+    """The wide rows as they are loaded: once for these input files, whatever the number of queries."""
+    return Shape("flat_line_item", tuple(t.path(n) for n in FLAT_INPUTS), lambda: flat(t), sort_by=("l_shipdate",))
+
+
+def record_shape(t):
+    def build():
+        rows = unique_ids(shape_store(t).read(flat_shape(t)), "linenumber_id")
+        return to_hash_records(rows, ["linenumber_id"])
+
+    return Shape("flat_records", tuple(t.path(n) for n in FLAT_INPUTS), build)
 
 
 for _name, _plan in WIDE_PLAN.items():
     _sql = f"WITH flat AS ({FLAT_SQL}) {WIDE_SQL[_name]}"
-    query(f"flat_{_name}", _sql)(lambda t, plan=_plan: plan(flat(t)))
+    query(f"flat_{_name}", _sql)(lambda t, plan=_plan: plan(shape_store(t).read(flat_shape(t))))
     query(f"kv_{_name}", _sql)(
-        lambda t, plan=_plan: plan(from_hash_records(records(t), RECORD_FIELDS))
+        lambda t, plan=_plan: plan(from_hash_records(shape_store(t).read(record_shape(t)), RECORD_FIELDS))
     )
 
 
+@query("stored_flat", f"SELECT * REPLACE (l_discount + 0.0 AS l_discount, l_tax + 0.0 AS l_tax) FROM ({FLAT_SQL})")
+def stored_flat(t):
+    return shape_store(t).read(flat_shape(t))
+
+
 # Queries on the keyed store's line items
 
 STORE_SQL = """
