@@ -4,7 +4,8 @@ from pyspark.sql import functions as F
 
 from olapkit.registry.base import query
 from olapkit.registry.shapes import FLAT_SQL, flat
-from olapkit.sources import encode
+from olapkit.sources import encode, variants
+from olapkit.workspace import new_path
 
 ORDER_SQL = """
 SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, CAST(o_orderdate AS DATE) AS o_orderdate,
@@ -106,3 +107,67 @@ def json_extract(t):
     )
     events = t.events.select("event_id", "event_type", payload.alias("payload"))
     return encode.json_fields(events, "payload", {"k": "int", "v": "double"})
+
+
+# Documents of varying shape: a field that is missing in some, a number in others, text in the rest.
+
+VARYING_SQL = """
+SELECT event_id AS id, event_type AS kind,
+       CASE event_id % 4 WHEN 0 THEN props->>'k' WHEN 1 THEN props->>'k' WHEN 2 THEN 'k' || (props->>'k') END AS k,
+       event_id % 4 AS shape, CASE WHEN event_id % 4 <> 3 THEN value END AS v FROM events
+"""
+
+
+def varying(t):
+    k, shape = F.get_json_object("props", "$.k"), F.col("event_id") % 4
+
+    def document(*fields):
+        named = [F.col("event_id").alias("id"), F.col("event_type").alias("kind"), *fields]
+        return F.to_json(F.struct(*named))
+
+    value = F.col("value").alias("a value")
+    text = (
+        F.when(shape == 0, document(k.cast("int").alias("k"), value))
+        .when(shape == 1, document(k.alias("k"), value, F.struct(k.cast("int").alias("x")).alias("more")))
+        .when(shape == 2, document(F.concat(F.lit("k"), k).alias("k"), value))
+        .otherwise(document())
+    )
+    path = new_path(t.spark, "variants")
+    variants.to_variants(t.events.select(text.alias("document")), "document").write.parquet(path)
+    return t.spark.read.parquet(path)
+
+
+@query(
+    "variant_fields",
+    f"""
+    WITH d AS ({VARYING_SQL})
+    SELECT 'id' AS field, 'number' AS type, count(*) AS rows FROM d UNION ALL SELECT 'kind', 'text', count(*) FROM d
+    UNION ALL SELECT 'k', CASE shape WHEN 0 THEN 'number' ELSE 'text' END, count(*) FROM d WHERE shape <> 3 GROUP BY 2
+    UNION ALL SELECT 'a value', 'number', count(*) FROM d WHERE v IS NOT NULL
+    UNION ALL SELECT 'more', 'object', count(*) FROM d WHERE shape = 1
+    """,
+)
+def variant_fields(t):
+    # A number without a fraction is another type than one with; here both are numbers.
+    seen = variants.observed_fields(varying(t), "document")
+    kind = F.when(F.col("type") == "STRING", "text").when(F.col("type") == "OBJECT", "object").otherwise("number")
+    return seen.groupBy("field", kind.alias("type")).agg(F.sum("rows").alias("rows"))
+
+
+@query(
+    "variant_extract",
+    f"""
+    SELECT id, kind, TRY_CAST(k AS BIGINT) AS k, k AS k_text, v, CASE WHEN shape = 1 THEN k::BIGINT END AS x FROM ({VARYING_SQL})
+    """,
+)
+def variant_extract(t):
+    documents = varying(t)
+    rows = documents.select(
+        variants.field("document", "id", "bigint").alias("id"),
+        variants.field("document", "kind", "string").alias("kind"),
+        variants.field("document", "k", "bigint").alias("k"),
+        variants.field("document", "k", "string").alias("k_text"),
+        (variants.field("document", "a value", "double") + F.lit(0.0)).alias("v"),
+        F.try_variant_get("document", "$.more.x", "bigint").alias("x"),
+    )
+    return rows

@@ -10,6 +10,7 @@ from olapkit.functions.predicates import (
     might_contain,
     require_not_null,
 )
+from olapkit.operators import sketches
 from olapkit.operators.numbering import number_rows
 from olapkit.operators.scan import (
     by_position,
@@ -22,6 +23,7 @@ from olapkit.operators.scan import count_distinct as exact_distinct
 from olapkit.plans import sales
 from olapkit.plans.tables import LINEITEM_DATES_SQL
 from olapkit.registry.base import query, rounded
+from olapkit.workspace import materialize
 
 
 @query("project_names", "SELECT o_totalprice, o_orderkey FROM orders")
@@ -369,6 +371,34 @@ def count_distinct(t):
     return exact_distinct(t.lineitem, "l_linenumber", "l_partkey").toDF("n", "parts")
 
 
+@query(
+    "distinct_sketches",
+    """
+    SELECT 'month' AS level, strftime(l_shipdate, '%Y-%m') AS part, count(DISTINCT l_partkey) AS parts,
+           count(DISTINCT l_orderkey) AS orders, true AS within FROM lineitem GROUP BY 2
+    UNION ALL SELECT 'year', strftime(l_shipdate, '%Y'), count(DISTINCT l_partkey), count(DISTINCT l_orderkey), true
+    FROM lineitem GROUP BY 2
+    UNION ALL SELECT 'all', 'all', count(DISTINCT l_partkey), count(DISTINCT l_orderkey), true FROM lineitem
+    """,
+)
+def distinct_sketches(t):
+    # Sketches by month are stored; years and the whole are united from them. Each estimate stands beside the
+    # exact numbers and must lie within four standard errors of them.
+    columns = ["l_partkey", "l_orderkey"]
+    lines = t.lineitem.withColumn("part", F.date_format("l_shipdate", "yyyy-MM"))
+    months = materialize(sketches.distinct_sketches(lines, ["part"], columns), "sketches")
+    out = None
+    for level, part in (("month", F.col("part")), ("year", F.substring("part", 1, 4)), ("all", F.lit("all"))):
+        guessed = sketches.count_distinct_stored(months.withColumn("part", part), ["part"], columns)
+        exact = lines.withColumn("part", part).groupBy("part").agg(
+            F.count_distinct("l_partkey").alias("parts"), F.count_distinct("l_orderkey").alias("orders")
+        )
+        near = sketches.within(F.col("l_partkey"), F.col("parts")) & sketches.within(F.col("l_orderkey"), F.col("orders"))
+        rows = exact.join(guessed, "part").select(F.lit(level).alias("level"), "part", "parts", "orders", near.alias("within"))
+        out = rows if out is None else out.unionAll(rows)
+    return out
+
+
 @query(
     "sort_multi",
     """

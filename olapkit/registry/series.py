@@ -193,9 +193,34 @@ def generate_links(t):
     return verify.verify_links(links, ["key1", "key2"], ["prev1", "prev2"])
 
 
-@query("checksum")
+MD5_SUM = "sum(CAST('0x' || substr(md5({text}), 1, 15) AS BIGINT)::DECIMAL(38,0))"
+LINE_TEXT = """concat_ws('|', l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity::DECIMAL(38,4),
+  l_extendedprice::DECIMAL(38,4), l_discount::DECIMAL(38,4), l_tax::DECIMAL(38,4), l_linestatus, strftime(l_shipdate, '%Y-%m-%d %H:%M:%S'))"""
+LINE_COLUMNS = [
+    "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount", "l_tax",
+    "l_linestatus", "l_shipdate",
+]
+
+
+@query(
+    "checksum",
+    f"""
+    SELECT 'lineitem' AS table_name, l_returnflag AS part, count(*) AS rows, {MD5_SUM.format(text=LINE_TEXT)}::VARCHAR AS md5_sum
+    FROM lineitem GROUP BY 2
+    UNION ALL
+    SELECT 'customer', NULL, count(*),
+           {MD5_SUM.format(text="concat_ws('|', c_custkey, c_name, c_nationkey, CASE WHEN c_acctbal < 0 THEN '\\N' ELSE (c_acctbal::DECIMAL(38,4))::VARCHAR END)")}::VARCHAR
+    FROM customer
+    """,
+)
 def checksum(t):
-    return verify.checksum(t.lineitem, by=["l_returnflag"])
+    lines = verify.portable_checksum(t.lineitem, LINE_COLUMNS, by=["l_returnflag"])
+    debtless = t.customer.withColumn("c_acctbal", F.when(F.col("c_acctbal") >= 0, F.col("c_acctbal")))
+    whole = verify.portable_checksum(debtless, ["c_custkey", "c_name", "c_nationkey", "c_acctbal"])
+    sums = F.col("md5_sum").cast("string").alias("md5_sum")
+    return lines.select(F.lit("lineitem").alias("table_name"), F.col("l_returnflag").alias("part"), "rows", sums).unionAll(
+        whole.select(F.lit("customer"), F.lit(None).cast("string"), "rows", sums)
+    )
 
 
 @query(
@@ -305,3 +330,31 @@ def stream_json(t):
         stream, "payload", types, table, "users", new_path(t.spark, "progress")
     ).awaitTermination()
     return table.latest()
+
+
+@query(
+    "stream_drift",
+    """
+    SELECT event_id AS id, event_type AS kind, CASE WHEN event_id % 2 = 1 THEN (props->>'k')::BIGINT END AS k,
+           CASE WHEN event_id % 2 = 1 AND event_id % 3 = 0 THEN 'a' END AS note FROM events
+    """,
+)
+def stream_drift(t):
+    # The first file's documents have two fields, the second's four; the table learns of them as they come.
+    event = F.col("event_id")
+    early = F.to_json(F.struct(event.alias("id"), F.col("event_type").alias("kind")))
+    late = F.to_json(
+        F.struct(
+            event.alias("id"),
+            F.col("event_type").alias("kind"),
+            F.get_json_object("props", "$.k").cast("bigint").alias("k"),
+            F.when(event % 3 == 0, "a").alias("note"),
+        )
+    )
+    path = new_path(t.spark, "documents")
+    for odd, document in ((0, early), (1, late)):
+        t.events.filter(event % 2 == odd).select(document.alias("value")).coalesce(1).write.mode("append").text(path)
+    table = KeyedTable.create(t.spark, new_path(t.spark, "table"), t.spark.createDataFrame([], "id BIGINT").schema, ["id"])
+    stream = streams.file_stream(t.spark, path, "value STRING", "text", per_trigger=1)
+    streams.document_stream(stream, "value", table, "events", new_path(t.spark, "progress")).awaitTermination()
+    return table.latest()

@@ -5,10 +5,10 @@ from pyspark.sql.types import StringType
 
 from olapkit.operators.numbering import number_rows, split_batches
 from olapkit.plans.tables import LINEITEM_DATES_SQL
-from olapkit.registry.base import query
+from olapkit.registry.base import query, rounded
 from olapkit.registry.rows import BATCH_SQL, COLUMNS, base, batch, recent
 from olapkit.schemas import LINEITEM
-from olapkit.sources import backups, files
+from olapkit.sources import backups, bucketed, files
 from olapkit.sources import keyed_table as kt
 from olapkit.sources.keyed_table import KeyedTable
 from olapkit.workspace import materialize, new_path
@@ -97,6 +97,39 @@ def clustered_write(t):
     return stored.groupBy("o_custkey").agg(F.count(F.lit(1)).alias("n"))
 
 
+@query("bucketed_layout", "SELECT o_custkey, count(*) AS n, 1 AS files, true AS placed FROM orders GROUP BY o_custkey")
+def bucketed_layout(t):
+    path = new_path(t.spark, "bucketed")
+    bucketed.write_bucketed(t.orders, path, ["o_custkey"], 8)
+    layout = bucketed.bucket_layout(t.spark.read.parquet(path), ["o_custkey"], 8)
+    keys = t.spark.read.parquet(path).groupBy("o_custkey").agg(
+        F.count(F.lit(1)).alias("n"), F.count_distinct("_metadata.file_name").alias("files")
+    )
+    bad = layout.filter((F.col("files") != 1) | (F.col("misplaced") > 0)).select("bucket", F.lit(False).alias("placed"))
+    placed = keys.withColumn("bucket", bucketed.bucket_of(["o_custkey"], 8)).join(bad, "bucket", "left")
+    return placed.select("o_custkey", "n", "files", F.coalesce("placed", F.lit(True)).alias("placed"))
+
+
+@query(
+    "bucketed_join",
+    """
+    SELECT o_orderkey, o_custkey, count(*) AS lines, round(sum(l_extendedprice), 2) AS total
+    FROM orders JOIN lineitem ON l_orderkey = o_orderkey GROUP BY ALL
+    """,
+)
+def bucketed_join(t):
+    orders, lines = new_path(t.spark, "bucketed"), new_path(t.spark, "bucketed")
+    bucketed.write_bucketed(t.orders, orders, ["o_orderkey"], 8)
+    bucketed.write_bucketed(t.lineitem, lines, ["l_orderkey"], 8)
+    left, right = (bucketed.read_bucketed(t.spark, p) for p in (orders, lines))
+    # Neither the join nor the grouping by the same key shuffles.
+    joined = left.join(right.hint("merge"), F.col("o_orderkey") == F.col("l_orderkey"))
+    grouped = joined.groupBy("o_orderkey", "o_custkey").agg(
+        F.count(F.lit(1)).alias("lines"), F.sum("l_extendedprice").alias("total")
+    )
+    return rounded(grouped, 2, "total")
+
+
 @query(
     "split_batches",
     "SELECT o_orderkey, (row_number() OVER (ORDER BY o_orderkey) - 1) // 1000 AS batch FROM orders",

@@ -10,6 +10,7 @@ from pyspark.sql.streaming import StreamingQuery
 from olapkit.operators import rowops
 from olapkit.operators.metrics import parse_metric_lines
 from olapkit.plans import sales
+from olapkit.sources import variants
 from olapkit.sources.encode import json_fields
 from olapkit.sources.keyed_table import KeyedTable
 
@@ -88,6 +89,26 @@ def json_stream(
     return upsert_stream(records, table, name, checkpoint)
 
 
+def document_stream(
+    documents: DataFrame, column: str, table: KeyedTable, name: str, checkpoint: str, op: str = "upsert"
+) -> StreamingQuery:
+    """JSON documents whose fields aren't known beforehand into a table, which gets a column for each new field.
+
+    A field the table knows is taken as the table's type, null where that can't be; a new one gets the type that
+    holds all its values in the micro-batch that first brings it (see ``variants.storable``). Documents without the key
+    columns, and text that is no JSON object, are left out.
+    """
+
+    def fields(batch: DataFrame) -> DataFrame:
+        parsed = variants.to_variants(batch, column)
+        known = {f.name: f.dataType for f in table.schema}
+        met = {f.name: known.get(f.name, f.dataType) for f in variants.common_schema(parsed, column)}
+        keys = {k: known[k] for k in table.meta()["keys"]}
+        return variants.typed_fields(parsed, column, keys | met).dropna(subset=list(keys))
+
+    return upsert_stream(documents.select(column), table, name, checkpoint, op, prepare=fields, drift=True)
+
+
 def pricing_stream(lineitem: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
     """The pricing summary of all rows so far, rewritten after each micro-batch.
 
