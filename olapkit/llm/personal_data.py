@@ -1,7 +1,8 @@
 """Personal data: patterns, and terms that reveal a protected value by their co-occurrence with it.
 
 The patterns (mail and network addresses, card and telephone numbers) give the
-base spans. Every value found is a protected entity. For each term of a text with
+base spans. Protected entities are every value found, what several values share (mail domain and name,
+network, card issuer, dialling code), and that a text holds a value of a kind at all. For each term of a text with
 an entity, wherever it stands outside the spans, the corpus tells how much of the
 entity's information the term gives away:
 
@@ -30,9 +31,11 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, functions as F
 
 from olapkit.llm.common import let, text_of
-from olapkit.workspace import materialize
+from olapkit.workspace import materialize, materialize_counted
 
 GENERALISE, REMOVE = 0.9, 0.99
+#: Up to so many candidate terms are sent to all tasks; beyond, each text is shuffled once instead.
+BROADCAST_TERMS = 1 << 18
 TERM = r"[\p{L}\p{N}]++"
 
 # The kinds in their order, and their patterns. The look-behinds and
@@ -117,10 +120,30 @@ def base_spans(text: Column) -> Column:
     return F.array_sort(F.concat(*[_spans_of(kind, text) for kind in KINDS[:4]]))
 
 
-def _entity(span: Column) -> Column:
-    """The protected value: numbers by their digits, addresses in small letters."""
-    number = span["kind"].isin("card", "phone")
-    return F.concat(span["kind"], F.lit(":"), F.when(number, _digits(span["match"])).otherwise(F.lower(span["match"])))
+def _entities(span: Column) -> Column:
+    """What a span must not be told by: its value, the classes of values it belongs to, and its kind.
+
+    Numbers are taken by their digits, addresses in small letters. A value is mostly in one text only; its mail
+    domain, name, network, issuer or dialling code, and its kind, are what several texts share.
+    """
+    small, digits = F.lower(span["match"]), _digits(span["match"])
+
+    def of(kind: str, name: str, value: Column) -> Column:
+        return F.when(span["kind"] == kind, F.concat(F.lit(f"{name}:"), value))
+
+    told = F.array(
+        F.concat(F.lit("kind:"), span["kind"]),
+        of("email", "email", small),
+        of("email", "mail domain", F.substring_index(small, "@", -1)),
+        of("email", "mail name", F.substring_index(small, "@", 1)),
+        of("ip", "ip", small),
+        of("ip", "network", F.substring_index(small, ".", 3)),
+        of("card", "card", digits),
+        of("card", "issuer", F.substring(digits, 1, 6)),
+        of("phone", "phone", digits),
+        of("phone", "dialling code", F.substring(digits, 1, 4)),
+    )
+    return F.filter(told, lambda e: e.isNotNull())
 
 
 def _words(text: Column) -> Column:
@@ -144,13 +167,31 @@ def find_base(documents: DataFrame) -> DataFrame:
             F.unhex(F.md5("text")).alias("key"),
             "spans",
             F.when(some, F.col("text")).alias("text"),
-            F.when(some, F.array_distinct(F.transform("spans", _entity))).alias("entities"),
+            F.when(some, F.array_distinct(F.flatten(F.transform("spans", _entities)))).alias("entities"),
             F.when(some, _terms(F.col("text"), F.col("spans"))).alias("terms"),
         ),
         "found",
     )
 
 
+def few_terms(documents: DataFrame, terms: DataFrame) -> DataFrame:
+    """(term, n_t): how many different texts hold each term. The terms go to the words; what is left is shuffled."""
+    # The key goes through the explode, or else it would be hashed again for every word.
+    pairs = let(
+        F.unhex(F.md5(text_of())),
+        lambda k: F.transform(_words(text_of()), lambda w: F.struct(k.alias("key"), w.alias("term"))),
+    )
+    words = documents.select(F.explode(pairs).alias("p")).select("p.key", "p.term")
+    return words.join(F.broadcast(terms), "term", "left_semi").distinct().groupBy("term").agg(F.count(F.lit(1)).alias("n_t"))
+
+
+def many_terms(documents: DataFrame, terms: DataFrame) -> DataFrame:
+    """The same for terms of any number: each text is taken once, and its words are counted in the tasks first."""
+    once = documents.select(text_of().alias("text")).groupBy(F.md5("text").alias("key")).agg(F.any_value("text").alias("text"))
+    words = once.select(F.explode(_words(F.col("text"))).alias("term"))
+    return words.groupBy("term").agg(F.count(F.lit(1)).alias("n_t")).join(terms, "term", "left_semi")
+
+
 def disclosing_terms(documents: DataFrame, found: DataFrame, texts: DataFrame) -> DataFrame:
     """(entity, term, disclosure) of the terms that give away GENERALISE of an entity or more."""
     n = found.select("key").distinct().count()
@@ -175,12 +216,8 @@ def disclosing_terms(documents: DataFrame, found: DataFrame, texts: DataFrame) -
     met = held.join(known, "key").where(F.col("n_c") <= F.col("n_e") * F.pow(n / F.col("n_e"), F.lit(1 - GENERALISE)) + 1)
     rates = met.groupBy("entity", "term", "n_e", "n_c").agg(F.count(F.lit(1)).alias("n_te"))
     candidates = materialize(rates.where(told("n_c")), "candidates")
-    key = F.unhex(F.md5(text_of()))
-    # The key goes through the explode, or else it would be hashed again for every word.
-    pairs = let(key, lambda k: F.transform(_words(text_of()), lambda w: F.struct(k.alias("key"), w.alias("term"))))
-    words = documents.select(F.explode(pairs).alias("p")).select("p.key", "p.term")
-    own = words.join(candidates.select("term").distinct(), "term", "left_semi").distinct()
-    everywhere = own.groupBy("term").agg(F.count(F.lit(1)).alias("n_t"))
+    terms, number = materialize_counted(candidates.select("term").distinct(), "candidate-terms")
+    everywhere = (few_terms if number <= BROADCAST_TERMS else many_terms)(documents, terms)
     rated = candidates.join(everywhere, "term").where(told("n_t"))
     return rated.select("entity", "term", (bits("n_t") / F.log2(n / F.col("n_e"))).alias("disclosure"))
 
@@ -264,7 +301,4 @@ def sanitise(documents: DataFrame) -> DataFrame:
     names = [F.col(f"`{c}`") for c in documents.columns]
     rows = documents.select(F.struct(*names).alias("row"), F.unhex(F.md5(text_of())).alias("key")).join(spans, "key", "left")
     text = F.when(F.col("spans").isNull(), F.col("row.text")).otherwise(sanitised(F.col("row.text"), F.col("spans")))
-    out = rows.select("row.*", text.alias("_sanitised_text"))
-    return out.select(
-        *[F.col("_sanitised_text").alias("text") if c == "text" else F.col(f"`{c}`") for c in documents.columns]
-    )
+    return rows.select(*[(text if c == "text" else F.col("row")[c]).alias(c) for c in documents.columns])

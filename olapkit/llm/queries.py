@@ -112,6 +112,7 @@ def op9_personal_data(spark: SparkSession, folder: str) -> DataFrame:
         *[count(kind) for kind in personal_data.KINDS[:4]],
         F.sha2(personal_data.spans_text(F.col("base")), 256).alias("base_sha256"),
         personal_data.spans_text(F.col("spans")).alias("spans"),
+        F.size(F.filter("spans", lambda s: s["kind"] == "term")).cast("long").alias("n_terms"),
     )
 
 
