@@ -37,9 +37,11 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from tokenizers import Regex, normalizers, pre_tokenizers
 
 from olapkit.llm.common import text_of
+from olapkit.workspace import materialize
 
 #: Words of the lexicon, and the longest of them in bytes.
 LEXICON_WORDS, LEXICON_BYTES = 40_000, 48
+STEPS_A_DOUBLING = 64
 #: Characters of text whose words are looked up at once, and merged words a task remembers.
 SLICE_CHARS, REMEMBERED = 1 << 22, 400_000
 
@@ -365,7 +367,10 @@ def slices(texts: list[str]) -> Iterator[list[str]]:
 
 
 def frequent_words(documents: DataFrame, t: Tokenizer) -> list[str]:
-    """The words that occur most often in all documents, at most ``LEXICON_WORDS``."""
+    """The words that occur most often in all documents, at most ``LEXICON_WORDS``.
+
+    A histogram of the counts tells from which count on words are few enough; only those come to the driver.
+    """
 
     special, classes, small = t.special, t.classes, t.small
 
@@ -382,8 +387,19 @@ def frequent_words(documents: DataFrame, t: Tokenizer) -> list[str]:
                 )
 
     counts = documents.select(text_of().alias("text")).mapInArrow(count, "word string, times bigint")
-    best = counts.groupBy("word").agg(F.sum("times").alias("times")).orderBy(F.desc("times"), "word").limit(LEXICON_WORDS)
-    return [r["word"] for r in best.collect()]
+    words = materialize(counts.groupBy("word").agg(F.sum("times").alias("times")), "words")
+    # Counts of one step differ by one in a hundred or less; some thousand steps hold any count.
+    step = F.floor(F.log2("times") * STEPS_A_DOUBLING)
+    steps = words.groupBy(step.alias("step")).agg(F.count(F.lit(1)).alias("words"), F.min("times").alias("least"))
+    least, so_far = None, 0
+    for r in sorted(steps.collect(), reverse=True):
+        so_far += r["words"]
+        if so_far > LEXICON_WORDS:
+            break
+        least = r["least"]
+    if least is None:
+        return []
+    return sorted(r["word"] for r in words.where(F.col("times") >= least).collect())
 
 
 def lexicon_of(words: list[str], t: Tokenizer) -> bytes:

@@ -31,8 +31,8 @@ from olapkit.workspace import materialize
 WEIGHTS = (5.0, 2.0, 1.0)
 REPEATS = 3
 BLOCK_WORDS, SHARD_SEATS, SEED = 128, 4096, 11
-#: A prime that no source has as many blocks as; multiplication by it orders the blocks.
-PRIME = 2_147_483_647
+#: Multiplication by a prime orders the blocks; the second serves where the first divides their number.
+PRIMES = 2_147_483_647, 2_147_483_629
 #: Seats that one row of the seat table is made from at a time.
 RUN = 4096
 
@@ -117,9 +117,21 @@ def running_totals(rows: DataFrame, group: str, order: list[str | Column], value
     return within.join(offsets, match).select(*rows.columns, (F.col("_own") + F.col("_offset")).alias(name))
 
 
+def seeded_place(block: Column, blocks: Column, rank: Column) -> Column:
+    """The seeded rank of a block among the blocks of its source, each rank once.
+
+    The product is taken in two parts, as it passes 64 bits from some billions of blocks on; exact up to 2^46.
+    """
+    prime = F.when(blocks % PRIMES[0] == 0, F.lit(PRIMES[1])).otherwise(F.lit(PRIMES[0])).cast("long")
+    high, low = F.shiftright(block, 16), block.bitwiseAND(F.lit(0xFFFF))
+    shift = F.pmod(F.xxhash64(F.lit(SEED), rank), blocks)
+    product = ((high * prime) % blocks * 65536 + low * prime) % blocks
+    return (product + shift) % blocks
+
+
 def times_taken(block: Column, blocks: Column, seats_won: Column, rank: Column) -> Column:
     """How often a block is taken: once more if its seeded rank is among the last seats."""
-    place = (block * F.lit(PRIME) + F.pmod(F.xxhash64(F.lit(SEED), rank), blocks)) % blocks
+    place = seeded_place(block, blocks, rank)
     return F.floor(seats_won / blocks) + F.when(place < seats_won % blocks, 1).otherwise(0)
 
 

@@ -8,8 +8,8 @@ described by the mean and the maximum of these over its chunks, which a
 logistic layer turns into one probability.
 
 The network is fitted on the driver with Adam from a bounded sample of labelled
-rows (``SAMPLE_PER_CLASS`` rows a class, ``SAMPLE_CHARS`` characters from both
-ends of each), some of them cut to a passage so that short texts are learned
+rows (``SAMPLE_PER_CLASS`` rows a class; of a text of more than ``SAMPLE_CHARS`` characters as many, in
+``PIECES`` seeded pieces from all of its parts), some of them cut to a passage so that short texts are learned
 too. The sample is balanced, so the odds of the classes among all labels are put
 back at the end. The weights are some kilobytes and travel with the tasks.
 Scoring reads every byte of every text.
@@ -34,8 +34,8 @@ CHUNK, WIDTH, STRIDE = 256, 8, 2
 STEP = CHUNK - WIDTH + STRIDE
 EMBEDDING, FILTERS = 4, 16
 PAD = 256
-#: Labelled rows of each class that the network is fitted on, and characters of each.
-SAMPLE_PER_CLASS, SAMPLE_CHARS = 2000, 6000
+#: Labelled rows of each class that the network is fitted on, characters of each, and the pieces they come in.
+SAMPLE_PER_CLASS, SAMPLE_CHARS, PIECES = 2000, 6000, 8
 EPOCHS, BATCH, RATE, SEED = 8, 32, 0.01, 7
 #: Share of the texts that a training step sees as a short passage only, and its length.
 PASSAGES, PASSAGE_BYTES = 0.4, (20, 400)
@@ -226,6 +226,16 @@ def usable_labels(labels: DataFrame) -> DataFrame:
     return labels.where(known).groupBy("doc_id").agg(F.min("quality").alias("_label"))
 
 
+def seeded_pieces(text: Column, seed: Column) -> Column:
+    """The text, or of a long one a seeded piece from each of ``PIECES`` equal parts."""
+    length, part = F.length(text), F.floor(F.length(text) / PIECES)
+    size = SAMPLE_CHARS // PIECES
+    starts = [part * i + F.pmod(F.xxhash64(F.lit(SEED), seed, F.lit(i)), part - size + 1) for i in range(PIECES)]
+    return F.when(length <= SAMPLE_CHARS, text).otherwise(
+        F.concat(*[F.substring(text, (s + 1).cast("int"), F.lit(size)) for s in starts])
+    )
+
+
 def training_rows(documents: DataFrame, usable: DataFrame) -> DataFrame:
     """The bounded sample: the label rows of each class with the least hash of their id.
 
@@ -236,12 +246,7 @@ def training_rows(documents: DataFrame, usable: DataFrame) -> DataFrame:
         usable.where(F.col("_label") == c).orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE_PER_CLASS)
         for c in (0, 1)
     ]
-    half = SAMPLE_CHARS // 2
-    text = text_of()
-    ends = F.when(F.length(text) <= SAMPLE_CHARS, text).otherwise(
-        F.concat(F.substring(text, 1, half), F.substring(text, -half, half))
-    )
-    return documents.select("doc_id", ends.alias("_text")).join(
+    return documents.select("doc_id", seeded_pieces(text_of(), F.col("doc_id")).alias("_text")).join(
         F.broadcast(parts[0].unionByName(parts[1])), "doc_id"
     )
 
