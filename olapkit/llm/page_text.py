@@ -2,18 +2,21 @@
 
 A page is cut into blocks of text at its block-level tags. A logistic classifier
 over a block's features gives the cost of calling it content and of calling it boilerplate;
-they are the capacities to the two terminals. Neighbouring blocks, and blocks of the same parent,
-are joined by edges whose capacity falls with their distance in the tree of tags. The blocks on
-the source's side of a minimum cut are the main text.
+they are the capacities to the two terminals. Neighbouring blocks, and blocks of the same container,
+are joined by edges whose capacity falls with their distance in the tree of tags; a list or a table is a part of
+the container it stands in. The blocks on the source's side of a minimum cut are the main text. The flow is
+found level graph by level graph, so that the many short flows of a long page take few passes over it.
 
-The classifier is fitted on the driver, by a bounded number of different pages (``SAMPLE_PAGES``, the least
-by a hash), to blocks whose place in the markup tells what they are:
+The classifier is fitted on the driver to the blocks of a bounded number of different pages (``SAMPLE_PAGES``, the least
+by a hash, each whole) whose place in the markup tells what they are:
 inside an article and nothing else, or inside a menu, a footer and so on. Half of them are shown without
 what the markup tells, so that pages without such markup can be read too. A
-normal prior around ``PRIOR`` holds the weights where the sample says nothing.
+normal prior around ``PRIOR`` holds the weights where the sample says nothing; it is firm for the kind of
+a block's own tag, as the sample's articles may hold paragraphs only and others lists, tables and code.
 
 Defined results: a null or empty page, and one without text, has the empty text;
-unclosed tags, comments and scripts end with the page; extra columns play no part; repeated rows give repeated results.
+unclosed comments, scripts and styles end with the page, other unclosed tags hide nothing; extra columns play no part;
+repeated rows give repeated results.
 """
 
 from __future__ import annotations
@@ -39,6 +42,15 @@ BLOCK_TAGS = frozenset(
     "table tbody td tfoot th thead title tr ul".split()
 )
 RAW_TAGS = frozenset("script style noscript template textarea iframe svg math object head title select button".split())
+# Without an end tag these run to the end of the page.
+ENDLESS_TAGS = frozenset("script style textarea title".split())
+# These end where another part of the page begins.
+CONTROL_TAGS = frozenset("button select".split())
+# Blocks of these belong to the container around them, as do lists and tables themselves.
+LEAF_TAGS = frozenset(
+    "p li dt dd td th tr tbody thead tfoot caption h1 h2 h3 h4 h5 h6 pre blockquote figcaption figure option label legend address summary".split()
+)
+LIST_TAGS = frozenset("ul ol dl table".split())
 VOID_TAGS = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 # A new tag of the key ends an open one of the value.
 ENDS = {"p": {"p"}, "li": {"li"}, "td": {"td", "th"}, "th": {"td", "th"}, "tr": {"tr", "td", "th"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "option": {"option"}}
@@ -60,9 +72,14 @@ TAG = re.compile(
 NAMED = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
 WORDS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 
+PART_TAG = re.compile(
+    r"<(?:address|article|aside|blockquote|div|dl|figure|footer|form|h[1-6]|header|hr|main|nav|ol|p|pre|section|table|ul)\b", re.I
+)
+
 FEATURES = ["bias", "markup against", "markup for", "words", "link share", "full stops", "item", "heading", "paragraph"]
 #: Where a block is believed to belong before any page is seen, and how firmly.
-PRIOR, FIRMNESS = np.array([-2.0, -5.0, 2.5, 0.8, -3.0, 1.5, -0.8, 0.5, 1.0]), 0.5
+PRIOR = np.array([-2.0, -5.0, 4.0, 0.8, -3.0, 1.5, -0.5, 0.5, 0.5])
+FIRMNESS = np.array([0.5, 0.5, 0.5, 0.5, 0.5, 0.5, 500.0, 500.0, 500.0])
 
 
 @dataclass
@@ -70,8 +87,8 @@ class Block:
     text: str
     linked: int  # characters inside links
     tag: str
-    parent: int
-    depth: int
+    parent: int  # its container
+    depth: int  # containers around it
     against: bool
     favour: bool
 
@@ -79,15 +96,16 @@ class Block:
 @dataclass
 class _Open:
     tag: str
-    number: int
     against: bool
     favour: bool
+    container: int
+    depth: int
 
 
 def blocks_of(page: str) -> list[Block]:
     """The blocks of text of a page, in its order."""
     out: list[Block] = []
-    open_tags = [_Open("", 0, False, False)]
+    open_tags = [_Open("", False, False, 0, 0)]
     pieces: list[tuple[str, bool]] = []
     links = number = at = 0
 
@@ -97,7 +115,7 @@ def blocks_of(page: str) -> list[Block]:
             if text:
                 linked = sum(len(p) for p, in_link in pieces if in_link)
                 top = open_tags[-1]
-                out.append(Block(text, min(linked, len(text)), top.tag, top.number, len(open_tags), top.against, top.favour))
+                out.append(Block(text, min(linked, len(text)), top.tag, top.container, top.depth, top.against, top.favour))
             pieces.clear()
 
     while at < len(page):
@@ -126,10 +144,9 @@ def blocks_of(page: str) -> list[Block]:
             attributes = found["attributes"] or found["attributes2"] or ""
             if name in RAW_TAGS and not attributes.endswith("/"):
                 # Its content isn't text of the page.
-                stop = re.compile(rf"</{re.escape(name)}\b[^>]*>", re.I).search(page, at)
                 if name in BLOCK_TAGS:
                     flush()
-                at = stop.end() if stop else len(page) if name != "head" else at
+                at = _end_of(name, page, at)
             elif name in BLOCK_TAGS:
                 flush()
                 for i in range(len(open_tags) - 1, 0, -1):
@@ -138,15 +155,35 @@ def blocks_of(page: str) -> list[Block]:
                         break
                     if open_tags[i].tag not in ("tbody", "thead", "tfoot", "p", "li", "td", "th", "dd", "dt"):
                         break
-                number += 1
                 if name not in VOID_TAGS:
                     top = open_tags[-1]
                     against, favour = _told(name, attributes)
-                    open_tags.append(_Open(name, number, top.against or against, top.favour or favour))
+                    container, depth = top.container, top.depth
+                    # What is told for or against content makes a part of its own, whatever its tag.
+                    if name not in LEAF_TAGS | LIST_TAGS or against or favour:
+                        number += 1
+                        container, depth = number, depth + 1
+                    open_tags.append(_Open(name, top.against or against, top.favour or favour, container, depth))
     flush()
     return out
 
 
+_STOPS = {name: re.compile(rf"</{name}\b[^>]*>", re.I) for name in RAW_TAGS}
+
+
+def _end_of(name: str, page: str, at: int) -> int:
+    """Where the page goes on after a tag whose content isn't text of it."""
+    stop = _STOPS[name].search(page, at)
+    end = stop.end() if stop else -1
+    if name in CONTROL_TAGS:
+        # A button holds no parts of a page: where one begins, its end tag is missing.
+        part = PART_TAG.search(page, at, stop.start() if stop else len(page))
+        return part.start() if part else end if stop else at
+    if stop:
+        return end
+    return len(page) if name in ENDLESS_TAGS else at
+
+
 def _told(name: str, attributes: str) -> tuple[bool, bool]:
     """Whether a tag's name, class, id or role tells against and for content."""
     against, favour = name in NOT_CONTENT_TAGS, name in CONTENT_TAGS
@@ -174,27 +211,26 @@ def features(block: Block) -> list[float]:
     ]
 
 
-def fit(pages: list[str]) -> np.ndarray:
+def told_blocks(page: str) -> list[list[float]]:
+    """The features of the blocks whose place tells what they are, followed by 1 for content and 0 for boilerplate."""
+    return [[*features(b), float(not b.against)] for b in blocks_of(page) if b.against or b.favour]
+
+
+def fit(blocks: list[list[float]]) -> np.ndarray:
     """Weights of the classifier: Newton's steps towards the most likely ones under the prior."""
-    rows, labels = [], []
-    for page in pages:
-        for block in blocks_of(page):
-            if block.against or block.favour:
-                rows.append(features(block))
-                labels.append(float(not block.against))
     w = PRIOR.copy()
-    if not rows:
+    if not blocks:
         return w
-    x, y = np.array(rows), np.array(labels)
+    x, y = np.array(blocks)[:, :-1], np.array(blocks)[:, -1]
     hidden = np.random.default_rng(SEED).random(len(x)) < 0.5
     x[hidden, 1:3] = 0
     for _ in range(25):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
         slope = x.T @ (y - p) - FIRMNESS * (w - PRIOR)
-        curve = (x * (p * (1 - p))[:, None]).T @ x + FIRMNESS * np.eye(len(w))
+        curve = (x * (p * (1 - p))[:, None]).T @ x + np.diag(FIRMNESS)
         w = w + np.linalg.solve(curve, slope)
-    # The markup never speaks for the other side, whatever a small sample says.
-    w[1], w[2] = min(w[1], PRIOR[1]), max(w[2], 0.0)
+    # The markup never speaks for the other side, nor more weakly than believed, whatever a small sample says.
+    w[1], w[2] = min(w[1], PRIOR[1]), max(w[2], PRIOR[2])
     return w
 
 
@@ -202,7 +238,8 @@ def content_side(excess: list[float], edges: list[tuple[int, int, float]]) -> li
     """The source's side of a minimum cut.
 
     ``excess``: a node's capacity from the source less that to the sink, what is left after
-    the flow that runs through the node alone. Shortest paths are filled until none is left.
+    the flow that runs through the node alone. Each round fills all shortest paths, so paths grow from
+    round to round.
     """
     n = len(excess)
     flow = list(excess)
@@ -217,35 +254,50 @@ def content_side(excess: list[float], edges: list[tuple[int, int, float]]) -> li
         to.append(a)
         room.append(capacity)
     while True:
-        by = [-2] * n
-        queue = deque(i for i in range(n) if flow[i] > 1e-9)
-        for i in queue:
-            by[i] = -1
-        reached = -1
-        while queue and reached < 0:
-            i = queue.popleft()
-            for e in head[i]:
-                j = to[e]
-                if by[j] == -2 and room[e] > 1e-9:
-                    by[j] = e
-                    if flow[j] < -1e-9:
-                        reached = j
+        sources = [i for i in range(n) if flow[i] > 1e-9]
+        level = [-1] * n
+        for i in sources:
+            level[i] = 0
+        front, found = sources, False
+        while front and not found:
+            further = []
+            for i in front:
+                for e in head[i]:
+                    j = to[e]
+                    if level[j] < 0 and room[e] > 1e-9:
+                        level[j] = level[i] + 1
+                        found = found or flow[j] < -1e-9
+                        further.append(j)
+            front = further
+        if not found:
+            return [d >= 0 for d in level]
+        tried = [0] * n
+        for s in sources:
+            path: list[int] = []
+            here = s
+            while flow[s] > 1e-9:
+                if flow[here] < -1e-9:
+                    amount = min(flow[s], -flow[here], min(room[e] for e in path))
+                    flow[s] -= amount
+                    flow[here] += amount
+                    for e in path:
+                        room[e] -= amount
+                        room[e ^ 1] += amount
+                    path, here = [], s
+                    continue
+                while tried[here] < len(head[here]):
+                    e = head[here][tried[here]]
+                    if room[e] > 1e-9 and level[to[e]] == level[here] + 1:
                         break
-                    queue.append(j)
-        if reached < 0:
-            return [b != -2 for b in by]
-        amount, j = -flow[reached], reached
-        while by[j] >= 0:
-            amount = min(amount, room[by[j]])
-            j = to[by[j] ^ 1]
-        amount = min(amount, flow[j])
-        flow[j] -= amount
-        flow[reached] += amount
-        j = reached
-        while by[j] >= 0:
-            room[by[j]] -= amount
-            room[by[j] ^ 1] += amount
-            j = to[by[j] ^ 1]
+                    tried[here] += 1
+                if tried[here] < len(head[here]):
+                    path.append(e)
+                    here = to[e]
+                elif path:
+                    here = to[path.pop() ^ 1]
+                    tried[here] += 1
+                else:
+                    break
 
 
 def main_text(page: str, w: np.ndarray) -> str:
@@ -277,13 +329,14 @@ def train(pages: DataFrame) -> np.ndarray:
     least = [r["h"] for r in hashed.select("h").distinct().orderBy("h").limit(SAMPLE_PAGES).collect()]
     if not least:
         return PRIOR.copy()
-    # A page of the sample counts with its first and last 20,000 characters.
-    ends = F.when(F.length("html") <= 40_000, F.col("html")).otherwise(
-        F.concat(F.substring("html", 1, 20_000), F.substring("html", -20_000, 20_000))
-    )
-    sample = hashed.where(F.col("h") <= least[-1]).select("h", ends.alias("html"))
-    rows = sample.groupBy("h").agg(F.any_value("html").alias("html")).orderBy("h").collect()
-    return fit([r["html"] for r in rows])
+    sample = hashed.where(F.col("h") <= least[-1]).groupBy("h").agg(F.any_value("html").alias("html"))
+
+    @F.arrow_udf(T.ArrayType(T.ArrayType(T.DoubleType())))
+    def told(pages: pa.Array) -> pa.Array:
+        return pa.array([told_blocks(p.as_py()) for p in pages], pa.list_(pa.list_(pa.float64())))
+
+    rows = sample.select("h", told("html").alias("blocks")).orderBy("h").collect()
+    return fit([list(b) for r in rows for b in r["blocks"]])
 
 
 def extractor(w: np.ndarray):
