@@ -232,10 +232,10 @@ def find_personal_data(documents: DataFrame) -> DataFrame:
     firsts = [F.any_value(c).alias(c) for c in ("spans", "text", "entities", "terms")]
     texts = materialize(found.where(F.size("spans") > 0).groupBy("key").agg(*firsts), "texts")
     bad = materialize(disclosing_terms(documents, found, texts), "disclosing")
+    # A text's map also holds terms of its entities that it lacks; only those that occur are found in it.
     by_text = (
-        texts.select("key", "terms", F.explode("entities").alias("entity"))
+        texts.select("key", F.explode("entities").alias("entity"))
         .join(bad, "entity")
-        .where(F.array_contains("terms", F.col("term")))
         .groupBy("key", "term")
         .agg(F.max("disclosure").alias("disclosure"))
     )
