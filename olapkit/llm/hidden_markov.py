@@ -434,7 +434,9 @@ def score_documents(documents: DataFrame) -> DataFrame:
     words = materialize(word_counts(training), "word-counts")
     v = Vocabulary.of(words, training.count())
     rows = sequences(documents, v).withColumn("_row", F.monotonically_increasing_id())
-    stored = materialize(rows.withColumn("_part", F.pmod(F.xxhash64("_row"), F.lit(PARTS))), "sequences")
+    # In order of their parts, so that a round over one part skips the pages of the others.
+    dealt = rows.withColumn("_part", F.pmod(F.xxhash64("_row"), F.lit(PARTS))).sortWithinPartitions("_part")
+    stored = materialize(dealt, "sequences")
     model = train(stored, v)
 
     # At most RARE rows.
