@@ -232,10 +232,13 @@ def find_personal_data(documents: DataFrame) -> DataFrame:
     firsts = [F.any_value(c).alias(c) for c in ("spans", "text", "entities", "terms")]
     texts = materialize(found.where(F.size("spans") > 0).groupBy("key").agg(*firsts), "texts")
     bad = materialize(disclosing_terms(documents, found, texts), "disclosing")
-    # A text's map also holds terms of its entities that it lacks; only those that occur are found in it.
+    # From the terms that stand in a text to the entities they disclose, and which of these are the text's own:
+    # a kind has many terms and many texts, and few of them meet.
+    holders = texts.select("key", F.explode("entities").alias("entity"))
     by_text = (
-        texts.select("key", F.explode("entities").alias("entity"))
-        .join(bad, "entity")
+        texts.select("key", F.explode("terms").alias("term"))
+        .join(bad, "term")
+        .join(holders, ["key", "entity"], "left_semi")
         .groupBy("key", "term")
         .agg(F.max("disclosure").alias("disclosure"))
     )
