@@ -491,7 +491,7 @@ class KeyedTable:
     ) -> int:
         """Set columns on the rows that meet the predicate; only those rows are logged.
 
-        An immutable column can't be set; a row whose required column would become null stays as it is.
+        An immutable column can't be set. If a required column would become null on some row, nothing is written.
         """
         meta = self.meta()
         rules = self.rules(meta)
@@ -499,8 +499,9 @@ class KeyedTable:
             raise ValueError("immutable columns cannot be updated")
         hit = self._state(meta, self.last_commit(meta)).filter(predicate)
         changed = rowops.update_where(hit, F.lit(True), values, meta["keys"])
-        if rules.required:
-            changed = changed.dropna(subset=list(rules.required))
+        emptied = [c for c in rules.required if c in values]
+        if emptied and not changed.filter(reduce(Column.__or__, [F.col(c).isNull() for c in emptied])).isEmpty():
+            raise ValueError(f"required columns would become null: one of {emptied}")
         return self._log_rows(meta, changed, PUT, ts)
 
     def delete_where(self, predicate: Column, ts: int | None = None) -> int:

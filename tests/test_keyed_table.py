@@ -306,3 +306,14 @@ def test_many_versions_are_read_back(spark, tmp_path):
     assert len(KeyedTable(spark, table.path).meta()["commits"]) == 20
     assert {r["k"]: r["v"] for r in table.latest().collect()} == {i % 7: f"v{i}" for i in range(20)}
     assert {r["k"]: r["v"] for r in table.as_of(14).collect()} == {i: f"v{i}" for i in range(5)}
+
+
+def test_an_update_that_empties_a_required_column_is_refused_whole(spark, tmp_path):
+    rows = spark.createDataFrame([(1, "a", 1), (2, "b", 2), (3, "c", 3)], "k INT, v STRING, n INT")
+    table = KeyedTable.create_as(rows, str(tmp_path / "t"), ["k"], required=["v"])
+    before = table.last_commit(table.meta())
+    with pytest.raises(ValueError, match="required"):
+        table.update_where(F.col("k") > 1, {"v": F.when(F.col("k") == 2, "x")})
+    assert table.last_commit(table.meta()) == before
+    table.update_where(F.col("k") == 2, {"v": F.when(F.col("k") == 2, "x"), "n": F.lit(None).cast("int")})
+    assert {tuple(r) for r in table.latest().collect()} == {(1, "a", 1), (2, "x", None), (3, "c", 3)}
