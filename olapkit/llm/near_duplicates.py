@@ -15,11 +15,13 @@ Equal texts are one node from the start. Nodes whose signatures agree in all
 coordinates of a band meet in a bucket. A bucket of at most ``PAIRED`` nodes gives all its
 pairs. The members of a larger one are paired with a lead, the member that meets
 most nodes; rounds of leads go on for what is outside the bucket's largest
-component, until the pairs left are few or a round no longer halves them. Then all pairs
-left, those of different components, are taken: every pair of a bucket is checked or
-already in one class. The last step costs the members outside the largest component
-times the members of the bucket. Every pair is checked on the exact element
-sets: it is a link if the weighted or the plain Jaccard similarity is
+component, until the pairs left are few or a round no longer halves them. What
+is left then, such as texts of different contents around one common passage, goes by an
+exact prefix filter: the elements of the texts concerned are ordered by how rare they
+are among them, and two texts of similarity ``SIMILARITY`` share one of their rarest
+fifth. A common passage is at the end of that order and makes no pairs. So every pair
+of a bucket that can be a link is checked or already in one class. Every candidate is checked on
+the exact element sets: it is a link if the weighted or the plain Jaccard similarity is
 ``SIMILARITY`` or more. Classes are the connected components of the links.
 
 Defined results: a null text counts as empty; equal texts, empty ones too, form a
@@ -46,8 +48,14 @@ SHINGLE_WORDS, SIMILARITY = 5, 0.8
 #: none of the twenty bands with a probability of 3 in 100,000.
 COORDINATES, BAND = 80, 4
 #: Nodes of a bucket up to which all its pairs are taken at once, and how many pairs for each
-#: member of larger ones are few enough to be checked without another round of leads.
+#: member of larger ones are few enough to go without another round of leads.
 PAIRED, FEW = 8, 4
+#: Elements are counted in 2^20 cells by their upper bits, so that the counts fit every task
+#: (8 MB). Any order of elements makes the prefix filter exact; good counts make it small.
+CELL_BITS = 20
+#: A text of n units shares at least 4n/5 of them with a text of similarity 0.8, so that one of
+#: its n/5 + 1 rarest is shared and among the other's rarest. The inverse of 1 - SIMILARITY.
+FIFTH = 5
 
 _GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 
@@ -177,10 +185,53 @@ def _lead_pairs(members: DataFrame, choice: DataFrame) -> DataFrame:
     return members.join(leads, "bucket").where("root != lead_root").select(*_pair("key", "lead"))
 
 
-def _rest_pairs(members: DataFrame, rest: DataFrame) -> DataFrame:
-    """All pairs of a bucket's nodes that have different roots; one of them is in the rest."""
-    others = members.select("bucket", F.col("key").alias("other"), F.col("root").alias("other_root"))
-    return rest.join(others, "bucket").where("root != other_root").select(*_pair("key", "other"))
+def _rarest(values: np.ndarray, sizes: np.ndarray, counts: np.ndarray):
+    """The elements among the rarest fifth and one more of their text, and how many each text has.
+
+    Taken are those of all units of weight and those of the first units, as either similarity counts.
+    """
+    owner = np.repeat(np.arange(len(sizes)), sizes)
+    order = np.lexsort((values, counts[values.view(np.uint64) >> np.uint64(64 - CELL_BITS)], owner))
+    values = values[order]
+    first = values % 2 == 0
+    plain = np.bincount(owner, weights=first, minlength=len(sizes)).astype(np.int64)
+    rank = np.arange(len(values)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+    plain_rank = np.cumsum(first) - first - np.repeat(np.cumsum(plain) - plain, sizes)
+    take = (rank <= sizes[owner] // FIFTH) | (first & (plain_rank <= plain[owner] // FIFTH))
+    return values[take], np.bincount(owner[take], minlength=len(sizes))
+
+
+def _rare_elements(texts: DataFrame) -> DataFrame:
+    """(element, all columns of ``texts`` but its elements) of the rarest elements of each text."""
+    cell = F.shiftrightunsigned("element", 64 - CELL_BITS).alias("cell")
+    found = texts.select(F.explode("elements").alias("element")).groupBy(cell).agg(F.count(F.lit(1)).alias("n")).toArrow()
+    counts = np.zeros(1 << CELL_BITS, np.int64)
+    counts[found["cell"].to_numpy()] = found["n"].to_numpy()
+    shared = texts.sparkSession.sparkContext.broadcast(counts)
+
+    @F.arrow_udf(T.ArrayType(T.LongType()))
+    def rarest(elements: pa.Array) -> pa.Array:
+        sizes = elements.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
+        values, sizes = _rarest(elements.flatten().to_numpy(), sizes, shared.value)
+        return _listed(values, sizes, pa.int64(), np.ones(len(sizes), bool))
+
+    return texts.select(F.explode(rarest("elements")).alias("element"), *[c for c in texts.columns if c != "elements"])
+
+
+def _rare_pairs(members: DataFrame, rest: DataFrame, sets: DataFrame) -> DataFrame:
+    """The pairs of a text of the rest and one of another root that share a rare element and fit in size."""
+    texts = members.select("key", "root").distinct().join(rest.select("key", F.lit(True).alias("left")).distinct(), "key", "left")
+    plain = F.size(F.filter("elements", lambda e: e % 2 == 0)).alias("plain")
+    texts = materialize(texts.join(sets, "key").select("key", "root", "left", F.size("elements").alias("units"), plain, "elements"), "open")
+    rare = materialize(_rare_elements(texts), "rare")
+    others = rare.drop("left").withColumnsRenamed({c: f"other_{c}" for c in ("key", "root", "units", "plain")})
+
+    def fits(size: str) -> Column:
+        a, b = F.col(size), F.col(f"other_{size}")
+        return F.greatest(a, b) * (FIFTH - 1) <= F.least(a, b) * FIFTH
+
+    met = rare.where("left").join(others, "element").where("root != other_root").where(fits("units") | fits("plain"))
+    return met.select(*_pair("key", "other_key"))
 
 
 def _banded(nodes: DataFrame) -> DataFrame:
@@ -191,11 +242,12 @@ def _banded(nodes: DataFrame) -> DataFrame:
     return materialize(members.join(sizes, "bucket"), "members")
 
 
-def _joined_buckets(large: DataFrame, links: DataFrame, check: Callable[[DataFrame], DataFrame]) -> DataFrame:
-    """The links, and more until every pair of a large bucket is checked or in one component.
+def _joined_buckets(large: DataFrame, links: DataFrame, sets: DataFrame, check: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """The links, and more until every pair of a large bucket that can be one is checked or in one component.
 
     Each round joins a bucket's rest, what is outside its largest component, through one more
-    lead. When few pairs are left, or a round no longer halves them, all of them are checked.
+    lead. When few pairs are left, or a round no longer halves them, the prefix filter finds
+    those that can be links.
     """
     before = None
     while True:
@@ -210,7 +262,7 @@ def _joined_buckets(large: DataFrame, links: DataFrame, check: Callable[[DataFra
         met = members.join(parts.select("bucket", "top"), "bucket")
         rest = materialize(met.where("root != top.root or top.n = 1").drop("top"), "rest")
         last = left <= FEW * members.count() or (before is not None and 2 * left > before)
-        pairs = _rest_pairs(members, rest) if last else _lead_pairs(members, rest)
+        pairs = _rare_pairs(met, rest, sets) if last else _lead_pairs(members, rest)
         links = materialize(links.unionByName(check(pairs.distinct())).distinct(), "links")
         if last:
             return links
@@ -260,7 +312,7 @@ def near_links(documents: DataFrame) -> tuple[DataFrame, DataFrame]:
             .where(F.col("similarity") >= SIMILARITY)
         )
 
-    return nodes, _joined_buckets(large, materialize(check(pairs), "links"), check)
+    return nodes, _joined_buckets(large, materialize(check(pairs), "links"), sets, check)
 
 
 def near_duplicate_classes(documents: DataFrame) -> DataFrame:
