@@ -18,8 +18,10 @@ most nodes; rounds of leads go on for what is outside the bucket's largest
 component, until the pairs left are few or a round no longer halves them. What
 is left then, such as texts of different contents around one common passage, goes by an
 exact prefix filter: the elements of the texts concerned are ordered by how rare they
-are among them, and two texts of similarity ``SIMILARITY`` share one of their rarest
-fifth. A common passage is at the end of that order and makes no pairs. So every pair
+are among them. Two texts of a and b elements and similarity ``SIMILARITY`` share 4 (a + b) / 9,
+so that the first one they share has so many after it in both: it is among the rarest ninth
+of the shorter text and the rarest fifth of the longer one. A common passage, or what
+all copies of a text have, is at the end of that order and makes no pairs. So every pair
 of a bucket that can be a link is checked or already in one class. Every candidate is checked on
 the exact element sets: it is a link if the weighted or the plain Jaccard similarity is
 ``SIMILARITY`` or more. Classes are the connected components of the links.
@@ -53,9 +55,9 @@ PAIRED, FEW = 8, 4
 #: Elements are counted in 2^20 cells by their upper bits, so that the counts fit every task
 #: (8 MB). Any order of elements makes the prefix filter exact; good counts make it small.
 CELL_BITS = 20
-#: A text of n units shares at least 4n/5 of them with a text of similarity 0.8, so that one of
-#: its n/5 + 1 rarest is shared and among the other's rarest. The inverse of 1 - SIMILARITY.
-FIFTH = 5
+#: Of 9 elements of two texts of similarity 0.8 they share at least 4; of a text's elements at most
+#: one in 9 is rarer than all shared ones beside a text of its size or longer, one in 5 beside any.
+NINTH, FIFTH, SHARED = 9, 5, 4
 
 _GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 
@@ -186,9 +188,10 @@ def _lead_pairs(members: DataFrame, choice: DataFrame) -> DataFrame:
 
 
 def _rarest(values: np.ndarray, sizes: np.ndarray, counts: np.ndarray):
-    """The elements among the rarest fifth and one more of their text, and how many each text has.
+    """The rarest fifth of each text: elements, their ranks in it, and how many each text has.
 
-    Taken are those of all units of weight and those of the first units, as either similarity counts.
+    Ranks are two, among all units of weight and among the first units, as either similarity
+    counts; the second is beyond any size for other units.
     """
     owner = np.repeat(np.arange(len(sizes)), sizes)
     order = np.lexsort((values, counts[values.view(np.uint64) >> np.uint64(64 - CELL_BITS)], owner))
@@ -197,41 +200,52 @@ def _rarest(values: np.ndarray, sizes: np.ndarray, counts: np.ndarray):
     plain = np.bincount(owner, weights=first, minlength=len(sizes)).astype(np.int64)
     rank = np.arange(len(values)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
     plain_rank = np.cumsum(first) - first - np.repeat(np.cumsum(plain) - plain, sizes)
-    take = (rank <= sizes[owner] // FIFTH) | (first & (plain_rank <= plain[owner] // FIFTH))
-    return values[take], np.bincount(owner[take], minlength=len(sizes))
+    plain_rank = np.where(first, plain_rank, np.iinfo(np.int32).max)
+    take = (rank <= sizes[owner] // FIFTH) | (plain_rank <= plain[owner] // FIFTH)
+    return values[take], rank[take], plain_rank[take], np.bincount(owner[take], minlength=len(sizes))
 
 
 def _rare_elements(texts: DataFrame) -> DataFrame:
-    """(element, all columns of ``texts`` but its elements) of the rarest elements of each text."""
+    """(element, rank, plain_rank, all columns of ``texts`` but its elements) of each text's rarest fifth."""
     cell = F.shiftrightunsigned("element", 64 - CELL_BITS).alias("cell")
     found = texts.select(F.explode("elements").alias("element")).groupBy(cell).agg(F.count(F.lit(1)).alias("n")).toArrow()
     counts = np.zeros(1 << CELL_BITS, np.int64)
     counts[found["cell"].to_numpy()] = found["n"].to_numpy()
     shared = texts.sparkSession.sparkContext.broadcast(counts)
 
-    @F.arrow_udf(T.ArrayType(T.LongType()))
+    @F.arrow_udf("array<struct<element: bigint, rank: bigint, plain_rank: bigint>>")
     def rarest(elements: pa.Array) -> pa.Array:
         sizes = elements.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
-        values, sizes = _rarest(elements.flatten().to_numpy(), sizes, shared.value)
-        return _listed(values, sizes, pa.int64(), np.ones(len(sizes), bool))
+        *columns, sizes = _rarest(elements.flatten().to_numpy(), sizes, shared.value)
+        rows = pa.StructArray.from_arrays([pa.array(c, pa.int64()) for c in columns], ["element", "rank", "plain_rank"])
+        return pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(sizes)], pa.int32()), rows)
 
-    return texts.select(F.explode(rarest("elements")).alias("element"), *[c for c in texts.columns if c != "elements"])
+    return texts.select(F.inline(rarest("elements")), *[c for c in texts.columns if c != "elements"])
+
+
+def _can_be_first(size: str, rank: str) -> Column:
+    """Whether the shorter text and the other can be similar with this element as their first shared one."""
+    a, b = F.col(size), F.col(f"other_{size}")
+    # Ranks count from 0; whole numbers instead of a rounded-up share.
+    after_a, after_b = (a - F.col(rank)) * NINTH, (b - F.col(f"other_{rank}")) * NINTH
+    return (a <= b) & (F.least(after_a, after_b) >= (a + b) * SHARED)
 
 
 def _rare_pairs(members: DataFrame, rest: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs of a text of the rest and one of another root that share a rare element and fit in size."""
+    """The pairs of a text of the rest and one of another root that the prefix filter leaves."""
     texts = members.select("key", "root").distinct().join(rest.select("key", F.lit(True).alias("left")).distinct(), "key", "left")
     plain = F.size(F.filter("elements", lambda e: e % 2 == 0)).alias("plain")
-    texts = materialize(texts.join(sets, "key").select("key", "root", "left", F.size("elements").alias("units"), plain, "elements"), "open")
-    rare = materialize(_rare_elements(texts), "rare")
-    others = rare.drop("left").withColumnsRenamed({c: f"other_{c}" for c in ("key", "root", "units", "plain")})
+    texts = texts.join(sets, "key").select("key", "root", "left", F.size("elements").alias("units"), plain, "elements")
+    rare = materialize(_rare_elements(materialize(texts, "open")), "rare")
+    short = rare.where((F.col("rank") * NINTH <= F.col("units")) | (F.col("plain_rank") * NINTH <= F.col("plain")))
+    other = rare.withColumnsRenamed({c: f"other_{c}" for c in rare.columns if c != "element"})
+    similar = _can_be_first("units", "rank") | _can_be_first("plain", "plain_rank")
 
-    def fits(size: str) -> Column:
-        a, b = F.col(size), F.col(f"other_{size}")
-        return F.greatest(a, b) * (FIFTH - 1) <= F.least(a, b) * FIFTH
+    def pairs(short: DataFrame, other: DataFrame) -> DataFrame:
+        return short.join(other, "element").where("root != other_root").where(similar).select(*_pair("key", "other_key"))
 
-    met = rare.where("left").join(others, "element").where("root != other_root").where(fits("units") | fits("plain"))
-    return met.select(*_pair("key", "other_key"))
+    # At least one of a pair is of the rest.
+    return pairs(short.where("left"), other).unionByName(pairs(short.where("left is null"), other.where("other_left")))
 
 
 def _banded(nodes: DataFrame) -> DataFrame:

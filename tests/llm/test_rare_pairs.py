@@ -27,16 +27,21 @@ def test_similar_sets_share_a_rarest_element(seed):
     sizes = np.array([len(s) for s in sets])
     # Counts that say nothing must do no harm either.
     for counts in (np.zeros(1 << near_duplicates.CELL_BITS, np.int64), rng.integers(0, 9, 1 << near_duplicates.CELL_BITS)):
-        values, taken = _rarest(np.concatenate(sets), sizes, counts)
+        values, rank, plain_rank, taken = _rarest(np.concatenate(sets), sizes, counts)
         ends = np.cumsum(taken)
-        rare = [set(values[e - n : e].tolist()) for e, n in zip(ends, taken, strict=True)]
+        rare = [
+            (dict(zip(values[e - n : e].tolist(), rank[e - n : e].tolist())), dict(zip(values[e - n : e].tolist(), plain_rank[e - n : e].tolist())))
+            for e, n in zip(ends, taken, strict=True)
+        ]
         linked = 0
         for i, j in itertools.combinations(range(len(sets)), 2):
             a, b = set(sets[i].tolist()), set(sets[j].tolist())
-            for x, y in ((a, b), ({v for v in a if v % 2 == 0}, {v for v in b if v % 2 == 0})):
+            for kind, (x, y) in enumerate(((a, b), ({v for v in a if v % 2 == 0}, {v for v in b if v % 2 == 0}))):
                 if x | y and 5 * len(x & y) >= 4 * len(x | y):
                     linked += 1
-                    assert rare[i] & rare[j]
+                    p, q = rare[i][kind], rare[j][kind]
+                    need = -(-4 * (len(x) + len(y)) // 9)
+                    assert any(p[v] <= len(x) - need and q[v] <= len(y) - need for v in p.keys() & q.keys())
         assert linked > 60
 
 
@@ -81,3 +86,20 @@ def test_groups_of_one_bucket_are_found_whole(spark):
     want = Counter((i, min(group)) for group in of.values() for i in group)
     got = near_duplicates.near_duplicates(df).select("doc_id", "class_id").collect()
     assert Counter((r[0], r[1]) for r in got) == want
+
+
+def test_copies_too_far_apart_make_no_pairs(spark):
+    rng, words = random.Random(9), [f"w{i}" for i in range(150)]
+    texts = [" ".join(words)]
+    for i in range(300):
+        edited = list(words)
+        for j in range(4 if i % 3 else 6):  # four edits: 0.76 with the original, six: 0.66
+            edited[24 * j + rng.randint(5, 20)] = f"x{i}y{j}"
+        texts.append(" ".join(edited))
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id BIGINT, text STRING")
+    rows = df.select(text_key(text_of()).alias("key"), element_set(text_of()).alias("elements"))
+    members = rows.select(F.lit(1).alias("bucket"), "key", F.col("key").alias("root"))
+    # All pairs would be 45,150, and only those of similar texts may be made.
+    assert _rare_pairs(members, members, rows).distinct().count() <= 300
+    got = near_duplicates.near_duplicates(df)
+    assert Counter((r[0], r[1]) for r in got.select("doc_id", "class_id").collect()) == Counter((i, i) for i in range(301))
