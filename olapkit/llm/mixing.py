@@ -33,6 +33,8 @@ REPEATS = 3
 BLOCK_WORDS, SHARD_SEATS, SEED = 128, 4096, 11
 #: Multiplication by a prime orders the blocks; the second serves where the first divides their number.
 PRIMES = 2_147_483_647, 2_147_483_629
+#: Shares of whole documents are counted in parts of 2^24, so that their running sums are exact whole numbers.
+SHARE_BITS = 24
 #: Seats that one row of the seat table is made from at a time.
 RUN = 4096
 
@@ -163,22 +165,41 @@ def mix(documents: DataFrame, tag: list[str] | None = None) -> DataFrame:
     return rows.select(*names, "size", "source_size", "target", taken.cast("long").alias("taken"))
 
 
+def whole_copies(taken: DataFrame) -> DataFrame:
+    """(doc_id, source, _text_key, _times) from the rows of ``mix``: whole copies in place of words.
+
+    A document's share is the words taken of it over its words. Within a source, smallest documents first and
+    in seeded order among equals, the running sum of shares is rounded at each document, and a document
+    comes as often as the rounded sum grows there. As sizes only rise along that order, the words of all copies
+    differ from the words taken by less than the source's largest document.
+    """
+    who = ["doc_id", "source", "_text_key"]
+    # Rows equal in id, source and text are interchangeable and come equally often; they count as one document.
+    rows = F.count(F.lit(1))
+    share = F.round(F.sum("taken") * F.lit(float(1 << SHARE_BITS)) / (F.first("size") * rows)).cast("long")
+    each = taken.where("size > 0").groupBy(*who).agg(share.alias("_share"), (F.first("size") * rows).alias("_weight"))
+    seeded = [F.col("_weight"), F.xxhash64(F.lit(SEED), "doc_id", "_text_key"), *who]
+    summed = running_totals(each, "source", seeded, "_share", "_before")
+
+    def rounded(sum_of_shares: Column) -> Column:
+        return F.shiftright(sum_of_shares + (1 << SHARE_BITS - 1), SHARE_BITS)
+
+    times = rounded(F.col("_before") + F.col("_share")) - rounded(F.col("_before"))
+    return summed.select(*who, times.cast("int").alias("_times"))
+
+
 def mixed_documents(documents: DataFrame) -> DataFrame:
-    """The documents as often as the mix takes them.
+    """The documents as often as the mix takes them, each whole; see ``whole_copies``.
 
-    A document whose words are taken t times on average comes floor(t) times, and once
-    more with the probability of the rest, drawn from a hash of its id and text.
+    Only ids, sources and text keys are ordered; each text moves once, to meet its number of copies.
     """
     key = F.unhex(F.md5(text_of()))
     taken = mix(documents.select("doc_id", "source", "text", key.alias("_text_key")), ["_text_key"])
-    draw = F.pmod(F.xxhash64(F.lit(SEED), "doc_id", "_text_key"), F.lit(1 << 30)) / float(1 << 30)
-    # Rows equal in id, source and text are interchangeable and come equally often.
-    share = F.sum(F.col("taken") / F.col("size")) / F.count(F.lit(1))
-    copies = taken.where("size > 0").groupBy("doc_id", "source", "_text_key").agg(share.alias("_share"))
+    copies = whole_copies(taken).where("_times > 0")
     who = F.struct("doc_id", "source", "_text_key").alias("_who")
-    copies = materialize(copies.select(who, F.floor(F.col("_share") + draw).cast("int").alias("_times")), "copies")
+    copies = materialize(copies.select(who, "_times"), "copies")
     names = [F.col(f"`{c}`") for c in documents.columns]
     rows = documents.select(F.struct(*names).alias("_row"), F.struct("doc_id", "source", key.alias("_text_key")).alias("_me"))
     # Null ids and sources inside the structs are equal to each other.
-    met = rows.join(copies.where("_times > 0"), F.col("_me") == F.col("_who"))
+    met = rows.join(copies, F.col("_me") == F.col("_who"))
     return met.select("_row", F.explode(F.sequence(F.lit(1), F.col("_times")))).select("_row.*")
