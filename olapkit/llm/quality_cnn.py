@@ -278,3 +278,8 @@ def scorer(w: Weights):
 def score_documents(documents: DataFrame, labels: DataFrame, name: str = "score") -> DataFrame:
     """The documents with a column ``name``: the probability that their quality is 1."""
     return documents.withColumn(name, scorer(train(documents, labels))(text_of()))
+
+
+def keep_good(documents: DataFrame, labels: DataFrame) -> DataFrame:
+    """The documents that score at least ``THRESHOLD``, with their own columns whatever their names."""
+    return documents.where(scorer(train(documents, labels))(text_of()) >= THRESHOLD)
