@@ -16,8 +16,7 @@ from olapkit.workspace import materialize
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents that the network accepts."""
-    scored = quality_cnn.score_documents(docs, table(spark, sf_dir, "labels"), "_quality_score")
-    return scored.where(F.col("_quality_score") >= quality_cnn.THRESHOLD).drop("_quality_score")
+    return quality_cnn.keep_good(docs, table(spark, sf_dir, "labels"))
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
