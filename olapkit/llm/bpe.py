@@ -28,12 +28,12 @@ import tempfile
 import unicodedata
 from bisect import bisect_left
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, fields
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, functions as F, types as T
 from tokenizers import Regex, normalizers, pre_tokenizers
 
 from olapkit.llm.common import text_of
@@ -43,7 +43,7 @@ from olapkit.workspace import materialize
 LEXICON_WORDS, LEXICON_BYTES = 40_000, 48
 STEPS_A_DOUBLING = 64
 #: Characters of text whose words are looked up at once, and merged words a task remembers.
-SLICE_CHARS, REMEMBERED = 1 << 22, 400_000
+SLICE_CHARS, REMEMBERED = 1 << 21, 200_000
 
 # The white space of Unicode, and the endings that the word pattern cuts off.
 WHITE = "\\t-\\r\\x20\\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
@@ -353,7 +353,7 @@ class Encoder:
         return " ".join(map(self.t.names.__getitem__, np.frombuffer(ids, "<u4").tolist()))
 
 
-def slices(texts: list[str]) -> Iterator[list[str]]:
+def slices(texts: Iterable[str]) -> Iterator[list[str]]:
     """The texts in runs of some ``SLICE_CHARS`` characters; a longer text is alone."""
     part, size = [], 0
     for t in texts:
@@ -377,7 +377,7 @@ def frequent_words(documents: DataFrame, t: Tokenizer) -> list[str]:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         split = Splitter(special, classes, small)
         for batch in batches:
-            for part in slices(batch.column(0).to_pylist()):
+            for part in slices(text.as_py() for text in batch.column(0)):
                 seen: Counter = Counter()
                 for text in part:
                     seen.update(split(text))
@@ -408,47 +408,44 @@ def lexicon_of(words: list[str], t: Tokenizer) -> bytes:
     return compile_lexicon(dict(zip(short, merge_words(short, t), strict=True)))
 
 
-_ENCODED = T.StructType(
-    [
-        T.StructField("n_tokens", T.LongType()),
-        T.StructField("ids_sha256", T.StringType()),
-        T.StructField("decoded_sha256", T.StringType()),
-        T.StructField("ids", T.BinaryType()),
-    ]
-)
+_ENCODED = [
+    T.StructField("n_tokens", T.LongType()),
+    T.StructField("ids_sha256", T.StringType()),
+    T.StructField("decoded_sha256", T.StringType()),
+    T.StructField("ids", T.BinaryType()),
+]
+
 
+def encode_documents(documents: DataFrame, tokenizer_path: str, keep_ids: bool = False) -> DataFrame:
+    """doc_id, n_tokens, ids_sha256, decoded_sha256, and ids (little-endian, 32 bits each) if they are kept.
 
-def encoder(spark: SparkSession, documents: DataFrame, tokenizer_path: str, keep_ids: bool):
-    """A column function from texts to their encoding; ids only if they are to be kept."""
+    A task hands on its results slice by slice, so it holds the ids of one slice, whatever the size of a batch.
+    """
     t = Tokenizer.read(tokenizer_path)
     # Plain values, which workers can load without this library.
     told = {f.name: getattr(t, f.name) for f in fields(t)}
-    shared = spark.sparkContext.broadcast((told, lexicon_of(frequent_words(documents, t), t)))
-    ready: list[Encoder] = []
-
-    @F.arrow_udf(_ENCODED)
-    def encode(texts: pa.Array) -> pa.Array:
-        if not ready:
-            told, lexicon = shared.value
-            ready.append(Encoder(Tokenizer(**told), lexicon))
-        own = ready[0]
-        n, first, second, kept = [], [], [], []
-        for part in slices(texts.to_pylist()):
-            for ids in own.encode(part):
-                n.append(len(ids) // 4)
-                first.append(hashlib.sha256(ids).hexdigest())
-                second.append(hashlib.sha256(own.decode(ids).encode("utf-8")).hexdigest())
-                kept.append(ids if keep_ids else None)
-        kinds = [pa.int64(), pa.string(), pa.string(), pa.binary()]
-        columns = [pa.array(c, k) for c, k in zip((n, first, second, kept), kinds, strict=True)]
-        return pa.StructArray.from_arrays(columns, ["n_tokens", "ids_sha256", "decoded_sha256", "ids"])
-
-    return encode
+    shared = documents.sparkSession.sparkContext.broadcast((told, lexicon_of(frequent_words(documents, t), t)))
+    kinds = [pa.int64(), pa.string(), pa.string(), pa.binary()]
+    outcome = T.StructType([documents.schema["doc_id"], *(_ENCODED if keep_ids else _ENCODED[:-1])])
 
-
-def encode_documents(documents: DataFrame, tokenizer_path: str, keep_ids: bool = False) -> DataFrame:
-    """doc_id, n_tokens, ids_sha256, decoded_sha256, and ids (little-endian, 32 bits each) if they are kept."""
-    encode = encoder(documents.sparkSession, documents, tokenizer_path, keep_ids)
-    done = documents.select("doc_id", encode(text_of()).alias("e"))
-    names = ["n_tokens", "ids_sha256", "decoded_sha256", *(["ids"] if keep_ids else [])]
-    return done.select("doc_id", *[F.col(f"e.{n}").alias(n) for n in names])
+    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = None
+        for batch in batches:
+            if own is None:
+                told, lexicon = shared.value
+                own = Encoder(Tokenizer(**told), lexicon)
+            at = 0
+            for part in slices(text.as_py() for text in batch.column(1)):
+                kept, n, first, second = [], [], [], []
+                for ids in own.encode(part):
+                    n.append(len(ids) // 4)
+                    first.append(hashlib.sha256(ids).hexdigest())
+                    second.append(hashlib.sha256(own.decode(ids).encode("utf-8")).hexdigest())
+                    if keep_ids:
+                        kept.append(ids)
+                columns = [n, first, second, *([kept] if keep_ids else [])]
+                made = [pa.array(c, k) for c, k in zip(columns, kinds, strict=False)]
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(at, len(part)), *made], outcome.names)
+                at += len(part)
+
+    return documents.select("doc_id", text_of().alias("text")).mapInArrow(encode, outcome)
