@@ -35,6 +35,7 @@ FLAT_PART = [
 FLAT_SUPPLIER = [
     "s_suppkey", "s_name", "s_address", "s_phone", "s_nationname", "s_regionname",
 ]
+FLAT = [*FLAT_LINE, *FLAT_ORDER_PART, *FLAT_CUSTOMER, *FLAT_PART, *FLAT_SUPPLIER]
 STAR_CUSTOMER = [
     "c_custkey", "c_name", "c_address", "c_nationname", "c_regionname", "c_phone", "c_acctbal",
     "c_mktsegment",
@@ -128,19 +129,18 @@ def flat_line_item(
 ) -> DataFrame:
     """One wide row per line item.
 
-    Customers are folded into the smaller orders first, so the line items shuffle
-    once for that pair rather than twice.
+    Customers are folded into the smaller orders first, and those come last, so that the line items shuffle
+    while they are narrow and the lines of an order end up together. Names of places are looked up at the end.
     """
-    buyer = with_geography(customer, "c_", nation, region)
-    seller = with_geography(supplier, "s_", nation, region)
-    sale = orders.join(buyer, F.col("o_custkey") == F.col("c_custkey"))
+    sale = orders.join(customer, F.col("o_custkey") == F.col("c_custkey"))
     wide = (
-        lineitem.join(sale, F.col("l_orderkey") == F.col("o_orderkey"))
+        lineitem.join(supplier, F.col("l_suppkey") == F.col("s_suppkey"))
         .join(part, F.col("l_partkey") == F.col("p_partkey"))
-        .join(seller, F.col("l_suppkey") == F.col("s_suppkey"))
+        .join(sale, F.col("l_orderkey") == F.col("o_orderkey"))
     )
-    columns = [*FLAT_LINE, *FLAT_ORDER_PART, *FLAT_CUSTOMER, *FLAT_PART, *FLAT_SUPPLIER]
-    return wide.select(*existing(wide, columns))
+    for prefix in ("c_", "s_"):
+        wide = with_geography(wide, prefix, nation, region)
+    return wide.select(*existing(wide, FLAT))
 
 
 def date_dim(spark: SparkSession, start: str = "1992-01-01", days: int = 2557) -> DataFrame:

@@ -42,16 +42,16 @@ class Tables:
         return with_ship_priority(self.orders)
 
 
-def with_line_dates(lineitem: DataFrame) -> DataFrame:
+def with_line_dates(lineitem: DataFrame, part: str = "l_partkey", supplier: str = "l_suppkey") -> DataFrame:
     """Commit date, receipt date and ship mode from the keys; ship date as a date."""
     ship = F.to_date("l_shipdate")
     modes = F.array(*[F.lit(m) for m in SHIP_MODES])
     return lineitem.withColumns(
         {
             "l_shipdate": ship,
-            "l_commitdate": F.date_add(ship, (F.col("l_partkey") % 61 - 30).cast("int")),
-            "l_receiptdate": F.date_add(ship, (F.col("l_suppkey") % 30 + 1).cast("int")),
-            "l_shipmode": F.get(modes, (F.col("l_partkey") % 7).cast("int")),
+            "l_commitdate": F.date_add(ship, (F.col(part) % 61 - 30).cast("int")),
+            "l_receiptdate": F.date_add(ship, (F.col(supplier) % 30 + 1).cast("int")),
+            "l_shipmode": F.get(modes, (F.col(part) % 7).cast("int")),
         }
     )
 

@@ -7,7 +7,7 @@ from olapkit.operators import models
 from olapkit.operators.numbering import number_rows, unique_ids
 from olapkit.plans import flat as wide
 from olapkit.plans import store
-from olapkit.plans.tables import LINEITEM_DATES_SQL, ORDERS_PRIORITY_SQL
+from olapkit.plans.tables import LINEITEM_DATES_SQL, ORDERS_PRIORITY_SQL, with_line_dates
 from olapkit.registry.base import query, rounded
 from olapkit.sources.encode import from_hash_records, to_hash_records
 from olapkit.sources.stored_shapes import Shape, ShapeStore
@@ -15,9 +15,11 @@ from olapkit.workspace import shared_root
 
 
 def flat(t):
-    return models.flat_line_item(
-        t.lineitem_dates, t.orders_priority, t.customer, t.part, t.supplier, t.nation, t.region
-    )
+    # What follows from the keys is added to the joined rows, so that no shuffle carries it.
+    lines = t.lineitem.withColumn("l_shipdate", F.to_date("l_shipdate"))
+    wide = models.flat_line_item(lines, t.orders_priority, t.customer, t.part, t.supplier, t.nation, t.region)
+    dated = with_line_dates(wide, part="p_partkey", supplier="s_suppkey")
+    return dated.select(*models.existing(dated, models.FLAT))
 
 
 FLAT_SQL = f"""

@@ -22,6 +22,9 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
+#: A shape is written once and read often; maps of fields get a sixth smaller than at the default level.
+COMPRESSION = {"compression": "zstd", "parquet.compression.codec.zstd.level": "9"}
+
 
 def files_version(spark: SparkSession, paths: Sequence[str]) -> str:
     """A text that changes with the files under the paths: their number, their bytes, and a sum of hashes
@@ -72,7 +75,7 @@ class ShapeStore:
         rows, path = shape.build(), f"{folder}/data-{uuid.uuid4().hex[:8]}"
         if shape.sort_by:
             rows = rows.sortWithinPartitions(*shape.sort_by)
-        rows.write.parquet(path)
+        rows.write.options(**COMPRESSION).parquet(path)
         body = {"name": shape.name, "path": path, "schema": rows.schema.jsonValue()}
         try:
             told = self.spark.range(1).select(F.lit(json.dumps(body)).alias("value"))

@@ -1,11 +1,14 @@
 """Shapes stored by the version of their inputs."""
 
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
+from olapkit.operators import models
 from olapkit.plans.tables import Tables
 from olapkit.registry import QUERIES
-from olapkit.registry.shapes import flat_shape, shape_store
+from olapkit.registry.shapes import flat, flat_shape, record_shape, shape_store
 from olapkit.sources.stored_shapes import Shape, ShapeStore, files_version
 
 SMALL = "/root/testdata/sf0.001"
@@ -75,3 +78,54 @@ def test_stored_rows_are_sorted_in_their_files(spark):
 
 def test_records_follow_their_shape(spark):
     assert QUERIES["kv_q5"](spark, SMALL).collect() == QUERIES["flat_q5"](spark, SMALL).collect()
+
+
+def exchanged(df):
+    """The columns of each shuffle of a plan."""
+    plan = df._jdf.queryExecution().explainString(df.sparkSession._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
+    inputs = re.findall(r"\(\d+\) Exchange\nInput \[\d+\]: \[([^\]]*)\]", plan)
+    return [{c.split("#")[0] for c in columns.split(", ")} for columns in inputs]
+
+
+def test_line_items_are_shuffled_while_they_are_narrow(spark):
+    n = spark.range(100_000)
+    key = "id % 1000"
+    lineitem = n.selectExpr(f"{key} l_orderkey", f"{key} l_partkey", f"{key} l_suppkey", "id l_quantity")
+    orders = n.selectExpr("id o_orderkey", f"{key} o_custkey", "'x' || id o_orderstatus")
+    customer = n.selectExpr("id c_custkey", "'c' || id c_name", "1L c_nationkey")
+    part = n.selectExpr("id p_partkey", "'p' || id p_name")
+    supplier = n.selectExpr("id s_suppkey", "'s' || id s_name", "1L s_nationkey")
+    nation = spark.createDataFrame([(1, "n", 1)], "n_nationkey BIGINT, n_name STRING, n_regionkey BIGINT")
+    region = spark.createDataFrame([(1, "r")], "r_regionkey BIGINT, r_name STRING")
+    names = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
+    before = {name: spark.conf.get(name, None) for name in names}
+    try:
+        for name in names:
+            spark.conf.set(name, "1000")
+        wide = models.flat_line_item(lineitem, orders, customer, part, supplier, nation, region)
+        moved = exchanged(wide)
+        assert wide.agg(F.count("s_regionname"), F.sum("l_quantity")).first() == (100_000, 4_999_950_000)
+    finally:
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+    lines = [columns for columns in moved if "l_quantity" in columns]
+    assert len(lines) == 3 and not any(columns & {"c_name", "o_orderstatus"} for columns in lines), lines
+    assert not any(c.endswith(("nationname", "regionname")) for columns in moved for c in columns)
+
+
+def test_no_shuffle_carries_what_follows_from_the_keys(spark):
+    name = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(name)
+    try:
+        spark.conf.set(name, "-1")
+        moved = exchanged(flat(Tables(spark, SMALL)))
+    finally:
+        spark.conf.set(name, before)
+    assert moved and not any(columns & {"l_commitdate", "l_receiptdate", "l_shipmode"} for columns in moved)
+
+
+def test_stored_shapes_are_packed(spark):
+    t = Tables(spark, SMALL)
+    for shape in (flat_shape(t), record_shape(t)):
+        files = spark.read.parquet(shape_store(t).load(shape)).inputFiles()
+        assert files and all(".zstd." in f for f in files)
