@@ -734,8 +734,9 @@ def chain_base(t):
 )
 def backup_list(t):
     rows = materialize(order_manifests(t), "manifests")
+    links = backups.linked(rows)
     lists = [
-        backups.backup_list(rows, kind).select(F.lit(kind).alias("list"), "*")
+        backups.backup_list(rows, kind, links).select(F.lit(kind).alias("list"), "*")
         for kind in ("all", "latest", "sequence")
     ]
     return lists[0].unionAll(lists[1]).unionAll(lists[2])

@@ -79,72 +79,105 @@ def _linked_anew(known: DataFrame) -> DataFrame:
     candidates = materialize(increments.join(ends, ["table_id", "from_ts"]).drop("from_ts"), "predecessors")
     sizes = known.select("table_id", F.col("backup_id").alias("prev_id"), full.alias("_full"), F.col("from_ts").alias("_start"))
     first = F.struct(~F.col("_full"), F.col("_start"), F.col("prev_id"))
-    chosen = (
+    picked = (
         candidates.join(sizes, ["table_id", "prev_id"])
         .groupBy("table_id", "backup_id")
-        .agg(F.min_by("prev_id", first).alias("prev_id"))
+        .agg(F.min_by("prev_id", first).alias("prev_id"), F.count(F.lit(1)).alias("_n"))
     )
-    roots = known.filter(full).select("table_id", F.col("backup_id").alias("root_id"), F.col("to_ts").alias("root_to"))
+    picked = materialize(picked, "picked")
+    # Only where there is a choice can a lighter predecessor be found.
+    contested = picked.filter(F.col("_n") > 1).select("table_id", "backup_id")
+    settled = contested.isEmpty()
+    rivals = None if settled else materialize(candidates.join(contested, ["table_id", "backup_id"], "left_semi"), "rivals")
+    chosen = picked.drop("_n")
     while True:
-        chosen = materialize(chosen, "chosen")
-        found = _weighed(known.filter(full), chosen).join(roots, ["table_id", "root_id"])
-        found = materialize(found, "weighed")
+        found = _weighed(known.filter(full), chosen)
+        if settled:
+            break
         # Is a lighter predecessor known now? Weights only fall, so this ends.
         weights = found.select("table_id", F.col("backup_id").alias("prev_id"), "weight", "root_to", "root_id")
         light = F.struct("weight", (-F.col("root_to")).alias("newest"), "prev_id")
-        better = candidates.join(weights, ["table_id", "prev_id"]).groupBy("table_id", "backup_id")
+        better = rivals.join(weights, ["table_id", "prev_id"]).groupBy("table_id", "backup_id")
         better = better.agg(F.min_by("prev_id", light).alias("_better"), F.min("weight").alias("_least"))
-        now = chosen.join(weights.select("table_id", "prev_id", "weight"), ["table_id", "prev_id"], "left")
-        changed = now.join(better, ["table_id", "backup_id"]).filter(
-            F.col("weight").isNull() | (F.col("_least") < F.col("weight"))
+        better = materialize(better, "better")
+        now = chosen.join(better, ["table_id", "backup_id"]).join(
+            weights.select("table_id", "prev_id", "weight"), ["table_id", "prev_id"], "left"
         )
-        if changed.isEmpty():
+        if now.filter(F.col("weight").isNull() | (F.col("_least") < F.col("weight"))).isEmpty():
             break
         chosen = chosen.join(better, ["table_id", "backup_id"], "left").select(
             "table_id", "backup_id", F.coalesce("_better", "prev_id").alias("prev_id")
         )
-    return known.join(found, ["table_id", "backup_id"]).join(chosen, ["table_id", "backup_id"], "left")
+        chosen = materialize(chosen, "chosen")
+    links = known.join(found, ["table_id", "backup_id"]).join(chosen, ["table_id", "backup_id"], "left")
+    return materialize(links, "links")
 
 
 def _weighed(fulls: DataFrame, chosen: DataFrame) -> DataFrame:
-    """(table_id, backup_id, root_id, weight) of the backups whose predecessors lead to a full one."""
-    root = fulls.select("table_id", "backup_id", F.col("backup_id").alias("up"), F.lit(0).alias("weight"), F.lit(True).alias("done"))
-    state = root.unionByName(
-        chosen.select("table_id", "backup_id", F.col("prev_id").alias("up"), F.lit(1).alias("weight"), F.lit(False).alias("done"))
+    """(table_id, backup_id, root_id, weight, root_to) of the backups whose predecessors lead to a full one."""
+    root = fulls.select(
+        "table_id",
+        "backup_id",
+        F.col("backup_id").alias("up"),
+        F.lit(0).alias("weight"),
+        F.col("to_ts").alias("root_to"),
+        F.lit(True).alias("done"),
+    )
+    increment = chosen.select(
+        "table_id",
+        "backup_id",
+        F.col("prev_id").alias("up"),
+        F.lit(1).alias("weight"),
+        F.lit(None).cast("long").alias("root_to"),
+        F.lit(False).alias("done"),
     )
+    state = root.unionByName(increment)
     while True:
         state = materialize(state, "chains")
-        if state.filter(~F.col("done")).isEmpty():
-            return state.select("table_id", "backup_id", F.col("up").alias("root_id"), "weight")
-        # Everyone looks as far back as the one it looks back to; who looks at nothing is on no chain.
+        ended, onward = state.filter("done"), state.filter(~F.col("done"))
+        if onward.isEmpty():
+            return state.select("table_id", "backup_id", F.col("up").alias("root_id"), "weight", "root_to")
+        # Who has not come to a full backup looks as far back as the one it looks back to; who looks at nothing
+        # is on no chain.
         further = state.select(
             "table_id",
             F.col("backup_id").alias("up"),
             F.col("up").alias("_up"),
             F.col("weight").alias("_weight"),
+            F.col("root_to").alias("_root_to"),
             F.col("done").alias("_done"),
         )
-        state = state.join(further, ["table_id", "up"]).select(
+        onward = onward.join(further, ["table_id", "up"]).select(
             "table_id",
             "backup_id",
             F.col("_up").alias("up"),
             (F.col("weight") + F.col("_weight")).alias("weight"),
+            F.col("_root_to").alias("root_to"),
             F.col("_done").alias("done"),
         )
+        state = ended.unionByName(onward)
 
 
-def path_to(links: DataFrame, ends: DataFrame) -> DataFrame:
-    """(table_id, backup_id) of the backups on the paths to some ends: themselves and all before them."""
-    longest = links.join(ends, ["table_id", "backup_id"], "left_semi").agg(F.max("weight")).first()[0] or 0
+def _jumps(links: DataFrame) -> list[DataFrame]:
+    """(table_id, backup_id, up): the backups 1, 2, 4, ... steps before each, as far as the longest chain goes."""
+    longest = links.agg(F.max("weight")).first()[0] or 0
     prev = links.filter(F.col("prev_id").isNotNull()).select("table_id", "backup_id", F.col("prev_id").alias("up"))
     jumps = [prev] if longest else []
     while 1 << len(jumps) <= longest:
-        step = jumps[-1] if len(jumps) == 1 else materialize(jumps[-1], "jumps")
-        jumps[-1] = step
+        step = jumps[-1]
         onward = step.select("table_id", F.col("backup_id").alias("up"), F.col("up").alias("_up"))
-        jumps.append(step.join(onward, ["table_id", "up"]).select("table_id", "backup_id", F.col("_up").alias("up")))
-    marked = ends.select("table_id", "backup_id")
-    for jump in reversed(jumps):
+        further = step.join(onward, ["table_id", "up"]).select("table_id", "backup_id", F.col("_up").alias("up"))
+        jumps.append(materialize(further, "jumps"))
+    return jumps
+
+
+def path_to(links: DataFrame, ends: DataFrame, jumps: Sequence[DataFrame] | None = None) -> DataFrame:
+    """(table_id, backup_id) of the backups on the paths to some ends: themselves and all before them.
+
+    ``jumps`` are those of the links, if they are known already.
+    """
+    marked = materialize(ends.select("table_id", "backup_id"), "ends")
+    for jump in reversed(_jumps(links) if jumps is None else jumps):
         more = jump.join(marked, ["table_id", "backup_id"], "left_semi").select("table_id", F.col("up").alias("backup_id"))
         marked = materialize(marked.unionByName(more).distinct(), "marked")
     return marked
@@ -164,7 +197,10 @@ def restore_steps(manifests: DataFrame, until: int | None = None) -> DataFrame:
 
     ``until`` looks back in time.
     """
-    links = linked(manifests if until is None else manifests.filter(F.col("to_ts") <= until))
+    return _steps(linked(manifests if until is None else manifests.filter(F.col("to_ts") <= until)))
+
+
+def _steps(links: DataFrame) -> DataFrame:
     return links.join(path_to(links, _best(links)), ["table_id", "backup_id"], "left_semi")
 
 
@@ -181,14 +217,16 @@ def chain_bases(manifests: DataFrame) -> DataFrame:
     return best.select("table_id", "root_id", F.col("backup_id").alias("base_id"), "root_to", "to_ts", "weight")
 
 
-def backup_list(manifests: DataFrame, kind: str = "all") -> DataFrame:
+def backup_list(manifests: DataFrame, kind: str = "all", links: DataFrame | None = None) -> DataFrame:
     """Backups as (name, id, end time, from, to, type): ``all``, the ``latest`` of each
-    table, or the restore ``sequence``."""
+    table, or the restore ``sequence``. ``links`` are the manifests' own, as ``linked`` gives them, for several lists."""
     rows = manifests
     if kind == "latest":
-        rows = rows.join(_best(linked(manifests)), ["table_id", "backup_id"], "left_semi")
+        best = _best(linked(manifests) if links is None else links)
+        rows = rows.join(best, ["table_id", "backup_id"], "left_semi")
     elif kind == "sequence":
-        rows = rows.join(restore_steps(manifests), ["table_id", "backup_id"], "left_semi")
+        steps = _steps(linked(manifests) if links is None else links)
+        rows = rows.join(steps, ["table_id", "backup_id"], "left_semi")
     elif kind != "all":
         raise ValueError("kind is all, latest or sequence")
     end = F.date_format(F.timestamp_micros("to_ts"), "yyyy-MM-dd'T'HH:mm:ss.SSSZ")
@@ -208,8 +246,9 @@ def backup_expired(manifests: DataFrame, now: int, age: int) -> DataFrame:
     onward = links.filter(F.col("from_ts") > 0).select("table_id", F.col("from_ts").alias("to_ts"))
     # Ends of paths that are old, then every backup that leads to one.
     old = links.join(onward, ["table_id", "to_ts"], "left_anti").filter(F.col("to_ts") + age < now)
-    leading = path_to(links, old)
-    needed = path_to(links, _best(links))
+    jumps = _jumps(links)
+    leading = path_to(links, old, jumps)
+    needed = path_to(links, _best(links), jumps)
     gone = leading.join(needed, ["table_id", "backup_id"], "left_anti")
     return manifests.join(gone, ["table_id", "backup_id"], "left_semi")
 

@@ -7,7 +7,9 @@ from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql.classic.dataframe import DataFrame
 
+from olapkit.registry import QUERIES
 from olapkit.sources import backups
 from olapkit.sources.backups import MANIFEST
 from olapkit.sources.keyed_table import KeyedTable
@@ -106,6 +108,32 @@ def test_expired_paths(spark):
     assert {r["backup_id"] for r in got.collect()} == {"3"}
 
 
+def test_links_are_found_once_and_stored(spark, monkeypatch):
+    rows = manifests(spark, (0, 10), (10, 20), (20, 30), (10, 25))
+    plan = backups.linked(rows)._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and "FileScan" in plan
+    found, anew = [], backups._linked_anew
+    monkeypatch.setattr(backups, "_linked_anew", lambda known: found.append(1) or anew(known))
+    kinds = QUERIES["backup_list"](spark, "/root/testdata/sf0.001").select("list").distinct().collect()
+    assert {r["list"] for r in kinds} == {"all", "latest", "sequence"} and found == [1]
+
+
+def test_only_those_on_their_way_look_further(spark, monkeypatch):
+    """Of a chain of five and four lone full backups, no round takes the full ones along."""
+    joined, join = [], DataFrame.join
+
+    def seen(self, other, on=None, how=None):
+        if "_root_to" in other.columns:
+            joined.append(self.count())
+        return join(self, other, on, how)
+
+    chain = [(0, 1), *[(i, i + 1) for i in range(1, 5)], *[(0, 100 + i) for i in range(4)]]
+    monkeypatch.setattr(DataFrame, "join", seen)
+    links = backups.linked(manifests(spark, *chain))
+    assert joined == [4, 3, 1][: len(joined)] and joined
+    assert sorted(r["weight"] for r in links.collect()) == [0, 0, 0, 0, 0, 1, 2, 3, 4]
+
+
 def table(spark, name):
     df = spark.createDataFrame([(k, f"v{k}") for k in range(10)], "k INT, v STRING")
     return KeyedTable.create_as(df, new_path(spark, name), ["k"], ts=10, name=name)
