@@ -240,11 +240,16 @@ def checksum_equal(t):
 # Streams
 
 
-def staged(t, df, files=3):
-    """A folder of a few files, so that a stream sees several micro-batches."""
+#: A file of arrivals is written, and read again, by one task.
+ROWS_PER_FILE = 250_000
+
+
+def staged(t, df, parts=3):
+    """A folder whose files arrive in a few parts, so that a stream sees several micro-batches, and the files of a part."""
     path = new_path(t.spark, "arrivals")
-    df.repartition(files).write.parquet(path)
-    return path
+    files = max(1, -(-df.count() // (parts * ROWS_PER_FILE)))
+    df.repartition(parts * files).write.parquet(path)
+    return path, files
 
 
 @query(
@@ -259,7 +264,8 @@ def stream_upsert(t):
     arrivals = recent(t).withColumns(
         {"o_orderstatus": F.lit("S"), "o_totalprice": F.col("o_totalprice") + 1}
     )
-    stream = streams.file_stream(t.spark, staged(t, arrivals), arrivals.schema, per_trigger=1)
+    path, files = staged(t, arrivals)
+    stream = streams.file_stream(t.spark, path, arrivals.schema, per_trigger=files)
     checkpoint = new_path(t.spark, "progress")
     streams.upsert_stream(stream, table, "orders", checkpoint).awaitTermination()
     return table.latest()
@@ -296,7 +302,8 @@ def stream_metrics(t):
     """,
 )
 def stream_q1(t):
-    stream = streams.file_stream(t.spark, staged(t, t.lineitem), t.lineitem.schema, per_trigger=1)
+    path, files = staged(t, t.lineitem)
+    stream = streams.file_stream(t.spark, path, t.lineitem.schema, per_trigger=files)
     out = new_path(t.spark, "summary")
     streams.pricing_stream(stream, out, new_path(t.spark, "progress")).awaitTermination()
     summary = streams.newest_batch(t.spark, out).select(
@@ -325,7 +332,8 @@ def stream_json(t):
     types = {"id": "bigint", "k": "int", "kind": "string"}
     empty = t.spark.createDataFrame([], "id BIGINT, k INT, kind STRING")
     table = KeyedTable.create(t.spark, new_path(t.spark, "table"), empty.schema, ["id"])
-    stream = streams.file_stream(t.spark, staged(t, arrivals), arrivals.schema, per_trigger=2)
+    path, files = staged(t, arrivals)
+    stream = streams.file_stream(t.spark, path, arrivals.schema, per_trigger=2 * files)
     streams.json_stream(
         stream, "payload", types, table, "users", new_path(t.spark, "progress")
     ).awaitTermination()

@@ -11,6 +11,7 @@ from olapkit.operators import metrics, verify
 from olapkit.operators.numbering import number_rows, split_batches, unique_ids
 from olapkit.operators.scan import table_difference
 from olapkit.operators.skew import hot_keys, salted_join
+from olapkit.registry import series as registered
 
 ALL_TYPES = (
     "key INT, c_bool BOOLEAN, c_byte TINYINT, c_short SMALLINT, c_int INT, c_long BIGINT, c_float FLOAT,"
@@ -222,3 +223,20 @@ def test_salted_join_spreads_a_hot_key(spark):
         for c, v in saved.items():
             spark.conf.set(c, v)
     assert sum(sizes) == 32_000 and max(sizes) < 16_000
+
+
+def test_files_of_arrivals_stay_small(spark, tables, monkeypatch):
+    monkeypatch.setattr(registered, "ROWS_PER_FILE", 10)
+    path, files = registered.staged(tables, spark.range(100))
+    counts = spark.read.parquet(path).groupBy(F.input_file_name()).count().collect()
+    assert files == 4 and len(counts) == 12 and max(r["count"] for r in counts) <= 20
+    assert spark.read.parquet(path).distinct().count() == 100
+    assert registered.staged(tables, spark.range(0))[1] == 1
+
+
+def test_a_stream_sees_three_parts(spark, tables, monkeypatch):
+    monkeypatch.setattr(registered, "ROWS_PER_FILE", 500)
+    seen, stream = [], registered.streams.file_stream
+    monkeypatch.setattr(registered.streams, "file_stream", lambda *a, **k: seen.append(k["per_trigger"]) or stream(*a, **k))
+    registered.stream_q1(tables)
+    assert seen == [-(-tables.lineitem.count() // 1500)] and seen[0] > 1
