@@ -44,25 +44,41 @@ LEXICON_WORDS, LEXICON_BYTES = 40_000, 48
 STEPS_A_DOUBLING = 64
 #: Characters of text whose words are looked up at once, and merged words a task remembers.
 SLICE_CHARS, REMEMBERED = 1 << 21, 200_000
+#: Code points whose class is asked for at once, on the driver.
+BLOCK_POINTS = 1 << 12
 
 # The white space of Unicode, and the endings that the word pattern cuts off.
 WHITE = "\\t-\\r\\x20\\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
 ENDINGS = "s|t|re|ve|m|ll|d"
 
 
+def code_points() -> Iterator[str]:
+    """All code points but the surrogates, which no text holds, some at a time: the library takes hundreds of bytes for each."""
+    for at in range(0, 0x110000, BLOCK_POINTS):
+        if block := "".join(chr(c) for c in range(at, at + BLOCK_POINTS) if not 0xD800 <= c < 0xE000):
+            yield block
+
+
 def class_ranges(name: str) -> list[tuple[int, int]]:
     """The code points of a character class, as the library's regular expressions know it."""
-    every = "".join(chr(c) for c in range(0x110000) if not 0xD800 <= c < 0xE000)
-    runs = pre_tokenizers.Split(Regex(rf"\p{{{name}}}+"), "removed", invert=True).pre_tokenize_str(every)
-    # A run may jump the gap of the surrogates, which no text holds.
-    return [(ord(r[0]), ord(r[-1])) for r, _ in runs]
+    cut = pre_tokenizers.Split(Regex(rf"\p{{{name}}}+"), "removed", invert=True)
+    out: list[tuple[int, int]] = []
+    for block in code_points():
+        for run, _ in cut.pre_tokenize_str(block):
+            # A run may go on from the block before.
+            goes_on = out and out[-1][1] + 1 == ord(run[0])
+            out.append((out.pop()[0] if goes_on else ord(run[0]), ord(run[-1])))
+    return out
 
 
 def newer_small_letters() -> dict[int, str]:
     """Small letters that the library knows and this Python doesn't know yet."""
-    unknown = [chr(c) for c in range(0x110000) if unicodedata.category(chr(c)) == "Cn"]
-    small = normalizers.Lowercase().normalize_str("\n".join(unknown)).split("\n")
-    return {ord(a): b for a, b in zip(unknown, small, strict=True) if a != b}
+    out: dict[int, str] = {}
+    for block in code_points():
+        if unknown := [c for c in block if unicodedata.category(c) == "Cn"]:
+            small = normalizers.Lowercase().normalize_str("\n".join(unknown)).split("\n")
+            out |= {ord(a): b for a, b in zip(unknown, small, strict=True) if a != b}
+    return out
 
 
 def word_pattern(classes: dict[str, list[tuple[int, int]]], top: int) -> re.Pattern:

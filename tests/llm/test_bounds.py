@@ -1,12 +1,17 @@
 """Bounds that hold at any size: blocks in their billions, the words of the lexicon, pieces of long texts."""
 
+import subprocess
+import sys
 from collections import Counter
+from pathlib import Path
 
 from pyspark.sql import functions as F
 
 from olapkit.llm import bpe, mixing, quality_cnn
 from olapkit.llm.queries import TOKENIZER
 
+ROOT = Path(__file__).resolve().parents[2]
+
 
 def test_every_block_has_one_seeded_place(spark):
     for n in (1, 2, 97, 65536, 100_003):
@@ -59,3 +64,24 @@ def test_long_texts_are_learned_from_all_their_parts(spark):
             assert r["p"] == r["text"]
     # Over some documents every part of the text comes up, the middle as well as the ends.
     assert len(seen) > 0.55 * len(set(long))
+
+
+def test_reading_the_tokenizer_takes_little_of_the_driver():
+    code = """
+import re, sys
+from olapkit.llm import bpe
+most = lambda: int(re.search(r"VmHWM:\\s+(\\d+)", open("/proc/self/status").read())[1])
+before = most()
+bpe.Tokenizer.read(sys.argv[1])
+print((most() - before) // 1024)
+"""
+    done = subprocess.run([sys.executable, "-c", code, TOKENIZER], cwd=ROOT, capture_output=True, text=True, check=True)
+    assert int(done.stdout) < 150, done.stdout
+
+
+def test_classes_of_code_points_do_not_depend_on_the_blocks(monkeypatch):
+    got = bpe.class_ranges("L"), bpe.class_ranges("N"), bpe.newer_small_letters()
+    assert all(b + 1 < c for found in got[:2] for (_, b), (c, _) in zip(found, found[1:]))
+    # In one piece, as before.
+    monkeypatch.setattr(bpe, "BLOCK_POINTS", 0x110000)
+    assert got == (bpe.class_ranges("L"), bpe.class_ranges("N"), bpe.newer_small_letters())
