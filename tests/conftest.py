@@ -14,7 +14,10 @@ FOLDER = "/root/testdata/sf0.001"
 def spark():
     from olapkit.workspace import local_session
 
-    return local_session("8")
+    session = local_session("8")
+    # Tests look for paths in plans; Spark cuts off longer ones.
+    session.conf.set("spark.sql.maxMetadataStringLength", "2000")
+    return session
 
 
 @pytest.fixture(scope="session")
